@@ -50,3 +50,12 @@ def plain_code(code: Column) -> Column:
 
 def per_unit(rate: Column, code: Column) -> Column:
     return rate / quote_unit(code)
+
+
+def settled(x: Column) -> Column:
+    """A sum or mean without the noise of the order in which it was added up.
+
+    Rounding a mean that lies on a tie would otherwise depend on how the rows
+    are partitioned.
+    """
+    return F.round(x, 9)

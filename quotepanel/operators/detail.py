@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quotepanel.functions.numeric import pct_over, per_unit, plain_code
-from quotepanel.functions.text import digits, fmt_num, fmt_pct, label
+from quotepanel.functions.text import digits, fmt_num, fmt_pct, iso_date, label
 from quotepanel.operators.period import (
     DEFAULT_CODES,
     DEFAULT_PERIOD,
@@ -211,10 +213,13 @@ def heatmap_wide(
     """
     if columns is None:
         columns = [str(row["result_date"]) for row in recent_dates(mart, days).orderBy("result_date").collect()]
-    chosen = select(mart, selected, defaults).filter(F.col("result_date").isin([F.lit(c).cast("date") for c in columns]))
+    chosen = select(mart, selected, defaults).filter(
+        F.col("result_date").isin([date.fromisoformat(c) for c in columns])
+    )
     wide = (
-        chosen.groupBy("cur_unit")
-        .pivot("result_date", [F.lit(c).cast("date") for c in columns])
+        chosen.withColumn("day", iso_date(F.col("result_date")))
+        .groupBy("cur_unit")
+        .pivot("day", columns)
         .agg(F.first("change_pct"))
     )
     return active_codes(mart, selected, defaults).join(wide, "cur_unit", "left").drop("ordinal")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from quotepanel.functions.numeric import pct_over
+from quotepanel.functions.numeric import pct_over, settled
 from quotepanel.functions.text import delta_text, digits, fmt_num, fmt_pct, label
 from quotepanel.operators.period import DEFAULT_CODES, DEFAULT_PERIOD, period, select, snapshot
 
@@ -104,8 +104,8 @@ def summarise(rows: DataFrame) -> DataFrame:
         F.max_by("rate", "result_date").alias("last"),
         F.max("rate").alias("high"),
         F.min("rate").alias("low"),
-        F.bround(F.avg("rate"), 4).alias("mean"),
-        F.bround(F.stddev_samp("rate"), 4).alias("stddev"),
+        F.bround(settled(F.avg("rate")), 4).alias("mean"),
+        F.bround(settled(F.stddev_samp("rate")), 4).alias("stddev"),
     )
     last, high, low = F.col("last"), F.col("high"), F.col("low")
     position = F.when(high == low, FLAT_POSITION).otherwise(F.try_divide(last - low, high - low) * 100)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quotepanel.functions.numeric import settled
 from quotepanel.functions.text import digits, fmt_num, fmt_pct, iso_date, label
 from quotepanel.operators.period import DEFAULT_CODES, DEFAULT_PERIOD, code_list, period, select, snapshot
 
@@ -80,7 +81,7 @@ def volatility_of(rows: DataFrame, days: int = YEAR_ROWS) -> DataFrame:
     )
     annual = F.col("annual")
     band = F.when(annual > HIGH_VOLATILITY, "high").when(annual > MID_VOLATILITY, "mid").otherwise("low")
-    return spread.select("cur_unit", F.bround(annual, 1).alias("vol"), band.alias("band"))
+    return spread.select("cur_unit", F.bround(settled(annual), 1).alias("vol"), band.alias("band"))
 
 
 def change_matrix(

@@ -15,7 +15,7 @@ from quotepanel.operators.staging import staging as staging_model
 from quotepanel.operators.upsert import upsert
 from quotepanel.schemas import KEYS
 from quotepanel.sources.landing import list_files, new_files, read_landing_variant
-from quotepanel.sources.layers import Layers, first_date, months_of
+from quotepanel.sources.layers import Layers, month_starts
 
 CHECKED = [*KEYS, "rate"]
 LOOKBACK_DAYS = 31
@@ -35,8 +35,7 @@ def table_checks(rows: DataFrame, layer: str) -> dict[str, DataFrame]:
     }
 
 
-def _mart_delta(staging: DataFrame, changed: DataFrame, run_ts) -> DataFrame:
-    first = first_date(changed)
+def _mart_delta(staging: DataFrame, changed: DataFrame, first: date, run_ts) -> DataFrame:
     recent = recent_rows(staging, first, LOOKBACK_DAYS)
     short = short_codes(recent, changed, first)
     columns = [*KEYS, "rate"]
@@ -55,27 +54,31 @@ def apply_load(
     RAW keeps what was landed even if a check fails. STAGING is checked
     before the mart is computed, the mart before both become visible.
     """
-    if layers.committed(run_id):
+    state = layers.state(run_id)
+    if state.committed:
         return LoadResult("repeated", run_id)
     raw = layers.append_raw(landed, run_id)
     delta = layers.stage("staging", staging_model(raw, run_ts), run_id)
-    if delta.isEmpty():
+    touched = month_starts(delta)
+    if not touched:
         return LoadResult("skipped", run_id)
     gate(table_checks(delta, "staging"))
 
-    touched = months_of(delta)
-    layers.write_snapshot("staging", upsert(layers.read("staging", touched), delta), run_id)
-    staging = layers.read("staging", pending={m: run_id for m in touched})
-
-    mart_delta = layers.stage("mart", _mart_delta(staging, delta.select(*KEYS), run_ts), run_id)
-    mart_months = months_of(mart_delta)
-    layers.write_snapshot("mart", upsert(layers.read("mart", mart_months), mart_delta), run_id)
-    pending = {m: run_id for m in mart_months}
-    checks = table_checks(layers.read("mart", mart_months, pending), "mart")
+    known = layers.read("staging", touched, state=state).drop("month")
+    layers.write_snapshot("staging", upsert(known, delta), run_id)
+    staging = layers.read("staging", pending=dict.fromkeys(touched, run_id), state=state)
+
+    first = min(touched.values())
+    mart_delta = layers.stage("mart", _mart_delta(staging, delta.select(*KEYS), first, run_ts), run_id)
+    altered = month_starts(mart_delta)
+    known = layers.read("mart", altered, state=state).drop("month")
+    layers.write_snapshot("mart", upsert(known, mart_delta), run_id)
+    pending = dict.fromkeys(altered, run_id)
+    checks = table_checks(layers.read("mart", altered, pending, state), "mart")
     if as_of is not None:
-        checks["mart_stale"] = stale(layers.read("mart", pending=pending), as_of)
+        checks["mart_stale"] = stale(layers.read("mart", pending=pending, state=state), as_of)
     gate(checks)
-    layers.commit(run_id, {"staging": touched, "mart": mart_months})
+    layers.commit(run_id, {"staging": touched, "mart": altered}, state)
     return LoadResult("loaded", run_id)
 
 
@@ -129,10 +132,10 @@ def rebuild(layers: Layers, run_ts=None, run_id: str | None = None) -> LoadResul
     gate(table_checks(staging, "staging"))
     mart = layers.stage("mart", mart_daily(staging, run_ts), run_id)
     gate(table_checks(mart, "mart"))
-    months = months_of(staging)
+    months = month_starts(staging)
     layers.write_snapshot("staging", staging, run_id)
     layers.write_snapshot("mart", mart, run_id)
-    layers.commit(run_id, {"staging": months, "mart": months})
+    layers.commit(run_id, {"staging": months, "mart": months}, layers.state())
     return LoadResult("loaded", run_id)
 
 

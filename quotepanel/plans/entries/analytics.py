@@ -33,17 +33,28 @@ def event_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart_daily(panels.events_panel(spark, sf_dir)).select(*MART_COLUMNS)
 
 
+def named_event_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    panel = panels.events_panel(spark, sf_dir)
+    return names.enrich(mart_daily(panel).select(*MART_COLUMNS), panel)
+
+
 def units_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mart_daily(panels.units_panel(spark, sf_dir)).select(*MART_COLUMNS)
 
 
 N_MART = sql.with_(sql.NATIONS, sql.mart("n"))
-N_NAMED = sql.with_(
-    sql.NATIONS,
-    sql.mart("n", "plain"),
-    " m AS (SELECT plain.*, cur_nm FROM plain "
-    "LEFT JOIN (SELECT cur_unit, max(cur_nm) AS cur_nm FROM n GROUP BY cur_unit) USING (cur_unit))",
-)
+
+def _named(panel_sql: str, panel: str) -> str:
+    names_sql = f"(SELECT cur_unit, max(cur_nm) AS cur_nm FROM {panel} GROUP BY cur_unit)"
+    return sql.with_(
+        panel_sql,
+        sql.mart(panel, "plain"),
+        f" m AS (SELECT plain.*, cur_nm FROM plain LEFT JOIN {names_sql} USING (cur_unit))",
+    )
+
+
+N_NAMED = _named(sql.NATIONS, "n")
+E_NAMED = _named(sql.EVENTS, "e")
 E_MART = sql.with_(sql.EVENTS, sql.mart("e"))
 U_MART = sql.with_(sql.EVENTS, sql.UNITS, sql.mart("u"))
 CHOSEN_SQL = ", ".join(f"'{c}'" for c in CHOSEN)
@@ -132,7 +143,7 @@ def kpi_snapshot(spark, sf_dir):
 
 @query(
     "kpi_cards",
-    N_NAMED
+    E_NAMED
     + ","
     + sql.snapshot("m")
     + f""" SELECT {sql.label('cur_unit', 'cur_nm')} AS label, {sql.fmt_num('rate', sql.digits('rate'))} AS rate_text,
@@ -142,7 +153,7 @@ def kpi_snapshot(spark, sf_dir):
 FROM latest WHERE cur_unit IN {FIRST_CODES}""",
 )
 def kpi_cards(spark, sf_dir):
-    return overview.kpi_cards(named_nation_mart(spark, sf_dir))
+    return overview.kpi_cards(named_event_mart(spark, sf_dir))
 
 
 @query(
@@ -202,7 +213,7 @@ SELECT cur_unit, last, high, low, mean, stddev, round_even((high / nullif(low, 0
        round_even(CASE WHEN high = low THEN 50.0 ELSE (last - low) / (high - low) * 100 END, 1) AS position
 FROM (
   SELECT cur_unit, arg_max(rate, result_date) AS last, max(rate) AS high, min(rate) AS low,
-         round_even(avg(rate), 4) AS mean, round_even(stddev_samp(rate), 4) AS stddev
+         round_even(round(avg(rate), 9), 4) AS mean, round_even(round(stddev_samp(rate), 9), 4) AS stddev
   FROM {source} GROUP BY cur_unit
 )"""
 
@@ -359,7 +370,7 @@ def direction_streak_rounded(spark, sf_dir):
 
 @query(
     "signal_table",
-    N_NAMED
+    E_NAMED
     + ","
     + sql.snapshot("m")
     + ","
@@ -375,7 +386,7 @@ FROM (SELECT *, (rate / nullif(ma_5, 0) - 1) * 100 AS disparity FROM latest)
 LEFT JOIN streaks USING (cur_unit) WHERE cur_unit IN {FIRST_CODES}""",
 )
 def signal_table(spark, sf_dir):
-    return detail.signal_table(named_nation_mart(spark, sf_dir))
+    return detail.signal_table(named_event_mart(spark, sf_dir))
 
 
 @query(
@@ -454,7 +465,7 @@ def alert_table(spark, sf_dir):
 
 
 VOLATILITY = """
-SELECT cur_unit, round_even(annual, 1) AS vol,
+SELECT cur_unit, round_even(round(annual, 9), 1) AS vol,
        CASE WHEN annual > 9 THEN 'high' WHEN annual > 6 THEN 'mid' ELSE 'low' END AS band
 FROM (SELECT cur_unit, count(change_pct) AS k, stddev_samp(change_pct) * sqrt(250) AS annual FROM p GROUP BY cur_unit)
 WHERE k >= 2"""
@@ -512,9 +523,9 @@ def change_correlation(spark, sf_dir):
     "correlation_matrix",
     E_MART
     + _correlation_sql("m")
-    + ", both AS (SELECT * FROM pairs UNION SELECT code_b, code_a, n, corr FROM pairs) SELECT code_a AS cur_unit, "
+    + ", mirrored AS (SELECT * FROM pairs UNION SELECT code_b, code_a, n, corr FROM pairs) SELECT code_a AS cur_unit, "
     + ", ".join(f"max(corr) FILTER (code_b = '{c}') AS {c}" for c in EVENT_CODES)
-    + " FROM both GROUP BY code_a",
+    + " FROM mirrored GROUP BY code_a",
 )
 def correlation_matrix(spark, sf_dir):
     square = risk.correlation_matrix(event_mart(spark, sf_dir), EVENT_CODES, None)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -114,7 +115,7 @@ def landing_failfast(spark, sf_dir):
     try:
         run_load(layers, landing, RUN_TS, multi_line=False)
         outcome = "loaded"
-    except PySparkException:
+    except (PySparkException, Py4JJavaError):
         outcome = "aborted"
     return _per_file(layers.raw()).withColumn("second_load", F.lit(outcome))
 

@@ -123,21 +123,19 @@ def digits(rate: str) -> str:
 
 def fmt_num(x: str, dec: str) -> str:
     return (
-        f"CASE WHEN {x} IS NULL THEN '-' WHEN ({dec}) = 4 THEN format('{{:,.4f}}', {x}) "
-        f"WHEN ({dec}) = 3 THEN format('{{:,.3f}}', {x}) ELSE format('{{:,.2f}}', {x}) END"
+        f"(CASE WHEN {x} IS NULL THEN '-' WHEN ({dec}) = 4 THEN format('{{:,.4f}}', {x}) "
+        f"WHEN ({dec}) = 3 THEN format('{{:,.3f}}', {x}) ELSE format('{{:,.2f}}', {x}) END)"
     )
 
 
 def fmt_pct(x: str) -> str:
-    return f"CASE WHEN {x} IS NULL THEN '-' ELSE format('{{:+.2f}}%', {x}) END"
+    return f"(CASE WHEN {x} IS NULL THEN '-' ELSE format('{{:+.2f}}%', {x}) END)"
 
 
 def fmt_delta(rate: str, prev: str, change: str, dec: str) -> str:
-    diff = (
-        f"CASE ({dec}) WHEN 4 THEN format('{{:+,.4f}}', {rate} - {prev}) "
-        f"WHEN 3 THEN format('{{:+,.3f}}', {rate} - {prev}) ELSE format('{{:+,.2f}}', {rate} - {prev}) END"
-    )
-    return f"CASE WHEN {prev} IS NOT NULL THEN {diff} || ' (' || {fmt_pct(change)} || ')' END"
+    diff = fmt_num(f"({rate} - {prev})", dec)
+    signed = f"CASE WHEN {diff} LIKE '-%' THEN {diff} ELSE '+' || {diff} END"
+    return f"CASE WHEN {prev} IS NOT NULL THEN ({signed}) || ' (' || {fmt_pct(change)} || ')' END"
 
 
 def label(code: str, name: str) -> str:

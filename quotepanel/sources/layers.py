@@ -8,6 +8,8 @@ tables as they were, and a re-run starts clean. One run writes at a time.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -26,6 +28,13 @@ TABLES = {
 }
 
 
+@dataclass(frozen=True)
+class State:
+    current: dict[str, dict[str, str]]  # layer -> month -> snapshot
+    seq: int
+    committed: bool  # by the run that asked
+
+
 class Layers:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -85,27 +94,37 @@ class Layers:
     def commits(self) -> DataFrame:
         return self.spark.read.schema(COMMITS).parquet(self.path("commits"))
 
-    def committed(self, run_id: str) -> bool:
-        return not self.commits().filter(F.col("snapshot") == run_id).isEmpty()
+    def state(self, run_id: str = "") -> State:
+        """What is current, in one look at the commits.
 
-    def current(self, layer: str) -> dict[str, str]:
-        """Current snapshot per month: as many entries as calendar months."""
+        Collects one row per layer and calendar month.
+        """
         rows = (
             self.commits()
-            .filter(F.col("layer") == layer)
-            .groupBy("month")
-            .agg(F.max_by("snapshot", "seq").alias("snapshot"))
+            .groupBy("layer", "month")
+            .agg(
+                F.max_by("snapshot", "seq").alias("snapshot"),
+                F.max("seq").alias("seq"),
+                F.max(F.col("snapshot") == run_id).alias("ours"),
+            )
             .collect()
         )
-        return {row["month"]: row["snapshot"] for row in rows}
-
-    def read(self, layer: str, months: list[str] | None = None, pending: dict[str, str] | None = None) -> DataFrame:
-        """The layer as of now, with its ``month`` partition column.
+        current = {layer: {r["month"]: r["snapshot"] for r in rows if r["layer"] == layer} for layer in SCHEMAS}
+        return State(current, max((r["seq"] for r in rows), default=0), any(r["ours"] for r in rows))
+
+    def read(
+        self,
+        layer: str,
+        months: Iterable[str] | None = None,
+        pending: dict[str, str] | None = None,
+        state: State | None = None,
+    ) -> DataFrame:
+        """The layer as of ``state`` (default: now), with its ``month`` column.
 
         ``months`` limits the read to those folders; ``pending`` shows
         snapshots a run has written but not committed.
         """
-        chosen = self.current(layer) | (pending or {})
+        chosen = (state or self.state()).current[layer] | (pending or {})
         if months is not None:
             chosen = {m: s for m, s in chosen.items() if m in set(months)}
         schema = StructType([*SCHEMAS[layer], StructField("month", StringType())])
@@ -131,10 +150,9 @@ class Layers:
             .parquet(self.path(layer))
         )
 
-    def commit(self, run_id: str, months: dict[str, list[str]]) -> None:
+    def commit(self, run_id: str, months: dict[str, Iterable[str]], state: State) -> None:
         """Make the snapshots current: one file, all layers at once."""
-        last = self.commits().agg(F.max("seq").alias("seq")).first()["seq"] or 0
-        rows = [(layer, month, run_id, last + 1) for layer, ms in months.items() for month in ms]
+        rows = [(layer, month, run_id, state.seq + 1) for layer, ms in months.items() for month in ms]
         self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(self.path("commits"))
 
     def stage(self, name: str, rows: DataFrame, run_id: str) -> DataFrame:
@@ -152,6 +170,7 @@ class Layers:
     def publish(self, prefix: str = "") -> dict[str, str]:
         """Databases and tables over the current state, for SQL users."""
         tables = {layer: prefix + table for layer, table in TABLES.items()}
+        current = self.state().current
         for layer, table in tables.items():
             database = table.split(".")[0]
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{self.path('databases')}/{database}'")
@@ -167,7 +186,7 @@ class Layers:
             if layer == "raw":
                 self.spark.sql(f"MSCK REPAIR TABLE {table}")
                 continue
-            for month, snapshot in self.current(layer).items():
+            for month, snapshot in current[layer].items():
                 folder = f"{self.path(layer)}/month={month}/snapshot={snapshot}"
                 spec = f"PARTITION (month='{month}')"
                 self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
@@ -185,11 +204,8 @@ def scan_mart(layers: Layers, columns: list[str]) -> DataFrame:
     return layers.read("mart").select(*columns)
 
 
-def months_of(rows: DataFrame) -> list[str]:
-    """Months with rows, at most as many as the calendar has."""
-    found = rows.select(F.date_format("result_date", "yyyyMM").alias("month")).distinct().collect()
-    return sorted(row["month"] for row in found)
-
-
-def first_date(rows: DataFrame) -> date:
-    return rows.agg(F.min("result_date").alias("first")).first()["first"]
+def month_starts(rows: DataFrame) -> dict[str, date]:
+    """First date with rows per month; at most one entry per calendar month."""
+    month = F.date_format("result_date", "yyyyMM").alias("month")
+    found = rows.groupBy(month).agg(F.min("result_date").alias("first")).collect()
+    return {row["month"]: row["first"] for row in found}

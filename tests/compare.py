@@ -84,7 +84,7 @@ if __name__ == "__main__":
             else:
                 problem, count = None, df.count()
         except Exception as error:  # report and go on with the next query
-            problem, count = f"{type(error).__name__}: {str(error)[:1500]}", -1
+            problem, count = f"{type(error).__name__}: {str(error)[:400]}", -1
         failed += problem is not None
         print(f"{'ok  ' if problem is None else 'FAIL'} {name} {count} rows {time.time() - start:.1f}s {problem or ''}", flush=True)
     print("failed", failed)
