@@ -7,10 +7,12 @@ however many copies of a quote were landed. No code can outgrow one task.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from quotepanel.functions.dates import before, since
 from quotepanel.operators.staging import stamp
 from quotepanel.operators.upsert import upsert
 from quotepanel.schemas import KEYS
@@ -64,15 +66,9 @@ def mart_daily(staging: DataFrame, run_ts=None) -> DataFrame:
     return stamp(out.select(*KEYS, "rate", "prev_rate", "change_pct", "ma_5"), run_ts)
 
 
-def _in_months(df: DataFrame, condition: Column, month: Column | None) -> DataFrame:
-    # Layers carry their partition column; filtering on it prunes folders.
-    return df.filter(condition if month is None or "month" not in df.columns else condition & month)
-
-
 def recent_rows(staging: DataFrame, first: date | Column, lookback_days: int) -> DataFrame:
     """Staging rows from ``lookback_days`` before ``first`` on."""
-    start = F.date_sub(F.lit(first), lookback_days)
-    return _in_months(staging, F.col("result_date") >= start, F.col("month") >= F.date_format(start, "yyyyMM"))
+    return since(staging, F.date_sub(F.lit(first), lookback_days))
 
 
 def short_codes(recent: DataFrame, changed: DataFrame, first: date | Column) -> DataFrame:
@@ -88,11 +84,10 @@ def short_codes(recent: DataFrame, changed: DataFrame, first: date | Column) ->
 
 def older_rows(staging: DataFrame, codes: DataFrame, first: date | Column, lookback_days: int) -> DataFrame:
     """The last four rows per given code from before the lookback."""
-    start = F.date_sub(F.lit(first), lookback_days)
     newest_first = Window.partitionBy("cur_unit").orderBy(F.desc("result_date"))
-    older = _in_months(staging, F.col("result_date") < start, F.col("month") <= F.date_format(start, "yyyyMM"))
     return (
-        older.join(codes, "cur_unit", "left_semi")
+        before(staging, F.date_sub(F.lit(first), lookback_days))
+        .join(codes, "cur_unit", "left_semi")
         .withColumn("_nth", F.row_number().over(newest_first))
         .filter(F.col("_nth") < MA_ROWS)
         .drop("_nth")
@@ -129,6 +124,16 @@ def recompute(staging: DataFrame, changed: DataFrame, run_ts=None, lookback_days
     return affected_rows(recent.select(columns).unionByName(older.select(columns)), changed, run_ts)
 
 
-def mart_incremental(staging: DataFrame, changed: DataFrame, mart: DataFrame, run_ts=None) -> DataFrame:
-    """``mart`` with the affected rows replaced; equals ``mart_daily(staging)``."""
-    return upsert(mart, recompute(staging, changed, run_ts))
+def mart_incremental(
+    staging: DataFrame,
+    changed: DataFrame,
+    mart: DataFrame,
+    run_ts=None,
+    store: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """``mart`` with the affected rows replaced; equals ``mart_daily(staging)``.
+
+    The upsert uses the affected rows twice. ``store`` may write them to a
+    table and read them back, so that they are computed once.
+    """
+    return upsert(mart, store(recompute(staging, changed, run_ts)))

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quotepanel.functions.dates import on, since
+
 # Rows per period choice, default period and default codes.
 PERIODS = {"1w": 5, "1m": 22, "3m": 66, "1y": 250, "all": None}
 DEFAULT_PERIOD = 66
@@ -42,12 +44,12 @@ def period(panel: DataFrame, n: int | None = DEFAULT_PERIOD, among: DataFrame |
     if n is None:
         return panel
     start = recent_dates(panel if among is None else among, n).agg(F.min("result_date")).scalar()
-    return panel.filter(F.col("result_date") >= start)
+    return since(panel, start)
 
 
 def snapshot(panel: DataFrame) -> DataFrame:
     """Rows of the latest date; codes not quoted on it are absent."""
-    return panel.filter(F.col("result_date") == panel.agg(F.max("result_date")).scalar())
+    return on(panel, panel.agg(F.max("result_date")).scalar())
 
 
 def active_codes(panel: DataFrame, selected: list[str] | None = None, defaults: list[str] = DEFAULT_CODES) -> DataFrame:

@@ -17,26 +17,26 @@ HIGH_VOLATILITY, MID_VOLATILITY = 9, 6
 CORRELATION_CODES = 7
 
 
-def _alert_rows(mart: DataFrame, n: int | None, threshold: float, limit: int) -> DataFrame:
+def _alert_rows(mart: DataFrame, n: int | None, threshold: float, limit: int | None) -> DataFrame:
     move = F.abs("change_pct")
     grade = (
         F.when(move >= threshold * SEVERE_FACTOR, "severe")
         .when(move >= threshold * WARNING_FACTOR, "warning")
         .otherwise("caution")
     )
-    return (
-        period(mart, n)
-        .filter(move >= threshold)
-        .orderBy(F.desc("result_date"), move.desc(), F.asc("cur_unit"))
-        .limit(limit)
-        .withColumn("grade", grade)
-    )
+    graded = period(mart, n).filter(move >= threshold).withColumn("grade", grade)
+    if limit is None:
+        return graded
+    return graded.orderBy(F.desc("result_date"), move.desc(), F.asc("cur_unit")).limit(limit)
 
 
 def alerts(
-    mart: DataFrame, n: int | None = DEFAULT_PERIOD, threshold: float = ALERT_THRESHOLD, limit: int = ALERT_ROWS
+    mart: DataFrame,
+    n: int | None = DEFAULT_PERIOD,
+    threshold: float = ALERT_THRESHOLD,
+    limit: int | None = ALERT_ROWS,
 ) -> DataFrame:
-    """Largest moves of any code in the period, newest date first."""
+    """Largest moves of any code in the period, newest date first; all without a limit."""
     return _alert_rows(mart, n, threshold, limit).select("result_date", "cur_unit", "rate", "change_pct", "grade")
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -140,14 +141,20 @@ def rebuild(layers: Layers, run_ts=None, run_id: str | None = None) -> LoadResul
 
 
 def backfill(
-    raw: DataFrame, staging: DataFrame, mart: DataFrame, start: date, end: date, run_ts=None
+    raw: DataFrame,
+    staging: DataFrame,
+    mart: DataFrame,
+    start: date,
+    end: date,
+    run_ts=None,
+    store: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> tuple[DataFrame, DataFrame]:
     """New STAGING and MART after re-running the days ``start`` to ``end``.
 
-    The lazy form of ``run_load`` over frames.
+    The form of ``run_load`` over frames; ``store`` as in ``mart_incremental``.
     """
     stamp = file_stamp(F.col("file_name"))
     chosen = raw.filter((stamp >= f"{start:%Y%m%d}") & (stamp <= f"{end:%Y%m%d}"))
-    delta = staging_model(chosen, run_ts)
+    delta = store(staging_model(chosen, run_ts))
     after = upsert(staging, delta)
-    return after, mart_incremental(after, delta.select(*KEYS), mart, run_ts)
+    return after, mart_incremental(after, delta.select(*KEYS), mart, run_ts, store)

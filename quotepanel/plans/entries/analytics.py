@@ -443,7 +443,7 @@ def move_alerts_graded(spark, sf_dir):
     """A raised level keeps moves small, so that all grades occur."""
     panel = nation_panel(spark, sf_dir).withColumn("rate", F.col("rate") + 50000000)
     mart = mart_daily(panel).select(*MART_COLUMNS)
-    return risk.alerts(mart, 250, limit=2**31 - 1)
+    return risk.alerts(mart, 250, limit=None)
 
 
 @query(

@@ -15,6 +15,7 @@ from quotepanel.plans.entries.analytics import E_MART, N_MART, nation_mart, nati
 from quotepanel.plans.entries.ingest import MART_COLUMNS, MART_SQL, RUN_TS, staging
 from quotepanel.plans.registry import query
 from quotepanel.schemas import KEYS
+from quotepanel.session import stored
 
 AS_OF = "2024-01-31 05:00:00"
 
@@ -234,12 +235,18 @@ fixed AS (SELECT result_date, cur_unit, CASE WHEN result_date = DATE '1998-03-02
 
 @query("mart_incremental", sql.with_(sql.SUPPLIERS, CORRECTED, sql.mart("fixed")) + " " + MART_SQL)
 def mart_incremental_query(spark, sf_dir):
-    """Every rate of one mid-history date is corrected; the check recomputes all."""
-    panel = panels.suppliers_panel(spark, sf_dir)
+    """Every rate of one mid-history date is corrected; the check recomputes all.
+
+    STAGING and the mart of before are tables, as between two daily runs.
+    """
+    panel = stored(panels.suppliers_panel(spark, sf_dir), "incremental-staging")
+    before = stored(mart_daily(panel, RUN_TS), "incremental-mart")
     on_day = F.col("result_date") == date(1998, 3, 2)
     corrected = panel.withColumn("rate", F.when(on_day, F.col("rate") * 2).otherwise(F.col("rate")))
-    before = mart_daily(panel, RUN_TS)
-    return mart_incremental(corrected, corrected.filter(on_day), before, RUN_TS).select(*MART_COLUMNS)
+    after = mart_incremental(
+        corrected, corrected.filter(on_day), before, RUN_TS, lambda rows: stored(rows, "incremental-rows")
+    )
+    return after.select(*MART_COLUMNS)
 
 
 @query(
@@ -250,7 +257,14 @@ def backfill_range(spark, sf_dir):
     """The layers hold all but 12 days; the backfill brings those and re-runs others."""
     raw = panels.events_raw(spark, sf_dir)
     known = staging(spark, sf_dir).filter(~F.col("result_date").between(date(2024, 1, 8), date(2024, 1, 19)))
+    known = stored(known, "backfill-staging")
     _, mart = backfill_frames(
-        raw, known, mart_daily(known, RUN_TS), date(2024, 1, 5), date(2024, 1, 22), RUN_TS
+        raw,
+        known,
+        stored(mart_daily(known, RUN_TS), "backfill-mart"),
+        date(2024, 1, 5),
+        date(2024, 1, 22),
+        RUN_TS,
+        lambda rows: stored(rows, "backfill-rows"),
     )
     return mart.select(*MART_COLUMNS)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", name: str = "quotepanel") -> SparkSession:
@@ -35,3 +35,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="quotepanel-")
     return f"{root.rstrip('/')}/quotepanel/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(rows: DataFrame, purpose: str) -> DataFrame:
+    """``rows`` as a table in the shared folder: computed once, lineage cut."""
+    path = shared_folder(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)

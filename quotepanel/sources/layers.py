@@ -16,6 +16,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from quotepanel.functions.dates import month_of
 from quotepanel.schemas import COMMITS, LEDGER, MART, RAW, STAGING
 
 SCHEMAS = {"staging": STAGING, "mart": MART}
@@ -141,7 +142,7 @@ class Layers:
     def write_snapshot(self, layer: str, rows: DataFrame, run_id: str) -> None:
         """Write whole months as snapshot ``run_id``, not yet visible."""
         (
-            rows.select(*SCHEMAS[layer].names, F.date_format("result_date", "yyyyMM").alias("month"), F.lit(run_id).alias("snapshot"))
+            rows.select(*SCHEMAS[layer].names, month_of(F.col("result_date")).alias("month"), F.lit(run_id).alias("snapshot"))
             # Few files per month, and a large month over many tasks.
             .hint("rebalance", "month")
             .write.mode("overwrite")
@@ -206,6 +207,5 @@ def scan_mart(layers: Layers, columns: list[str]) -> DataFrame:
 
 def month_starts(rows: DataFrame) -> dict[str, date]:
     """First date with rows per month; at most one entry per calendar month."""
-    month = F.date_format("result_date", "yyyyMM").alias("month")
-    found = rows.groupBy(month).agg(F.min("result_date").alias("first")).collect()
+    found = rows.groupBy(month_of(F.col("result_date")).alias("month")).agg(F.min("result_date").alias("first")).collect()
     return {row["month"]: row["first"] for row in found}
