@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, functions as F
 
+from quotepanel.functions.dates import BUCKET
 from quotepanel.functions.numeric import file_stamp
 from quotepanel.operators.mart import affected_rows, mart_daily, mart_incremental, older_rows, recent_rows, short_codes
 from quotepanel.operators.quality import gate, not_null, stale, unique_key
@@ -16,7 +17,7 @@ from quotepanel.operators.staging import staging as staging_model
 from quotepanel.operators.upsert import upsert
 from quotepanel.schemas import KEYS
 from quotepanel.sources.landing import list_files, new_files, read_landing_variant
-from quotepanel.sources.layers import Layers, month_starts
+from quotepanel.sources.layers import Layers, State
 
 CHECKED = [*KEYS, "rate"]
 LOOKBACK_DAYS = 31
@@ -36,14 +37,19 @@ def table_checks(rows: DataFrame, layer: str) -> dict[str, DataFrame]:
     }
 
 
-def _mart_delta(staging: DataFrame, changed: DataFrame, first: date, run_ts) -> DataFrame:
-    recent = recent_rows(staging, first, LOOKBACK_DAYS)
-    short = short_codes(recent, changed, first)
+def _mart_delta(
+    layers: Layers, state: State, pending: dict[str, str], changed: DataFrame, first: date, run_ts
+) -> DataFrame:
+    """Affected mart rows, from the staging folders around the change only."""
+    edge = first - timedelta(days=LOOKBACK_DAYS)
     columns = [*KEYS, "rate"]
-    panel = recent.select(columns)
+    near = layers.read("staging", since=edge, pending=pending, state=state)
+    panel = recent_rows(near, first, LOOKBACK_DAYS).select(columns)
+    short = short_codes(panel, changed, first)
     # Most loads find four recent rows for every code and read no history.
     if not short.isEmpty():
-        panel = panel.unionByName(older_rows(staging, short, first, LOOKBACK_DAYS).select(columns))
+        history = layers.read("staging", until=edge, pending=pending, state=state)
+        panel = panel.unionByName(older_rows(history, short, first, LOOKBACK_DAYS).select(columns))
     return affected_rows(panel, changed, run_ts)
 
 
@@ -53,29 +59,29 @@ def apply_load(
     """Carry landed RAW rows through to a committed mart.
 
     RAW keeps what was landed even if a check fails. STAGING is checked
-    before the mart is computed, the mart before both become visible.
+    before the mart is computed, the mart before both become visible. Loads
+    are applied in the order of their load times, so a later one wins.
     """
     state = layers.state(run_id)
     if state.committed:
         return LoadResult("repeated", run_id)
     raw = layers.append_raw(landed, run_id)
     delta = layers.stage("staging", staging_model(raw, run_ts), run_id)
-    touched = month_starts(delta)
+    touched = layers.bucket_starts(delta)
     if not touched:
         return LoadResult("skipped", run_id)
     gate(table_checks(delta, "staging"))
 
-    known = layers.read("staging", touched, state=state).drop("month")
+    known = layers.read("staging", touched, state=state).drop(BUCKET)
     layers.write_snapshot("staging", upsert(known, delta), run_id)
-    staging = layers.read("staging", pending=dict.fromkeys(touched, run_id), state=state)
 
-    first = min(touched.values())
-    mart_delta = layers.stage("mart", _mart_delta(staging, delta.select(*KEYS), first, run_ts), run_id)
-    altered = month_starts(mart_delta)
-    known = layers.read("mart", altered, state=state).drop("month")
+    changed, first, pending = delta.select(*KEYS), min(touched.values()), dict.fromkeys(touched, run_id)
+    mart_delta = layers.stage("mart", _mart_delta(layers, state, pending, changed, first, run_ts), run_id)
+    altered = layers.bucket_starts(mart_delta)
+    known = layers.read("mart", altered, state=state).drop(BUCKET)
     layers.write_snapshot("mart", upsert(known, mart_delta), run_id)
     pending = dict.fromkeys(altered, run_id)
-    checks = table_checks(layers.read("mart", altered, pending, state), "mart")
+    checks = table_checks(layers.read("mart", altered, pending=pending, state=state), "mart")
     if as_of is not None:
         checks["mart_stale"] = stale(layers.read("mart", pending=pending, state=state), as_of)
     gate(checks)
@@ -133,10 +139,10 @@ def rebuild(layers: Layers, run_ts=None, run_id: str | None = None) -> LoadResul
     gate(table_checks(staging, "staging"))
     mart = layers.stage("mart", mart_daily(staging, run_ts), run_id)
     gate(table_checks(mart, "mart"))
-    months = month_starts(staging)
+    buckets = layers.bucket_starts(staging)
     layers.write_snapshot("staging", staging, run_id)
     layers.write_snapshot("mart", mart, run_id)
-    layers.commit(run_id, {"staging": months, "mart": months}, layers.state())
+    layers.commit(run_id, {"staging": buckets, "mart": buckets}, layers.state())
     return LoadResult("loaded", run_id)
 
 

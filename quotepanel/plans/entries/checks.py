@@ -96,7 +96,7 @@ def ops_summary(spark, sf_dir):
 
 
 def _broken_panel(spark, sf_dir):
-    """N without the rates of even months; the first year has every key twice."""
+    """N without the rates of even months, and with every key of 1995 twice."""
     panel = nation_panel(spark, sf_dir).select(*KEYS, "rate")
     nulled = panel.withColumn("rate", F.when(F.month("result_date").isin(1, 3, 5, 7, 9, 11), F.col("rate")))
     return nulled.unionByName(panel.filter(F.year("result_date") == 1995))

@@ -49,11 +49,11 @@ LEDGER = T.StructType(
     ]
 )
 
-# One row per (layer, month) a run replaced; the highest seq is current.
+# One row per (layer, bucket) a run replaced; the highest seq is current.
 COMMITS = T.StructType(
     [
         T.StructField("layer", T.StringType()),
-        T.StructField("month", T.StringType()),
+        T.StructField("bucket", T.StringType()),
         T.StructField("snapshot", T.StringType()),
         T.StructField("seq", T.LongType()),
     ]

@@ -1,7 +1,7 @@
-"""RAW, STAGING and MART as Parquet folders with month snapshots.
+"""RAW, STAGING and MART as Parquet folders with dated snapshots.
 
-A run writes the months it touches to new ``month=/snapshot=`` folders and
-then appends one commit that makes them current, for all layers at once.
+A run writes the date buckets it touches to new ``bucket=/snapshot=`` folders
+and then appends one commit that makes them current, for all layers at once.
 Nothing is overwritten in place: a run that dies before its commit leaves the
 tables as they were, and a re-run starts clean. One run writes at a time.
 """
@@ -13,12 +13,13 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from quotepanel.functions.dates import month_of
+from quotepanel.functions.dates import BUCKET
 from quotepanel.schemas import COMMITS, LEDGER, MART, RAW, STAGING
 
+GRAINS = ("yyyy", "yyyyMM", "yyyyMMdd")
 SCHEMAS = {"staging": STAGING, "mart": MART}
 
 # Catalog names of the layers.
@@ -31,15 +32,25 @@ TABLES = {
 
 @dataclass(frozen=True)
 class State:
-    current: dict[str, dict[str, str]]  # layer -> month -> snapshot
+    current: dict[str, dict[str, str]]  # layer -> bucket -> snapshot
     seq: int
     committed: bool  # by the run that asked
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, root: str):
+    """The layers under one folder.
+
+    ``grain`` is the date text of a bucket and fixed for the life of the
+    folder: ``yyyyMM`` suits small panels, whose days are tiny; ``yyyyMMdd``
+    large ones, where a daily load should not rewrite its whole month.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, grain: str = "yyyyMM"):
+        if grain not in GRAINS:
+            raise ValueError(f"grain must be one of {GRAINS}")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.grain = grain
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -98,11 +109,11 @@ class Layers:
     def state(self, run_id: str = "") -> State:
         """What is current, in one look at the commits.
 
-        Collects one row per layer and calendar month.
+        Collects one row per layer and date bucket.
         """
         rows = (
             self.commits()
-            .groupBy("layer", "month")
+            .groupBy("layer", BUCKET)
             .agg(
                 F.max_by("snapshot", "seq").alias("snapshot"),
                 F.max("seq").alias("seq"),
@@ -110,28 +121,34 @@ class Layers:
             )
             .collect()
         )
-        current = {layer: {r["month"]: r["snapshot"] for r in rows if r["layer"] == layer} for layer in SCHEMAS}
+        current = {layer: {r[BUCKET]: r["snapshot"] for r in rows if r["layer"] == layer} for layer in SCHEMAS}
         return State(current, max((r["seq"] for r in rows), default=0), any(r["ours"] for r in rows))
 
     def read(
         self,
         layer: str,
-        months: Iterable[str] | None = None,
+        buckets: Iterable[str] | None = None,
+        since: date | None = None,
+        until: date | None = None,
         pending: dict[str, str] | None = None,
         state: State | None = None,
     ) -> DataFrame:
-        """The layer as of ``state`` (default: now), with its ``month`` column.
+        """The layer as of ``state`` (default: now), with its ``bucket`` column.
 
-        ``months`` limits the read to those folders; ``pending`` shows
-        snapshots a run has written but not committed.
+        ``buckets``, ``since`` and ``until`` choose the folders to read, not
+        the rows; ``pending`` shows snapshots a run has not committed yet.
         """
         chosen = (state or self.state()).current[layer] | (pending or {})
-        if months is not None:
-            chosen = {m: s for m, s in chosen.items() if m in set(months)}
-        schema = StructType([*SCHEMAS[layer], StructField("month", StringType())])
+        if buckets is not None:
+            chosen = {b: s for b, s in chosen.items() if b in set(buckets)}
+        if since is not None:
+            chosen = {b: s for b, s in chosen.items() if b >= f"{since:%Y%m%d}"[: len(b)]}
+        if until is not None:
+            chosen = {b: s for b, s in chosen.items() if b <= f"{until:%Y%m%d}"[: len(b)]}
+        schema = StructType([*SCHEMAS[layer], StructField(BUCKET, StringType())])
         if not chosen:
             return self.spark.createDataFrame([], schema)
-        folders = [f"{self.path(layer)}/month={m}/snapshot={s}" for m, s in sorted(chosen.items())]
+        folders = [self._folder(layer, b, s) for b, s in sorted(chosen.items())]
         return (
             self.spark.read.schema(schema)
             .option("basePath", self.path(layer))
@@ -139,21 +156,40 @@ class Layers:
             .select(*schema.names)
         )
 
+    def _folder(self, layer: str, bucket: str, snapshot: str) -> str:
+        return f"{self.path(layer)}/{BUCKET}={bucket}/snapshot={snapshot}"
+
     def write_snapshot(self, layer: str, rows: DataFrame, run_id: str) -> None:
-        """Write whole months as snapshot ``run_id``, not yet visible."""
+        """Write whole buckets as snapshot ``run_id``, not yet visible."""
+        bucket = F.date_format("result_date", self.grain).alias(BUCKET)
         (
-            rows.select(*SCHEMAS[layer].names, month_of(F.col("result_date")).alias("month"), F.lit(run_id).alias("snapshot"))
-            # Few files per month, and a large month over many tasks.
-            .hint("rebalance", "month")
+            rows.select(*SCHEMAS[layer].names, bucket, F.lit(run_id).alias("snapshot"))
+            # Few files per bucket, a large bucket over many tasks, and codes
+            # together so that a selection skips row groups.
+            .hint("rebalance", BUCKET)
+            .sortWithinPartitions(BUCKET, "snapshot", "cur_unit", "result_date")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("month", "snapshot")
+            .partitionBy(BUCKET, "snapshot")
             .parquet(self.path(layer))
         )
 
-    def commit(self, run_id: str, months: dict[str, Iterable[str]], state: State) -> None:
+    def bucket_starts(self, rows: DataFrame) -> dict[str, date]:
+        """First date with rows per bucket; at most one entry per calendar day."""
+        bucket = F.date_format("result_date", self.grain).alias(BUCKET)
+        found = rows.groupBy(bucket).agg(F.min("result_date").alias("first")).collect()
+        return {row[BUCKET]: row["first"] for row in found}
+
+    def superseded(self) -> DataFrame:
+        """Snapshot folders no longer current, to be deleted once no one reads them."""
+        newest = Window.partitionBy("layer", BUCKET).orderBy(F.desc("seq"))
+        old = self.commits().withColumn("nth", F.row_number().over(newest)).filter("nth > 1")
+        folder = F.concat_ws("/", F.lit(self.root), "layer", F.concat(F.lit(f"{BUCKET}="), BUCKET))
+        return old.select("layer", BUCKET, F.concat(folder, F.lit("/snapshot="), "snapshot").alias("path"))
+
+    def commit(self, run_id: str, buckets: dict[str, Iterable[str]], state: State) -> None:
         """Make the snapshots current: one file, all layers at once."""
-        rows = [(layer, month, run_id, state.seq + 1) for layer, ms in months.items() for month in ms]
+        rows = [(layer, bucket, run_id, state.seq + 1) for layer, bs in buckets.items() for bucket in bs]
         self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(self.path("commits"))
 
     def stage(self, name: str, rows: DataFrame, run_id: str) -> DataFrame:
@@ -178,7 +214,7 @@ class Layers:
             if layer == "raw":
                 fields, partition = RAW, "load"
             else:
-                fields, partition = SCHEMAS[layer], "month"
+                fields, partition = SCHEMAS[layer], BUCKET
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {partition} string) "
@@ -187,25 +223,19 @@ class Layers:
             if layer == "raw":
                 self.spark.sql(f"MSCK REPAIR TABLE {table}")
                 continue
-            for month, snapshot in current[layer].items():
-                folder = f"{self.path(layer)}/month={month}/snapshot={snapshot}"
-                spec = f"PARTITION (month='{month}')"
+            for bucket, snapshot in current[layer].items():
+                folder = self._folder(layer, bucket, snapshot)
+                spec = f"PARTITION ({BUCKET}='{bucket}')"
                 self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
                 self.spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}'")
             self.spark.catalog.refreshTable(table)
         return tables
 
 
-def create_layers(spark: SparkSession, root: str) -> Layers:
-    return Layers(spark, root).create()
+def create_layers(spark: SparkSession, root: str, grain: str = "yyyyMM") -> Layers:
+    return Layers(spark, root, grain).create()
 
 
 def scan_mart(layers: Layers, columns: list[str]) -> DataFrame:
     """Chosen mart columns; no other column is read."""
     return layers.read("mart").select(*columns)
-
-
-def month_starts(rows: DataFrame) -> dict[str, date]:
-    """First date with rows per month; at most one entry per calendar month."""
-    found = rows.groupBy(month_of(F.col("result_date")).alias("month")).agg(F.min("result_date").alias("first")).collect()
-    return {row["month"]: row["first"] for row in found}

@@ -8,6 +8,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from quotepanel.operators import period
 from quotepanel.operators.mart import mart_daily
 from quotepanel.operators.quality import QualityError
 from quotepanel.plans.daily import apply_load, rebuild, run_load
@@ -87,11 +88,29 @@ def test_daily_runs_equal_one_full_recompute(spark, landing, layers):
         land(landing, day, [quote("USD", 1400 + i * i), quote("EUR", 1500 - i)])
         assert run_load(layers, landing).status == "loaded"
     full = mart_daily(layers.read("staging")).drop("updated_at")
-    assert sorted(full.collect()) == sorted(layers.read("mart").drop("updated_at", "month").collect())
+    assert sorted(full.collect()) == sorted(layers.read("mart").drop("updated_at", "bucket").collect())
     assert layers.read("mart").count() == 16
     assert layers.raw().count() == 16
 
 
+@pytest.mark.parametrize("grain", ["yyyy", "yyyyMMdd"])
+def test_any_grain_of_folders(spark, landing, root, grain):
+    layers = create_layers(spark, root, grain)
+    for i, day in enumerate(days(5, date(2025, 12, 29))):
+        land(landing, day, [quote("USD", 100 + i)])
+        run_load(layers, landing)
+    assert [r[4] for r in mart_rows(layers)] == [100.0, 100.5, 101.0, 101.5, 102.0]
+    buckets = {r["bucket"] for r in layers.read("mart").collect()}
+    assert len(buckets) == (2 if grain == "yyyy" else 5)
+    # Date bounds drop folders as well as rows.
+    for bounded, rows in ((period.period(layers.read("mart"), 2), 2), (period.snapshot(layers.read("mart")), 1)):
+        plan = bounded._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(bucket" in plan
+        assert bounded.count() == rows
+    # One snapshot per day replaced the one before it, in year folders only.
+    assert layers.superseded().filter("layer = 'mart'").count() == (3 if grain == "yyyy" else 0)
+
+
 def test_rerun_changes_nothing_and_correction_replaces(landing, layers):
     for day in days(3):
         land(landing, day, [quote("USD", 10)])
