@@ -513,7 +513,11 @@ SEVEN = [f"NATION_{i}" for i in range(7)]
     "change_correlation",
     N_MART
     + _correlation_sql("(SELECT * FROM m WHERE cur_unit IN (" + ", ".join(f"'{c}'" for c in SEVEN) + "))")
-    + " SELECT * FROM pairs",
+    + ", codes(code) AS (VALUES "
+    + ", ".join(f"('{c}')" for c in SEVEN)
+    + """)
+SELECT a.code AS code_a, b.code AS code_b, coalesce(n, 0) AS n, corr
+FROM codes a JOIN codes b ON a.code <= b.code LEFT JOIN pairs ON code_a = a.code AND code_b = b.code""",
 )
 def change_correlation(spark, sf_dir):
     return _rounded(risk.correlation(nation_mart(spark, sf_dir), SEVEN, None))

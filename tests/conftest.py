@@ -11,6 +11,7 @@ from quotepanel.session import local_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, "quotepanel-tests")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     session.sparkContext.setLogLevel("ERROR")
     yield session
 
