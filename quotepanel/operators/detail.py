@@ -23,7 +23,9 @@ DEFAULT_BASE = "USD"
 HOT, COLD = 0.35, -0.35
 HEATMAP_DATES = 30
 
-# A broadcast of base rows holds one row per base and date.
+# Up to these many are broadcast: the pairs as listed, and the base rows, one
+# per base and date.
+BROADCAST_PAIRS = 10_000
 BROADCAST_BASES = 64
 
 
@@ -73,8 +75,8 @@ def cross(mart: DataFrame, base: str | None = None, latest_only: bool = True) ->
 def cross_pairs(mart: DataFrame, pairs: list[tuple[str, str]], latest_only: bool = False) -> DataFrame:
     """Requested (base, quote) pairs on the same date.
 
-    Each panel row meets only the pairs that ask for its code. With many
-    bases the base side is left to Spark's own join choice.
+    Each panel row meets only the pairs that ask for its code. Long lists are
+    left to Spark's own join choice.
     """
     rows = snapshot(mart) if latest_only else mart
     wanted = sorted({(b, q) for b, q in pairs if b != q})
@@ -86,6 +88,8 @@ def cross_pairs(mart: DataFrame, pairs: list[tuple[str, str]], latest_only: bool
         F.col("rate").alias("base_rate"),
         F.col("prev_rate").alias("base_prev"),
     )
+    if len(wanted) <= BROADCAST_PAIRS:
+        asked = F.broadcast(asked)
     if len(base_codes) <= BROADCAST_BASES:
         bases = F.broadcast(bases)
     quotes = rows.filter(F.col("cur_unit").isin(sorted({q for _, q in wanted}))).select(

@@ -21,6 +21,9 @@ from quotepanel.schemas import KEYS
 MA_ROWS = 5
 DIGITS = 4
 
+# Four rows of a weekday panel and some closed days; fewer are looked up.
+LOOKBACK_DAYS = 14
+
 
 def _by_code() -> WindowSpec:
     return Window.partitionBy("cur_unit").orderBy("result_date")
@@ -94,24 +97,26 @@ def older_rows(staging: DataFrame, codes: DataFrame, first: date | Column, lookb
     )
 
 
-def affected_rows(panel: DataFrame, changed: DataFrame, run_ts=None) -> DataFrame:
+def affected_rows(panel: DataFrame, changed: DataFrame, run_ts=None, hit: Column | None = None) -> DataFrame:
     """Mart rows that a change of ``changed`` keys alters.
 
     A changed key alters its own row and the next four rows of its code.
     ``panel`` must hold, for each changed code, every row from the first
-    change on and four rows before it.
+    change on and four rows before it. Where a column of the panel tells its
+    changed rows, ``hit`` saves the join that finds them.
     """
-    hits = changed.select(*KEYS).distinct().withColumn("_hit", F.lit(True))
-    flagged = (
-        panel.select(*KEYS, "rate")
-        .join(changed.select("cur_unit").distinct(), "cur_unit", "left_semi")
-        .join(hits, KEYS, "left")
-    )
+    flagged = panel.join(changed.select("cur_unit").distinct(), "cur_unit", "left_semi")
+    if hit is None:
+        hits = changed.select(*KEYS).distinct().withColumn("_hit", F.lit(True))
+        flagged = flagged.join(hits, KEYS, "left")
+    else:
+        flagged = flagged.withColumn("_hit", hit)
+    flagged = flagged.select(*KEYS, "rate", "_hit")
     out = _windowed(flagged, _near=F.max("_hit").over(_last_rows())).filter("_near")
     return stamp(out.select(*KEYS, "rate", "prev_rate", "change_pct", "ma_5"), run_ts)
 
 
-def recompute(staging: DataFrame, changed: DataFrame, run_ts=None, lookback_days: int = 31) -> DataFrame:
+def recompute(staging: DataFrame, changed: DataFrame, run_ts=None, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Affected mart rows, reading history only as far back as needed.
 
     Rows before the lookback are needed only for codes with fewer than four

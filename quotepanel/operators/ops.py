@@ -51,13 +51,28 @@ def missing_weekdays(panel: DataFrame) -> DataFrame:
 
 
 def ops(mart: DataFrame) -> DataFrame:
-    """One row: completeness, missing weekdays and pipeline status."""
-    updated = mart.agg(F.max("updated_at")).scalar()
-    missing = missing_weekdays(mart).agg(F.count("*")).scalar()
-    return (
-        completeness(mart)
-        .withColumns({"missing_days": missing, "last_updated": updated})
-        .withColumn("status", F.when(F.col("last_updated").isNotNull(), "ok").otherwise("unknown"))
+    """One row: completeness, missing weekdays and pipeline status.
+
+    The panel is aggregated to one row per date first. All its dates lie
+    between first and latest, so the weekdays found need only be counted.
+    """
+    per_date = mart.groupBy("result_date").agg(F.count("*").alias("rows"), F.max("updated_at").alias("updated"))
+    totals = per_date.agg(
+        F.min("result_date").alias("first_date"),
+        F.max("result_date").alias("latest_date"),
+        F.max_by("rows", "result_date").alias("rows"),
+        F.count_if(F.weekday("result_date") < SATURDAY).alias("found"),
+        F.max("updated").alias("last_updated"),
+    )
+    weekdays = F.size(F.filter(F.sequence("first_date", "latest_date"), lambda d: F.weekday(d) < SATURDAY))
+    return totals.withColumn("expected", _expected(mart)).select(
+        "latest_date",
+        "rows",
+        "expected",
+        F.greatest(F.col("expected") - F.col("rows"), F.lit(0)).alias("shortfall"),
+        (weekdays - F.col("found")).alias("missing_days"),
+        "last_updated",
+        F.when(F.col("last_updated").isNotNull(), "ok").otherwise("unknown").alias("status"),
     )
 
 

@@ -45,7 +45,7 @@ def alert_table(
 ) -> DataFrame:
     """Alerts of the enriched panel as display text; digits follow the latest rate."""
     shown = _alert_rows(panel, n, threshold, limit)
-    # At most `limit` alert codes are looked up in the snapshot.
+    # Only the at most `limit` alert codes are looked up in the snapshot.
     alerted = F.broadcast(shown.select("cur_unit").distinct())
     decimals = (
         snapshot(panel.select("result_date", "cur_unit", "rate"))

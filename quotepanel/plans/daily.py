@@ -11,7 +11,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from quotepanel.functions.dates import BUCKET
 from quotepanel.functions.numeric import file_stamp
-from quotepanel.operators.mart import affected_rows, mart_daily, mart_incremental, older_rows, recent_rows, short_codes
+from quotepanel.operators.mart import (
+    LOOKBACK_DAYS,
+    affected_rows,
+    mart_daily,
+    mart_incremental,
+    older_rows,
+    recent_rows,
+    short_codes,
+)
 from quotepanel.operators.quality import gate, not_null, stale, unique_key
 from quotepanel.operators.staging import staging as staging_model
 from quotepanel.operators.upsert import upsert
@@ -20,7 +28,6 @@ from quotepanel.sources.landing import list_files, new_files, read_landing_varia
 from quotepanel.sources.layers import Layers, State
 
 CHECKED = [*KEYS, "rate"]
-LOOKBACK_DAYS = 31
 
 
 @dataclass(frozen=True)
@@ -37,20 +44,25 @@ def table_checks(rows: DataFrame, layer: str) -> dict[str, DataFrame]:
     }
 
 
-def _mart_delta(
-    layers: Layers, state: State, pending: dict[str, str], changed: DataFrame, first: date, run_ts
-) -> DataFrame:
+def _mart_delta(layers: Layers, state: State, touched: dict[str, date], delta: DataFrame, run_ts, run_id) -> DataFrame:
     """Affected mart rows, from the staging folders around the change only."""
+    if not state.current["staging"]:
+        return mart_daily(delta, run_ts)
+    first = min(touched.values())
     edge = first - timedelta(days=LOOKBACK_DAYS)
-    columns = [*KEYS, "rate"]
+    pending = dict.fromkeys(touched, run_id)
+    columns = [*KEYS, "rate", "updated_at"]
     near = layers.read("staging", since=edge, pending=pending, state=state)
     panel = recent_rows(near, first, LOOKBACK_DAYS).select(columns)
-    short = short_codes(panel, changed, first)
+    short = short_codes(panel, delta, first)
     # Most loads find four recent rows for every code and read no history.
     if not short.isEmpty():
         history = layers.read("staging", until=edge, pending=pending, state=state)
         panel = panel.unionByName(older_rows(history, short, first, LOOKBACK_DAYS).select(columns))
-    return affected_rows(panel, changed, run_ts)
+    # The rows of this load carry its time. An older row with an equal time
+    # comes out as it was, provided its frame is whole: not before `first`.
+    ours = F.col("updated_at") == delta.agg(F.max("updated_at")).scalar()
+    return affected_rows(panel, delta, run_ts, ours & (F.col("result_date") >= F.lit(first)))
 
 
 def apply_load(
@@ -75,8 +87,7 @@ def apply_load(
     known = layers.read("staging", touched, state=state).drop(BUCKET)
     layers.write_snapshot("staging", upsert(known, delta), run_id)
 
-    changed, first, pending = delta.select(*KEYS), min(touched.values()), dict.fromkeys(touched, run_id)
-    mart_delta = layers.stage("mart", _mart_delta(layers, state, pending, changed, first, run_ts), run_id)
+    mart_delta = layers.stage("mart", _mart_delta(layers, state, touched, delta, run_ts, run_id), run_id)
     altered = layers.bucket_starts(mart_delta)
     known = layers.read("mart", altered, state=state).drop(BUCKET)
     layers.write_snapshot("mart", upsert(known, mart_delta), run_id)
