@@ -152,8 +152,9 @@ def correlation_matrix(
 ) -> DataFrame:
     """Square form: one row and one column per code, in selection order."""
     chosen = code_list(mart, selected, defaults, first=k)
-    half = correlation(mart, chosen, n, k)
-    other = half.filter(F.col("code_a") != F.col("code_b")).select(
-        F.col("code_b").alias("code_a"), F.col("code_a").alias("code_b"), "n", "corr"
+    pairs = correlation(mart, chosen, n, k)
+    both = F.array(
+        F.struct(F.col("code_a").alias("cur_unit"), F.col("code_b").alias("other"), "corr"),
+        F.struct(F.col("code_b").alias("cur_unit"), F.col("code_a").alias("other"), "corr"),
     )
-    return half.unionByName(other).groupBy(F.col("code_a").alias("cur_unit")).pivot("code_b", chosen).agg(F.first("corr"))
+    return pairs.select(F.inline(both)).groupBy("cur_unit").pivot("other", chosen).agg(F.first("corr"))

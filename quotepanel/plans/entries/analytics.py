@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quotepanel.operators import detail, names, ops, overview, period as periods, risk
@@ -92,6 +94,27 @@ def period_filter(spark, sf_dir):
     return periods.period(nation_mart(spark, sf_dir))
 
 
+@query(
+    "period_choices",
+    sql.with_(sql.NATIONS)
+    + " UNION ALL ".join(
+        f" SELECT '{choice}' AS choice, min(result_date) AS first_date, count(*) AS rows FROM n WHERE result_date IN "
+        f"(SELECT DISTINCT result_date FROM n ORDER BY result_date DESC{f' LIMIT {n}' if n else ''})"
+        for choice, n in periods.PERIODS.items()
+    ),
+)
+def period_choices(spark, sf_dir):
+    """Start and size of each period on offer."""
+    panel = nation_panel(spark, sf_dir)
+    sizes = [
+        periods.period(panel, n)
+        .agg(F.min("result_date").alias("first_date"), F.count("*").alias("rows"))
+        .select(F.lit(choice).alias("choice"), "first_date", "rows")
+        for choice, n in periods.PERIODS.items()
+    ]
+    return reduce(DataFrame.unionByName, sizes)
+
+
 @query(
     "select_codes",
     N_MART + f" SELECT 'default' AS choice, * FROM m WHERE cur_unit IN {FIRST_CODES}"

@@ -236,6 +236,18 @@ def format_pct(spark, sf_dir):
     return supplier_mart(spark, sf_dir).select(*KEYS, text.fmt_pct(F.col("change_pct")).alias("change_text"))
 
 
+@query(
+    "date_text",
+    sql.with_(sql.SUPPLIERS)
+    + " SELECT result_date, cur_unit, strftime(result_date, '%Y-%m-%d') AS iso, strftime(result_date, '%m/%d') AS short FROM s",
+)
+def date_text(spark, sf_dir):
+    day = F.col("result_date")
+    return panels.suppliers_panel(spark, sf_dir).select(
+        *KEYS, text.iso_date(day).alias("iso"), text.month_day(day).alias("short")
+    )
+
+
 @query(
     "name_dim",
     sql.with_(sql.NATIONS) + " SELECT cur_unit, max(cur_nm) AS cur_nm FROM n GROUP BY cur_unit",
