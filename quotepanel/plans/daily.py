@@ -44,13 +44,37 @@ def table_checks(rows: DataFrame, layer: str) -> dict[str, DataFrame]:
     }
 
 
-def _mart_delta(layers: Layers, state: State, touched: dict[str, date], delta: DataFrame, run_ts, run_id) -> DataFrame:
+def _mart_checks(mart: DataFrame, whole: DataFrame, as_of: date | None) -> dict[str, DataFrame]:
+    checks = table_checks(mart, "mart")
+    return checks if as_of is None else checks | {"mart_stale": stale(whole, as_of)}
+
+
+def _attempt(run_id: str) -> str:
+    """Folder name of one try of a run: none is ever written twice."""
+    return f"{run_id}-{uuid.uuid4().hex[:8]}"
+
+
+def _build(layers: Layers, state: State, raw: DataFrame, run_id: str, run_ts, as_of: date | None) -> LoadResult:
+    """STAGING and MART as wholes from RAW rows, each written once."""
+    attempt = _attempt(run_id)
+    layers.write_snapshot("staging", staging_model(raw, run_ts), attempt)
+    staging = layers.read_snapshot("staging", attempt)
+    buckets = layers.bucket_starts(staging)
+    if not buckets:
+        return LoadResult("skipped", run_id)
+    gate(table_checks(staging, "staging"))
+    layers.write_snapshot("mart", mart_daily(staging, run_ts), attempt)
+    mart = layers.read_snapshot("mart", attempt)
+    gate(_mart_checks(mart, mart, as_of))
+    layers.commit(run_id, attempt, {"staging": buckets, "mart": buckets}, state)
+    return LoadResult("loaded", run_id)
+
+
+def _mart_delta(
+    layers: Layers, state: State, pending: dict[str, str], delta: DataFrame, first: date, run_ts
+) -> DataFrame:
     """Affected mart rows, from the staging folders around the change only."""
-    if not state.current["staging"]:
-        return mart_daily(delta, run_ts)
-    first = min(touched.values())
     edge = first - timedelta(days=LOOKBACK_DAYS)
-    pending = dict.fromkeys(touched, run_id)
     columns = [*KEYS, "rate", "updated_at"]
     near = layers.read("staging", since=edge, pending=pending, state=state)
     panel = recent_rows(near, first, LOOKBACK_DAYS).select(columns)
@@ -78,25 +102,30 @@ def apply_load(
     if state.committed:
         return LoadResult("repeated", run_id)
     raw = layers.append_raw(landed, run_id)
-    delta = layers.stage("staging", staging_model(raw, run_ts), run_id)
+    if not state.current["staging"]:
+        return _build(layers, state, raw, run_id, run_ts, as_of)
+
+    attempt = _attempt(run_id)
+    delta = layers.stage("staging", staging_model(raw, run_ts), attempt)
     touched = layers.bucket_starts(delta)
     if not touched:
         return LoadResult("skipped", run_id)
     gate(table_checks(delta, "staging"))
 
     known = layers.read("staging", touched, state=state).drop(BUCKET)
-    layers.write_snapshot("staging", upsert(known, delta), run_id)
+    layers.write_snapshot("staging", upsert(known, delta), attempt)
 
-    mart_delta = layers.stage("mart", _mart_delta(layers, state, touched, delta, run_ts, run_id), run_id)
+    pending = dict.fromkeys(touched, attempt)
+    rows = _mart_delta(layers, state, pending, delta, min(touched.values()), run_ts)
+    mart_delta = layers.stage("mart", rows, attempt)
     altered = layers.bucket_starts(mart_delta)
     known = layers.read("mart", altered, state=state).drop(BUCKET)
-    layers.write_snapshot("mart", upsert(known, mart_delta), run_id)
-    pending = dict.fromkeys(altered, run_id)
-    checks = table_checks(layers.read("mart", altered, pending=pending, state=state), "mart")
-    if as_of is not None:
-        checks["mart_stale"] = stale(layers.read("mart", pending=pending, state=state), as_of)
-    gate(checks)
-    layers.commit(run_id, {"staging": touched, "mart": altered}, state)
+    layers.write_snapshot("mart", upsert(known, mart_delta), attempt)
+
+    pending = dict.fromkeys(altered, attempt)
+    mart = layers.read("mart", pending=pending, state=state)
+    gate(_mart_checks(layers.read_snapshot("mart", attempt), mart, as_of))
+    layers.commit(run_id, attempt, {"staging": touched, "mart": altered}, state)
     return LoadResult("loaded", run_id)
 
 
@@ -128,9 +157,8 @@ def run_load(
     run that fails is retried with the same files.
     """
     run_id = run_id or f"run-{uuid.uuid4().hex[:12]}"
-    found = layers.stage(
-        "files", _in_range(new_files(list_files(layers.spark, landing), layers.ledger()), start, end), run_id
-    )
+    listing = new_files(list_files(layers.spark, landing), layers.ledger())
+    found = layers.stage("files", _in_range(listing, start, end), _attempt(run_id))
     # File names only: the driver lists them for the scan in any case.
     paths = [row["path"] for row in found.select("path").toLocalIterator()]
     if not paths:
@@ -144,17 +172,7 @@ def run_load(
 def rebuild(layers: Layers, run_ts=None, run_id: str | None = None) -> LoadResult:
     """Full recompute of STAGING and MART from all of RAW."""
     run_id = run_id or f"rebuild-{uuid.uuid4().hex[:12]}"
-    staging = layers.stage("staging", staging_model(layers.raw(), run_ts), run_id)
-    if staging.isEmpty():
-        return LoadResult("skipped", run_id)
-    gate(table_checks(staging, "staging"))
-    mart = layers.stage("mart", mart_daily(staging, run_ts), run_id)
-    gate(table_checks(mart, "mart"))
-    buckets = layers.bucket_starts(staging)
-    layers.write_snapshot("staging", staging, run_id)
-    layers.write_snapshot("mart", mart, run_id)
-    layers.commit(run_id, {"staging": buckets, "mart": buckets}, layers.state())
-    return LoadResult("loaded", run_id)
+    return _build(layers, layers.state(), layers.raw(), run_id, run_ts, None)
 
 
 def backfill(

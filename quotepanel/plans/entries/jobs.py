@@ -105,13 +105,11 @@ def landing_write(spark, sf_dir):
     + f" SELECT {PER_FILE}, 'aborted' AS second_load FROM payload GROUP BY search_date",
 )
 def landing_failfast(spark, sf_dir):
-    """After a good load, files cut off in the middle abort the next one whole."""
+    """After a good load, files without a closing brace abort the next one whole."""
     layers, landing = _loaded(spark, sf_dir, "failfast")
     good = F.to_json(F.struct("result", "cur_unit", "cur_nm", "deal_bas_r"))
-    cut = panels.events_landing(spark, sf_dir).select(
-        "search_date", F.substring(good, 1, 20).alias("value")
-    )
-    cut.write.mode("append").partitionBy("search_date").text(landing)
+    broken = panels.events_landing(spark, sf_dir).select("search_date", F.regexp_replace(good, "}$", "").alias("value"))
+    broken.write.mode("append").partitionBy("search_date").text(landing)
     try:
         run_load(layers, landing, RUN_TS, multi_line=False)
         outcome = "loaded"

@@ -3,7 +3,8 @@
 A run writes the date buckets it touches to new ``bucket=/snapshot=`` folders
 and then appends one commit that makes them current, for all layers at once.
 Nothing is overwritten in place: a run that dies before its commit leaves the
-tables as they were, and a re-run starts clean. One run writes at a time.
+tables as they were, and a re-run writes under a new name. One run writes at
+a time.
 """
 
 from __future__ import annotations
@@ -117,7 +118,7 @@ class Layers:
             .agg(
                 F.max_by("snapshot", "seq").alias("snapshot"),
                 F.max("seq").alias("seq"),
-                F.max(F.col("snapshot") == run_id).alias("ours"),
+                F.max(F.col("run_id") == run_id).alias("ours"),
             )
             .collect()
         )
@@ -140,7 +141,7 @@ class Layers:
         """
         chosen = (state or self.state()).current[layer] | (pending or {})
         if buckets is not None:
-            chosen = {b: s for b, s in chosen.items() if b in set(buckets)}
+            chosen = {b: chosen[b] for b in buckets if b in chosen}
         if since is not None:
             chosen = {b: s for b, s in chosen.items() if b >= f"{since:%Y%m%d}"[: len(b)]}
         if until is not None:
@@ -159,21 +160,34 @@ class Layers:
     def _folder(self, layer: str, bucket: str, snapshot: str) -> str:
         return f"{self.path(layer)}/{BUCKET}={bucket}/snapshot={snapshot}"
 
-    def write_snapshot(self, layer: str, rows: DataFrame, run_id: str) -> None:
-        """Write whole buckets as snapshot ``run_id``, not yet visible."""
+    def write_snapshot(self, layer: str, rows: DataFrame, snapshot: str) -> None:
+        """Write whole buckets under a new snapshot name, not yet visible."""
         bucket = F.date_format("result_date", self.grain).alias(BUCKET)
         (
-            rows.select(*SCHEMAS[layer].names, bucket, F.lit(run_id).alias("snapshot"))
+            rows.select(*SCHEMAS[layer].names, bucket, F.lit(snapshot).alias("snapshot"))
             # Few files per bucket, a large bucket over many tasks, and codes
             # together so that a selection skips row groups.
             .hint("rebalance", BUCKET)
             .sortWithinPartitions(BUCKET, "snapshot", "cur_unit", "result_date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .write.mode("append")
             .partitionBy(BUCKET, "snapshot")
             .parquet(self.path(layer))
         )
 
+    def read_snapshot(self, layer: str, snapshot: str) -> DataFrame:
+        """All buckets of one snapshot, committed or not."""
+        try:
+            return (
+                self.spark.read.schema(SCHEMAS[layer])
+                .parquet(f"{self.path(layer)}/{BUCKET}=*/snapshot={snapshot}")
+                .select(*SCHEMAS[layer].names)
+            )
+        except AnalysisException as missing:
+            # A snapshot without rows writes no folder.
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], SCHEMAS[layer])
+
     def bucket_starts(self, rows: DataFrame) -> dict[str, date]:
         """First date with rows per bucket; at most one entry per calendar day."""
         bucket = F.date_format("result_date", self.grain).alias(BUCKET)
@@ -187,19 +201,19 @@ class Layers:
         folder = F.concat_ws("/", F.lit(self.root), "layer", F.concat(F.lit(f"{BUCKET}="), BUCKET))
         return old.select("layer", BUCKET, F.concat(folder, F.lit("/snapshot="), "snapshot").alias("path"))
 
-    def commit(self, run_id: str, buckets: dict[str, Iterable[str]], state: State) -> None:
-        """Make the snapshots current: one file, all layers at once."""
-        rows = [(layer, bucket, run_id, state.seq + 1) for layer, bs in buckets.items() for bucket in bs]
+    def commit(self, run_id: str, snapshot: str, buckets: dict[str, Iterable[str]], state: State) -> None:
+        """Make a snapshot current: one file, all layers at once."""
+        rows = [(layer, bucket, snapshot, run_id, state.seq + 1) for layer, bs in buckets.items() for bucket in bs]
         self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(self.path("commits"))
 
-    def stage(self, name: str, rows: DataFrame, run_id: str) -> DataFrame:
+    def stage(self, name: str, rows: DataFrame, attempt: str) -> DataFrame:
         """Write an intermediate result of a run and read it back.
 
         Later steps start from the written files, so a lost executor costs a
         task and not the whole chain before it.
         """
-        path = f"{self.path('work')}/{run_id}/{name}"
-        rows.write.mode("overwrite").parquet(path)
+        path = f"{self.path('work')}/{attempt}/{name}"
+        rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
     # Catalog.
