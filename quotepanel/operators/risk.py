@@ -16,6 +16,9 @@ YEAR_ROWS = 250
 HIGH_VOLATILITY, MID_VOLATILITY = 9, 6
 CORRELATION_CODES = 7
 
+# Codes of up to this many alerts are broadcast.
+BROADCAST_ALERTS = 10_000
+
 
 def _alert_rows(mart: DataFrame, n: int | None, threshold: float, limit: int | None) -> DataFrame:
     move = F.abs("change_pct")
@@ -46,7 +49,9 @@ def alert_table(
     """Alerts of the enriched panel as display text; digits follow the latest rate."""
     shown = _alert_rows(panel, n, threshold, limit)
     # Only the at most `limit` alert codes are looked up in the snapshot.
-    alerted = F.broadcast(shown.select("cur_unit").distinct())
+    alerted = shown.select("cur_unit").distinct()
+    if limit <= BROADCAST_ALERTS:
+        alerted = F.broadcast(alerted)
     decimals = (
         snapshot(panel.select("result_date", "cur_unit", "rate"))
         .join(alerted, "cur_unit", "left_semi")

@@ -70,7 +70,12 @@ def supplier_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nations_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """N, named by region."""
+    """N, named by region.
+
+    Nations and regions are small enough by their files for Spark to broadcast
+    them. A customer with very many orders is split by the adaptive skew join;
+    above the join the keyed ``max`` combines on the map side again.
+    """
     nations = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
