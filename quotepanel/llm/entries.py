@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotepanel.llm import chat, mixing
+from quotepanel.llm import bpe, chat, mixing
 from quotepanel.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +90,22 @@ def op5_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = conversations.unionByName(added)
     return chat.digest(chat.render(chat.reconstruct(chat.log_of(rows))))
+
+
+def byte_vocabulary() -> tuple[list[bytes], str]:
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+def token_digest(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_digest(bpe.tokenized(documents, *byte_vocabulary()))
