@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotepanel.llm import bpe, chat, mixing
+from quotepanel.llm import bpe, chat, mixing, quality
 from quotepanel.llm.common import table
+from quotepanel.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +110,15 @@ def token_digest(rows: DataFrame) -> DataFrame:
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_digest(bpe.tokenized(documents, *byte_vocabulary()))
+
+
+def fertility_vocabularies() -> list[list[bytes]]:
+    return [bpe.read_ranks(public_tokenizers.path(f"{name}.tiktoken")) for name in ("byte_bpe_50k", "byte_bpe_multi_50k")]
+
+
+@query()
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    rows = stored(quality.measured(documents, fertility_vocabularies(), public_tokenizers.PATTERN), "quality-measures")
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return quality.judged(rows).select("doc_id", *counts, "base_failed", "kept")
