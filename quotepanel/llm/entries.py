@@ -7,8 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotepanel.llm import bpe, chat, mixing, quality
-from quotepanel.llm.common import table
+from quotepanel.llm import bpe, chat, langid, mixing, quality, toxicity
+from quotepanel.llm.common import held_out, table
 from quotepanel.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,19 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stored(quality.measured(documents, fertility_vocabularies(), public_tokenizers.PATTERN), "quality-measures")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return quality.judged(rows).select("doc_id", *counts, "base_failed", "kept")
+
+
+@query()
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(documents, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    score = F.col("score")
+    return toxicity.scored(documents, model).select("doc_id", held_out().alias("held_out"), score, (score >= 0.3).cast("int").alias("predicted"))
+
+
+@query()
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = langid.learn(documents.select("doc_id", "text", "lang"))
+    found = langid.predicted(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
