@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotepanel.llm import bpe, chat, langid, mixing, quality, toxicity
+from quotepanel.llm import bpe, chat, langid, mixing, neardup, quality, toxicity
 from quotepanel.llm.common import held_out, table
 from quotepanel.session import stored
 
@@ -138,3 +138,24 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.learn(documents.select("doc_id", "text", "lang"))
     found = langid.predicted(documents.select("doc_id", "text"), model)
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+OP8_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+good AS (
+  SELECT vec_id, e FROM v WHERE len(e) > 0 AND CASE WHEN len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 THEN list_inner_product(e, e) > 0 ELSE false END),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT a AS node, b AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a),
+roots AS (SELECT node, least(node, min(other)) AS root FROM reach GROUP BY node)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id)::BIGINT AS n_links,
+       coalesce(root, e.vec_id) AS component_id, e.vec_id = coalesce(root, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN roots ON node = e.vec_id
+"""
+
+
+@query(OP8_SQL)
+def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
