@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotepanel.llm import bpe, chat, langid, mixing, neardup, quality, toxicity
+from quotepanel.llm import bpe, chat, jaccard, langid, mixing, neardup, quality, toxicity
 from quotepanel.llm.common import held_out, table
 from quotepanel.session import stored
 
@@ -159,3 +159,27 @@ FROM embeddings e LEFT JOIN roots ON node = e.vec_id
 @query(OP8_SQL)
 def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words),
+classes AS (SELECT min(doc_id) AS rep, s FROM (SELECT doc_id, list_sort(s) AS s FROM sets) WHERE len(s) > 0 GROUP BY s),
+items AS (SELECT rep, len(s) AS n, unnest(s) AS x FROM classes),
+common AS (SELECT a.rep AS a, b.rep AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+  FROM items a JOIN items b ON a.x = b.x AND a.rep < b.rep AND a.n * 100 >= b.n * 90 AND b.n * 100 >= a.n * 90 GROUP BY a.rep, b.rep),
+half AS (SELECT a, b FROM common WHERE 100 * c >= 90 * (na + nb - c)),
+links AS (SELECT a, b FROM half UNION ALL SELECT b, a FROM half),
+reach AS (SELECT a AS node, b AS other FROM links UNION SELECT r.node, l.b FROM reach r JOIN links l ON r.other = l.a),
+roots AS (SELECT node, least(node, min(other)) AS root FROM reach GROUP BY node)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, coalesce(r.root, c.rep, s.doc_id) AS component_id
+FROM sets s LEFT JOIN classes c ON list_sort(s.s) = c.s LEFT JOIN roots r ON r.node = c.rep
+"""
+
+
+@query(OP3_SQL)
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(table(spark, sf_dir, "documents"), 3, 90, 100)
