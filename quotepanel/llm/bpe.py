@@ -21,6 +21,7 @@ ids and extra columns pass as they are.
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator
 from functools import cached_property
 
@@ -216,16 +217,15 @@ class Merges:
         return self.bytes[place].tobytes()
 
 
-_own: dict[int, Merges] = {}
+_own: dict[str, Merges] = {}
 
 
-def merges(vocabulary) -> Merges:
-    """A worker's copy of a broadcast (tokens, pattern), made once."""
-    key = vocabulary.id if hasattr(vocabulary, "id") else id(vocabulary)
-    if key not in _own:
+def merges(name: str, vocabulary) -> Merges:
+    """A worker's copy of a broadcast (tokens, pattern), made once per ``name``."""
+    if name not in _own:
         _own.clear()
-        _own[key] = Merges(*vocabulary.value)
-    return _own[key]
+        _own[name] = Merges(*vocabulary.value)
+    return _own[name]
 
 
 def tokenized(documents: DataFrame, tokens: list[bytes], pattern: str, text: str = "text") -> DataFrame:
@@ -234,12 +234,12 @@ def tokenized(documents: DataFrame, tokens: list[bytes], pattern: str, text: str
     The vocabulary is a file of fixed size, so it is broadcast. Columns called
     ``ids`` or ``decoded`` give way to the new ones.
     """
-    vocabulary = documents.sparkSession.sparkContext.broadcast((tokens, pattern))
+    vocabulary, name = documents.sparkSession.sparkContext.broadcast((tokens, pattern)), uuid.uuid4().hex
     keep = [c for c in documents.columns if c not in (text, "ids", "decoded")]
     rows = documents.select(*[f"`{c}`" for c in keep], f"`{text}`")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = merges(vocabulary)
+        own = merges(name, vocabulary)
         for batch in batches:
             for part in slices(batch.column(len(keep))):
                 ids = own.encode([part.text(i).decode() for i in range(len(part))])

@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 from itertools import chain
@@ -96,11 +97,10 @@ def _scripts(texts: Texts) -> list[str]:
     for i in range(len(texts)):
         raw = texts.data[texts.offsets[i] : texts.offsets[i + 1]]
         lead = raw[raw >= 0xCE]
-        if 2 * len(lead) < len(raw) // 4:
+        if 8 * len(lead) <= len(raw):
             names.append("latin")
             continue
-        code = np.frombuffer(lead.tobytes().decode("latin-1").encode("utf-32-le"), "<u4")
-        common = int(np.bincount(code).argmax())
+        common = int(np.bincount(lead).argmax())
         point = (common - 0xC0) << 6 if common < 0xE0 else (common - 0xE0) << 12 if common < 0xF0 else 0x10000
         names.append([name for start, name in SCRIPTS if start <= point][-1])
     return names
@@ -202,30 +202,35 @@ def measures(texts: Texts, reader: Reader) -> dict[str, object]:
     return out
 
 
-_own: dict[int, Reader] = {}
+_own: dict[str, Reader] = {}
+
+
+def _reader(name: str, shared) -> Reader:
+    """A worker's reader of a broadcast (vocabularies, pattern), made once per ``name``."""
+    if name not in _own:
+        _own.clear()
+        _own[name] = Reader(*shared.value)
+    return _own[name]
 
 
 def measured(documents: DataFrame, vocabularies: list[list[bytes]], pattern: str, text: str = "text") -> DataFrame:
     """Every row of ``documents`` but its text, with the base counts and the measures."""
-    shared = documents.sparkSession.sparkContext.broadcast((vocabularies, pattern))
+    shared, name = documents.sparkSession.sparkContext.broadcast((vocabularies, pattern)), uuid.uuid4().hex
     names = [part.split()[0] for part in MEASURES.split(",")]
     keep = [c for c in documents.columns if c != text and c not in names]
     rows = documents.select(*[f"`{c}`" for c in keep], f"`{text}`")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if shared.id not in _own:
-            _own.clear()
-            _own[shared.id] = Reader(*shared.value)
+        reader = _reader(name, shared)
         for batch in batches:
             for part in slices(batch.column(len(keep)), SLICE):
-                found = measures(part, _own[shared.id])
+                found = measures(part, reader)
                 columns = [batch.column(i).slice(part.first, len(part)) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*columns, *[pa.array(found[x]) for x in names]], names=[*keep, *names])
 
     schema = rows.drop(text).schema
     for part in MEASURES.split(","):
-        name, kind = part.split()
-        schema = schema.add(name, kind)
+        schema = schema.add(*part.split())
     return rows.mapInArrow(run, schema)
 
 
