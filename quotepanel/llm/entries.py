@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotepanel.llm import bpe, chat, jaccard, langid, mixing, neardup, quality, toxicity
+from quotepanel.llm import bpe, chat, jaccard, langid, mixing, neardup, quality, repeats, toxicity
 from quotepanel.llm.common import held_out, table
 from quotepanel.session import stored
 
@@ -183,3 +183,12 @@ FROM sets s LEFT JOIN classes c ON list_sort(s.s) = c.s LEFT JOIN roots r ON r.n
 @query(OP3_SQL)
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(table(spark, sf_dir, "documents"), 3, 90, 100)
+
+
+def repeat_digest(rows: DataFrame) -> DataFrame:
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))

@@ -42,6 +42,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quotepanel.llm.textbytes import IS_SEPARATOR, Texts, distinct, per_text, slices, word_hashes, word_windows, words
+from quotepanel.session import stored
 
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of words
@@ -260,3 +261,10 @@ def judged(measured_rows: DataFrame, lang: str = "lang", width: float = WIDTH) -
     rejected = reduce(Column.__or__, [F.coalesce(x, F.lit(False)) for x in outside])
     kept = ~F.col("base_failed") & ~rejected
     return joined.withColumn("kept", kept).drop("_group", "_of", *[f"_{side}_{x}" for side in ("low", "high") for x in FLOORS])
+
+
+def kept_documents(documents: DataFrame, vocabularies: list[list[bytes]], pattern: str) -> DataFrame:
+    """The rows of ``documents`` (lang, text and others) that the rules keep, with all columns."""
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
+    rows = stored(measured(documents.select(row, "lang", "text"), vocabularies, pattern), "quality-measures")
+    return judged(rows).filter("kept").select("_row.*")
