@@ -9,7 +9,7 @@ again, ``delete`` drops the message. Messages stand in the order of ``message``.
 Template: ``<|turn:role|>\\n`` text ``<|end|>\\n`` per message, between ``<s>``
 and ``</s>``. Inside texts each control string gets one backslash after its
 first character, and a control string that already has n of them gets n+1, so
-taking one off restores every text; in roles ``\\`` and ``|`` are spelled out. The loss mask is the list of
+taking one off restores every text; in roles the characters they are made of are spelled out. The loss mask is the list of
 (begin, size) of assistant texts in code points of the formatted string.
 
 Defined cases: null texts and roles are empty; ties in ``seq`` go by kind and
@@ -20,11 +20,15 @@ messages meet in one row; nothing else is gathered.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Control strings of the template and of common chat formats.
 CONTROL = r"(\|[^|<]*\|>|/?s>|/?INST\]|</?SYS>>)"
 _LEAD = r"([<\[])"
+#: What stands in roles for characters that control strings need; the backslash goes first.
+ROLE_MARKS = (("\\", "\\b"), ("|", "\\p"), ("<", "\\l"), ("[", "\\o"))
 
 
 def escape(text: Column) -> Column:
@@ -36,11 +40,11 @@ def unescape(text: Column) -> Column:
 
 
 def escape_role(role: Column) -> Column:
-    return F.replace(F.replace(role, F.lit("\\"), F.lit("\\b")), F.lit("|"), F.lit("\\p"))
+    return reduce(lambda out, x: F.replace(out, F.lit(x[0]), F.lit(x[1])), ROLE_MARKS, role)
 
 
 def unescape_role(role: Column) -> Column:
-    return F.replace(F.replace(role, F.lit("\\p"), F.lit("|")), F.lit("\\b"), F.lit("\\"))
+    return reduce(lambda out, x: F.replace(out, F.lit(x[1]), F.lit(x[0])), ROLE_MARKS[::-1], role)
 
 
 def reconstruct(events: DataFrame) -> DataFrame:

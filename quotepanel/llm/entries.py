@@ -73,7 +73,7 @@ texts AS (
   SELECT conv_id, count(*)::BIGINT AS n_turns,
          string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
          coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
-         sum(length('<|turn:') + length(role) + length(role) - length(replace(replace(role, '\', ''), '|', '')) + length('|>') + 1
+         sum(length('<|turn:') + length(role) + length(role) - length(translate(role, '\|<[', '')) + length('|>') + 1
              + length(text) + len(regexp_extract_all(text, '[<\[]\\*(?:\|[^|<]*\|>|/?s>|/?INST\]|</?SYS>>)')) + length('<|end|>') + 1) AS chars
   FROM turns GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256,
