@@ -35,8 +35,9 @@ ORDERS = (4, 5, 6)
 SLOT_BITS = 22
 SLOTS = 1 << SLOT_BITS
 CHUNK_BITS = 16
-PER_CLASS = 8000
-CHI2 = 12.0
+PER_CLASS = 4000
+#: Under a one in a million chance for a slot that tells nothing, times as many slots.
+CHI2 = 30.0
 LEAST_DOCS = 5
 PENALTY = 1e-3
 STEPS = 400
