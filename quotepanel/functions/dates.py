@@ -28,6 +28,16 @@ def before(panel: DataFrame, day: Column) -> DataFrame:
     return bounded.filter(F.col(BUCKET) <= _bucket_of(day)) if BUCKET in panel.columns else bounded
 
 
+def until(panel: DataFrame, day: Column) -> DataFrame:
+    bounded = panel.filter(F.col("result_date") <= day)
+    return bounded.filter(F.col(BUCKET) <= _bucket_of(day)) if BUCKET in panel.columns else bounded
+
+
+def after(panel: DataFrame, day: Column) -> DataFrame:
+    bounded = panel.filter(F.col("result_date") > day)
+    return bounded.filter(F.col(BUCKET) >= _bucket_of(day)) if BUCKET in panel.columns else bounded
+
+
 def on(panel: DataFrame, day: Column) -> DataFrame:
     bounded = panel.filter(F.col("result_date") == day)
     return bounded.filter(F.col(BUCKET) == _bucket_of(day)) if BUCKET in panel.columns else bounded

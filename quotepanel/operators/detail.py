@@ -23,11 +23,6 @@ DEFAULT_BASE = "USD"
 HOT, COLD = 0.35, -0.35
 HEATMAP_DATES = 30
 
-# Up to these many are broadcast: the pairs as listed, and the base rows, one
-# per base and date.
-BROADCAST_PAIRS = 10_000
-BROADCAST_BASES = 64
-
 
 def _base_code(mart: DataFrame, base: str | None) -> Column:
     if base is not None:
@@ -56,8 +51,8 @@ def _cross(joined: DataFrame) -> DataFrame:
 def cross(mart: DataFrame, base: str | None = None, latest_only: bool = True) -> DataFrame:
     """One base code against every other code quoted on the same date.
 
-    The base side has one row per date, so it is broadcast and the panel is
-    not shuffled; the output has at most one row per panel row.
+    The base side has one row per date; Spark broadcasts it while it is small.
+    The output has at most one row per panel row.
     """
     rows = snapshot(mart) if latest_only else mart
     code = _base_code(mart, base)
@@ -68,15 +63,15 @@ def cross(mart: DataFrame, base: str | None = None, latest_only: bool = True) ->
         F.col("prev_rate").alias("base_prev"),
     )
     quotes = rows.select("result_date", F.col("cur_unit").alias("quote"), "rate", "prev_rate")
-    joined = quotes.join(F.broadcast(bases), "result_date").filter(F.col("base") != F.col("quote"))
+    joined = quotes.join(bases, "result_date").filter(F.col("base") != F.col("quote"))
     return _cross(joined)
 
 
 def cross_pairs(mart: DataFrame, pairs: list[tuple[str, str]], latest_only: bool = False) -> DataFrame:
     """Requested (base, quote) pairs on the same date.
 
-    Each panel row meets only the pairs that ask for its code. Long lists are
-    left to Spark's own join choice.
+    Each panel row meets only the pairs that ask for its code; how the lists
+    are joined is left to Spark.
     """
     rows = snapshot(mart) if latest_only else mart
     wanted = sorted({(b, q) for b, q in pairs if b != q})
@@ -88,10 +83,6 @@ def cross_pairs(mart: DataFrame, pairs: list[tuple[str, str]], latest_only: bool
         F.col("rate").alias("base_rate"),
         F.col("prev_rate").alias("base_prev"),
     )
-    if len(wanted) <= BROADCAST_PAIRS:
-        asked = F.broadcast(asked)
-    if len(base_codes) <= BROADCAST_BASES:
-        bases = F.broadcast(bases)
     quotes = rows.filter(F.col("cur_unit").isin(sorted({q for _, q in wanted}))).select(
         "result_date", F.col("cur_unit").alias("quote"), "rate", "prev_rate"
     )

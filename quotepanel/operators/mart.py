@@ -12,7 +12,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from quotepanel.functions.dates import before, since
+from quotepanel.functions.dates import after, before, since, until
 from quotepanel.operators.staging import stamp
 from quotepanel.operators.upsert import upsert
 from quotepanel.schemas import KEYS
@@ -21,7 +21,8 @@ from quotepanel.schemas import KEYS
 MA_ROWS = 5
 DIGITS = 4
 
-# Four rows of a weekday panel and some closed days; fewer are looked up.
+# Four rows of a weekday panel and some closed days, before and after a
+# change; fewer are looked up.
 LOOKBACK_DAYS = 14
 
 
@@ -69,32 +70,40 @@ def mart_daily(staging: DataFrame, run_ts=None) -> DataFrame:
     return stamp(out.select(*KEYS, "rate", "prev_rate", "change_pct", "ma_5"), run_ts)
 
 
-def recent_rows(staging: DataFrame, first: date | Column, lookback_days: int) -> DataFrame:
-    """Staging rows from ``lookback_days`` before ``first`` on."""
-    return since(staging, F.date_sub(F.lit(first), lookback_days))
+def rows_around(staging: DataFrame, first: date | Column, last: date | Column, days: int) -> DataFrame:
+    """Staging rows from ``days`` before ``first`` to ``days`` after ``last``."""
+    return until(since(staging, F.date_sub(F.lit(first), days)), F.date_add(F.lit(last), days))
 
 
-def short_codes(recent: DataFrame, changed: DataFrame, first: date | Column) -> DataFrame:
-    """Changed codes with too few recent rows before ``first`` for a full frame."""
-    full = (
-        recent.filter(F.col("result_date") < F.lit(first))
-        .groupBy("cur_unit")
-        .count()
-        .filter(F.col("count") >= MA_ROWS - 1)
-    )
+def short_codes(near: DataFrame, changed: DataFrame, side: Column) -> DataFrame:
+    """Changed codes with fewer rows on one ``side`` of the change than a frame reaches."""
+    full = near.filter(side).groupBy("cur_unit").count().filter(F.col("count") >= MA_ROWS - 1)
     return changed.select("cur_unit").distinct().join(full, "cur_unit", "left_anti")
 
 
-def older_rows(staging: DataFrame, codes: DataFrame, first: date | Column, lookback_days: int) -> DataFrame:
-    """The last four rows per given code from before the lookback."""
-    newest_first = Window.partitionBy("cur_unit").orderBy(F.desc("result_date"))
-    return (
-        before(staging, F.date_sub(F.lit(first), lookback_days))
-        .join(codes, "cur_unit", "left_semi")
-        .withColumn("_nth", F.row_number().over(newest_first))
-        .filter(F.col("_nth") < MA_ROWS)
-        .drop("_nth")
-    )
+def short_before(near: DataFrame, changed: DataFrame, first: date | Column) -> DataFrame:
+    return short_codes(near, changed, F.col("result_date") < F.lit(first))
+
+
+def short_after(near: DataFrame, changed: DataFrame, last: date | Column) -> DataFrame:
+    return short_codes(near, changed, F.col("result_date") > F.lit(last))
+
+
+def _nearest(rows: DataFrame, codes: DataFrame, order: Column) -> DataFrame:
+    """The first four rows per given code."""
+    by_code = Window.partitionBy("cur_unit").orderBy(order)
+    nth = rows.join(codes, "cur_unit", "left_semi").withColumn("_nth", F.row_number().over(by_code))
+    return nth.filter(F.col("_nth") < MA_ROWS).drop("_nth")
+
+
+def older_rows(staging: DataFrame, codes: DataFrame, first: date | Column, days: int) -> DataFrame:
+    """The last four rows per given code from before ``rows_around``."""
+    return _nearest(before(staging, F.date_sub(F.lit(first), days)), codes, F.desc("result_date"))
+
+
+def newer_rows(staging: DataFrame, codes: DataFrame, last: date | Column, days: int) -> DataFrame:
+    """The first four rows per given code from after ``rows_around``."""
+    return _nearest(after(staging, F.date_add(F.lit(last), days)), codes, F.asc("result_date"))
 
 
 def affected_rows(panel: DataFrame, changed: DataFrame, run_ts=None, hit: Column | None = None) -> DataFrame:
@@ -102,7 +111,7 @@ def affected_rows(panel: DataFrame, changed: DataFrame, run_ts=None, hit: Column
 
     A changed key alters its own row and the next four rows of its code.
     ``panel`` must hold, for each changed code, every row from the first
-    change on and four rows before it. Where a column of the panel tells its
+    change to the last and four rows before and after. Where a column of the panel tells its
     changed rows, ``hit`` saves the join that finds them.
     """
     flagged = panel.join(changed.select("cur_unit").distinct(), "cur_unit", "left_semi")
@@ -117,16 +126,18 @@ def affected_rows(panel: DataFrame, changed: DataFrame, run_ts=None, hit: Column
 
 
 def recompute(staging: DataFrame, changed: DataFrame, run_ts=None, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
-    """Affected mart rows, reading history only as far back as needed.
+    """Affected mart rows, reading history only around the change.
 
-    Rows before the lookback are needed only for codes with fewer than four
-    rows inside it, and then only their last four.
+    Rows further away are needed only for codes with fewer than four rows on
+    that side of it, and then only the nearest four.
     """
-    first = changed.agg(F.min("result_date")).scalar()
-    recent = recent_rows(staging, first, lookback_days)
-    older = older_rows(staging, short_codes(recent, changed, first), first, lookback_days)
+    first, last = changed.agg(F.min("result_date")).scalar(), changed.agg(F.max("result_date")).scalar()
+    near = rows_around(staging, first, last, lookback_days)
+    older = older_rows(staging, short_before(near, changed, first), first, lookback_days)
+    newer = newer_rows(staging, short_after(near, changed, last), last, lookback_days)
     columns = [*KEYS, "rate"]
-    return affected_rows(recent.select(columns).unionByName(older.select(columns)), changed, run_ts)
+    panel = near.select(columns).unionByName(older.select(columns)).unionByName(newer.select(columns))
+    return affected_rows(panel, changed, run_ts)
 
 
 def mart_incremental(

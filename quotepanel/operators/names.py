@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quotepanel.functions.text import label
 
@@ -24,3 +24,9 @@ def enrich(mart: DataFrame, staging: DataFrame) -> DataFrame:
 def labelled(panel: DataFrame) -> DataFrame:
     """Enriched panel with ``cur_unit`` replaced by ``CODE(NAME)``."""
     return panel.withColumn("cur_unit", label(F.col("cur_unit"), F.col("cur_nm")))
+
+
+def display(rows: DataFrame, panel: DataFrame, *order: Column) -> DataFrame:
+    """Result rows under their labels, sorted by ``order`` and label, for the edge where people read them."""
+    named = labelled(enrich(rows, panel)).drop("cur_nm")
+    return named.orderBy(*order, F.asc("cur_unit")) if order else named

@@ -31,9 +31,12 @@ def completeness(panel: DataFrame) -> DataFrame:
     )
 
 
-def history(panel: DataFrame, days: int = HISTORY_DATES) -> DataFrame:
-    """Rows per date on the last ``days`` dates, with a load status."""
-    counts = _per_date(panel).orderBy(F.desc("result_date")).limit(days).withColumn("expected", _expected(panel))
+def history(panel: DataFrame, days: int | None = HISTORY_DATES) -> DataFrame:
+    """Rows per date on the last ``days`` dates (all for None), with a load status."""
+    counts = _per_date(panel)
+    if days is not None:
+        counts = counts.orderBy(F.desc("result_date")).limit(days)
+    counts = counts.withColumn("expected", _expected(panel))
     status = (
         F.when(F.col("rows") == F.col("expected"), "complete").when(F.col("rows") == 0, "empty").otherwise("partial")
     )
@@ -83,11 +86,11 @@ def freshness(mart: DataFrame, as_of) -> DataFrame:
     )
 
 
-def latest_rows(panel: DataFrame, n: int = LATEST_ROWS) -> DataFrame:
-    """Newest ``n`` rows of the enriched panel under presentation names."""
+def latest_rows(panel: DataFrame, n: int | None = LATEST_ROWS) -> DataFrame:
+    """Newest ``n`` rows (all for None) of the enriched panel, newest first, under presentation names."""
+    newest = panel.orderBy(F.desc("result_date"), F.asc("cur_unit"))
     return (
-        panel.orderBy(F.desc("result_date"), F.asc("cur_unit"))
-        .limit(n)
+        (newest if n is None else newest.limit(n))
         .select(
             "result_date",
             label(F.col("cur_unit"), F.col("cur_nm")).alias("cur_unit"),

@@ -9,15 +9,14 @@ from quotepanel.functions.text import delta_text, digits, fmt_num, fmt_pct, labe
 from quotepanel.operators.period import DEFAULT_CODES, DEFAULT_PERIOD, period, select, snapshot
 
 # Fixed values.
-KPI_CODES = 4
 RANK_ROWS = 4
 FLAT_POSITION = 50.0
 
 
 def kpi(
-    mart: DataFrame, selected: list[str] | None = None, k: int = KPI_CODES, defaults: list[str] = DEFAULT_CODES
+    mart: DataFrame, selected: list[str] | None = None, k: int | None = None, defaults: list[str] = DEFAULT_CODES
 ) -> DataFrame:
-    """Latest values of the first ``k`` active codes, with distance to ``ma_5``."""
+    """Latest values of the active codes, or the first ``k`` of them, with distance to ``ma_5``."""
     return select(snapshot(mart), selected, defaults, first=k, among=mart).select(
         "cur_unit",
         "rate",
@@ -30,7 +29,7 @@ def kpi(
 
 
 def kpi_cards(
-    panel: DataFrame, selected: list[str] | None = None, k: int = KPI_CODES, defaults: list[str] = DEFAULT_CODES
+    panel: DataFrame, selected: list[str] | None = None, k: int | None = None, defaults: list[str] = DEFAULT_CODES
 ) -> DataFrame:
     """The same as display text; ``panel`` is the enriched mart."""
     rate, ma, dec = F.col("rate"), F.col("ma_5"), digits(F.col("rate"))

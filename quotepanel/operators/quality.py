@@ -62,3 +62,8 @@ def gate(checks: dict[str, DataFrame]) -> None:
 
 def is_empty(panel: DataFrame) -> bool:
     return panel.isEmpty()
+
+
+def emptiness(panel: DataFrame) -> DataFrame:
+    """One row: whether the panel has no rows."""
+    return panel.limit(1).agg((F.count(F.lit(1)) == 0).alias("is_empty"))

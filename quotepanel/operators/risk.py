@@ -14,10 +14,6 @@ ALERT_ROWS = 40
 SEVERE_FACTOR, WARNING_FACTOR = 2, 1.4
 YEAR_ROWS = 250
 HIGH_VOLATILITY, MID_VOLATILITY = 9, 6
-CORRELATION_CODES = 7
-
-# Codes of up to this many alerts are broadcast.
-BROADCAST_ALERTS = 10_000
 
 
 def _alert_rows(mart: DataFrame, n: int | None, threshold: float, limit: int | None) -> DataFrame:
@@ -44,14 +40,11 @@ def alerts(
 
 
 def alert_table(
-    panel: DataFrame, n: int | None = DEFAULT_PERIOD, threshold: float = ALERT_THRESHOLD, limit: int = ALERT_ROWS
+    panel: DataFrame, n: int | None = DEFAULT_PERIOD, threshold: float = ALERT_THRESHOLD, limit: int | None = ALERT_ROWS
 ) -> DataFrame:
-    """Alerts of the enriched panel as display text; digits follow the latest rate."""
+    """Alerts of the enriched panel as display text, all without a limit; digits follow the latest rate."""
     shown = _alert_rows(panel, n, threshold, limit)
-    # Only the at most `limit` alert codes are looked up in the snapshot.
     alerted = shown.select("cur_unit").distinct()
-    if limit <= BROADCAST_ALERTS:
-        alerted = F.broadcast(alerted)
     decimals = (
         snapshot(panel.select("result_date", "cur_unit", "rate"))
         .join(alerted, "cur_unit", "left_semi")
@@ -93,10 +86,10 @@ def change_matrix(
     mart: DataFrame,
     selected: list[str] | None = None,
     n: int | None = DEFAULT_PERIOD,
-    k: int = CORRELATION_CODES,
+    k: int | None = None,
     defaults: list[str] = DEFAULT_CODES,
 ) -> DataFrame:
-    """One row per date, one column of changes per code."""
+    """One row per date, one column of changes per code; ``k`` cuts the selection."""
     chosen = code_list(mart, selected, defaults, first=k)
     rows = period(mart.filter(F.col("cur_unit").isin(chosen)), n, among=mart)
     return rows.groupBy("result_date").pivot("cur_unit", chosen).agg(F.first("change_pct"))
@@ -117,7 +110,7 @@ def correlation(
     mart: DataFrame,
     selected: list[str] | None = None,
     n: int | None = DEFAULT_PERIOD,
-    k: int = CORRELATION_CODES,
+    k: int | None = None,
     defaults: list[str] = DEFAULT_CODES,
 ) -> DataFrame:
     """Pearson correlation of daily changes, one row per pair a <= b.
@@ -152,7 +145,7 @@ def correlation_matrix(
     mart: DataFrame,
     selected: list[str] | None = None,
     n: int | None = DEFAULT_PERIOD,
-    k: int = CORRELATION_CODES,
+    k: int | None = None,
     defaults: list[str] = DEFAULT_CODES,
 ) -> DataFrame:
     """Square form: one row and one column per code, in selection order."""

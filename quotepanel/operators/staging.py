@@ -9,6 +9,9 @@ from quotepanel.functions.numeric import amount, file_stamp, stamp_date, try_amo
 # Fixed value: the response code of a good quote.
 VALID_RESULT = "1"
 
+# Rows of one landing file stand in the order of block, line and position.
+ROW_ORDER = ["loaded_at", "file_name", "file_path", "block", "line", "pos"]
+
 
 def extract(df: DataFrame, paths: dict[str, str], column: str = "raw_data") -> DataFrame:
     """Add one string column per ``{name: '$.path'}`` of a VARIANT column."""
@@ -21,15 +24,13 @@ def valid_rows(raw: DataFrame) -> DataFrame:
 
 
 def dedupe_latest(raw: DataFrame) -> DataFrame:
-    """Newest load per (file date, code), ties by file name and position.
+    """Newest load per (file date, code); within one load the later row of the later file.
 
     A keyed ``max`` over one struct combines on the map side, so however many
     copies one key has, at most one row per map task is shuffled for it.
     """
     newest = F.struct(
-        "loaded_at",
-        "file_name",
-        "pos",
+        *[c for c in ROW_ORDER if c in raw.columns],
         F.variant_get("raw_data", "$.cur_nm", "string").alias("cur_nm"),
         F.variant_get("raw_data", "$.deal_bas_r", "string").alias("deal_bas_r"),
     )
@@ -63,6 +64,7 @@ def staging(raw: DataFrame, run_ts=None) -> DataFrame:
         "cur_unit",
         "cur_nm",
         amount(F.col("deal_bas_r")).alias("rate"),
+        "loaded_at",
     )
     return stamp(typed, run_ts)
 
@@ -78,6 +80,6 @@ def staging_quarantine(raw: DataFrame, run_ts=None) -> tuple[DataFrame, DataFram
     bad = (F.col("stamp").isNotNull() & F.col("result_date").isNull()) | (
         F.col("deal_bas_r").isNotNull() & F.col("rate").isNull()
     )
-    good = parsed.filter(~bad).select("result_date", "cur_unit", "cur_nm", "rate")
+    good = parsed.filter(~bad).select("result_date", "cur_unit", "cur_nm", "rate", "loaded_at")
     rejected = parsed.filter(bad).select("file_name", "stamp", "cur_unit", "deal_bas_r")
     return stamp(good, run_ts), rejected

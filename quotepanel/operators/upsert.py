@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from quotepanel.operators.quality import unique_key
 from quotepanel.schemas import KEYS
@@ -27,3 +27,11 @@ def guard_unique(source: DataFrame, keys: list[str] = KEYS) -> DataFrame:
 
 def guarded_upsert(target: DataFrame, source: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     return upsert(target, guard_unique(source, keys), keys)
+
+
+def upsert_newest(target: DataFrame, source: DataFrame, by: str, keys: list[str] = KEYS) -> DataFrame:
+    """As ``upsert``, but a matched row stays if its ``by`` is later than the source's."""
+    others = [c for c in target.columns if c not in (*keys, by)]
+    rows = target.withColumn("_source", F.lit(False)).unionByName(source.select(*target.columns).withColumn("_source", F.lit(True)))
+    newest = rows.groupBy(*keys).agg(F.max(F.struct(by, "_source", *others)).alias("newest"))
+    return newest.select(*[F.col(c) if c in keys else F.col(f"newest.{c}") for c in target.columns])

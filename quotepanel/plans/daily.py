@@ -16,15 +16,17 @@ from quotepanel.operators.mart import (
     affected_rows,
     mart_daily,
     mart_incremental,
+    newer_rows,
     older_rows,
-    recent_rows,
-    short_codes,
+    rows_around,
+    short_after,
+    short_before,
 )
-from quotepanel.operators.quality import gate, not_null, stale, unique_key
-from quotepanel.operators.staging import staging as staging_model
-from quotepanel.operators.upsert import upsert
+from quotepanel.operators.quality import STALE_DAYS, gate, not_null, stale, unique_key
+from quotepanel.operators.staging import staging as staging_model, utc_now
+from quotepanel.operators.upsert import upsert, upsert_newest
 from quotepanel.schemas import KEYS
-from quotepanel.sources.landing import list_files, new_files, read_landing_variant
+from quotepanel.sources.landing import folders_of, list_files, new_files, read_landing_variant
 from quotepanel.sources.layers import Layers, State
 
 CHECKED = [*KEYS, "rate"]
@@ -44,9 +46,13 @@ def table_checks(rows: DataFrame, layer: str) -> dict[str, DataFrame]:
     }
 
 
-def _mart_checks(mart: DataFrame, whole: DataFrame, as_of: date | None) -> dict[str, DataFrame]:
+def _mart_checks(layers: Layers, mart: DataFrame, whole: DataFrame, run_ts, as_of: date | None) -> dict[str, DataFrame]:
+    """The checks of the mart; its age counts from ``as_of``, else from the run's own day."""
     checks = table_checks(mart, "mart")
-    return checks if as_of is None else checks | {"mart_stale": stale(whole, as_of)}
+    if layers.stale_days is None and as_of is None:
+        return checks
+    day = as_of or (F.to_date(utc_now()) if run_ts is None else F.lit(run_ts).cast("date"))
+    return checks | {"mart_stale": stale(whole, day, STALE_DAYS if layers.stale_days is None else layers.stale_days)}
 
 
 def _attempt(run_id: str) -> str:
@@ -59,30 +65,38 @@ def _build(layers: Layers, state: State, raw: DataFrame, run_id: str, run_ts, as
     attempt = _attempt(run_id)
     layers.write_snapshot("staging", staging_model(raw, run_ts), attempt)
     staging = layers.read_snapshot("staging", attempt)
-    buckets = layers.bucket_starts(staging)
+    buckets = layers.bucket_ranges(staging)
     if not buckets:
         return LoadResult("skipped", run_id)
     gate(table_checks(staging, "staging"))
     layers.write_snapshot("mart", mart_daily(staging, run_ts), attempt)
     mart = layers.read_snapshot("mart", attempt)
-    gate(_mart_checks(mart, mart, as_of))
+    gate(_mart_checks(layers, mart, mart, run_ts, as_of))
     layers.commit(run_id, attempt, {"staging": buckets, "mart": buckets}, state)
     return LoadResult("loaded", run_id)
 
 
 def _mart_delta(
-    layers: Layers, state: State, pending: dict[str, str], delta: DataFrame, first: date, run_ts
+    layers: Layers, state: State, pending: dict[str, str], delta: DataFrame, first: date, last: date, run_ts
 ) -> DataFrame:
     """Affected mart rows, from the staging folders around the change only."""
-    edge = first - timedelta(days=LOOKBACK_DAYS)
+    low, high = first - timedelta(days=LOOKBACK_DAYS), last + timedelta(days=LOOKBACK_DAYS)
     columns = [*KEYS, "rate", "updated_at"]
-    near = layers.read("staging", since=edge, pending=pending, state=state)
-    panel = recent_rows(near, first, LOOKBACK_DAYS).select(columns)
-    short = short_codes(panel, delta, first)
-    # Most loads find four recent rows for every code and read no history.
-    if not short.isEmpty():
-        history = layers.read("staging", until=edge, pending=pending, state=state)
-        panel = panel.unionByName(older_rows(history, short, first, LOOKBACK_DAYS).select(columns))
+    near = layers.read("staging", since=low, until=high, pending=pending, state=state)
+    around = rows_around(near, first, last, LOOKBACK_DAYS).select(columns)
+    panel = around
+    # Most loads find four rows for every code on either side, or have no
+    # folders further away, and read nothing more.
+    if layers.folders("staging", until=low, pending=pending, state=state):
+        short = short_before(around, delta, first)
+        if not short.isEmpty():
+            history = layers.read("staging", until=low, pending=pending, state=state)
+            panel = panel.unionByName(older_rows(history, short, first, LOOKBACK_DAYS).select(columns))
+    if layers.folders("staging", since=high, pending=pending, state=state):
+        short = short_after(around, delta, last)
+        if not short.isEmpty():
+            future = layers.read("staging", since=high, pending=pending, state=state)
+            panel = panel.unionByName(newer_rows(future, short, last, LOOKBACK_DAYS).select(columns))
     # The rows of this load carry its time. An older row with an equal time
     # comes out as it was, provided its frame is whole: not before `first`.
     ours = F.col("updated_at") == delta.agg(F.max("updated_at")).scalar()
@@ -95,8 +109,8 @@ def apply_load(
     """Carry landed RAW rows through to a committed mart.
 
     RAW keeps what was landed even if a check fails. STAGING is checked
-    before the mart is computed, the mart before both become visible. Loads
-    are applied in the order of their load times, so a later one wins.
+    before the mart is computed, the mart before both become visible. A row
+    of an earlier load time does not replace one of a later.
     """
     state = layers.state(run_id)
     if state.committed:
@@ -107,24 +121,25 @@ def apply_load(
 
     attempt = _attempt(run_id)
     delta = layers.stage("staging", staging_model(raw, run_ts), attempt)
-    touched = layers.bucket_starts(delta)
+    touched = layers.bucket_ranges(delta)
     if not touched:
         return LoadResult("skipped", run_id)
     gate(table_checks(delta, "staging"))
 
     known = layers.read("staging", touched, state=state).drop(BUCKET)
-    layers.write_snapshot("staging", upsert(known, delta), attempt)
+    layers.write_snapshot("staging", upsert_newest(known, delta, "loaded_at"), attempt)
 
     pending = dict.fromkeys(touched, attempt)
-    rows = _mart_delta(layers, state, pending, delta, min(touched.values()), run_ts)
+    first, last = min(a for a, _ in touched.values()), max(b for _, b in touched.values())
+    rows = _mart_delta(layers, state, pending, delta, first, last, run_ts)
     mart_delta = layers.stage("mart", rows, attempt)
-    altered = layers.bucket_starts(mart_delta)
+    altered = layers.bucket_ranges(mart_delta)
     known = layers.read("mart", altered, state=state).drop(BUCKET)
     layers.write_snapshot("mart", upsert(known, mart_delta), attempt)
 
     pending = dict.fromkeys(altered, attempt)
     mart = layers.read("mart", pending=pending, state=state)
-    gate(_mart_checks(layers.read_snapshot("mart", attempt), mart, as_of))
+    gate(_mart_checks(layers, layers.read_snapshot("mart", attempt), mart, run_ts, as_of))
     layers.commit(run_id, attempt, {"staging": touched, "mart": altered}, state)
     return LoadResult("loaded", run_id)
 
@@ -159,11 +174,11 @@ def run_load(
     run_id = run_id or f"run-{uuid.uuid4().hex[:12]}"
     listing = new_files(list_files(layers.spark, landing), layers.ledger())
     found = layers.stage("files", _in_range(listing, start, end), _attempt(run_id))
-    # File names only: the driver lists them for the scan in any case.
-    paths = [row["path"] for row in found.select("path").toLocalIterator()]
-    if not paths:
+    # The driver sees the folders, one per date; which of their files are new is a join.
+    folders = folders_of(found)
+    if not folders:
         return LoadResult("skipped", run_id)
-    landed = read_landing_variant(layers.spark, paths, run_ts, multi_line=multi_line)
+    landed = read_landing_variant(layers.spark, folders, run_ts, multi_line=multi_line, files=found)
     result = apply_load(layers, landed, run_id, run_ts, as_of)
     layers.append_ledger(found, run_id)
     return result
@@ -191,5 +206,5 @@ def backfill(
     stamp = file_stamp(F.col("file_name"))
     chosen = raw.filter((stamp >= f"{start:%Y%m%d}") & (stamp <= f"{end:%Y%m%d}"))
     delta = store(staging_model(chosen, run_ts))
-    after = upsert(staging, delta)
+    after = upsert(staging, delta.select(*staging.columns))
     return after, mart_incremental(after, delta.select(*KEYS), mart, run_ts, store)

@@ -15,6 +15,8 @@ from quotepanel.schemas import KEYS
 from quotepanel.sources.export import export_frame
 
 EVENT_CODES = ["view", "click", "purchase", "signup", "error"]
+# The driver's events have these dates at every scale; a view needs its columns named.
+EVENT_DATES = [f"2024-01-{day:02d}" for day in range(1, 31)]
 CHOSEN = ["NATION_7", "NATION_3", "NATION_11", "NATION_19", "NATION_0"]
 
 
@@ -161,7 +163,7 @@ def reindex_codes(spark, sf_dir):
 FROM latest WHERE cur_unit IN {FIRST_CODES}""",
 )
 def kpi_snapshot(spark, sf_dir):
-    return overview.kpi(units_mart(spark, sf_dir))
+    return overview.kpi(units_mart(spark, sf_dir), k=4)
 
 
 @query(
@@ -176,7 +178,7 @@ def kpi_snapshot(spark, sf_dir):
 FROM latest WHERE cur_unit IN {FIRST_CODES}""",
 )
 def kpi_cards(spark, sf_dir):
-    return overview.kpi_cards(named_event_mart(spark, sf_dir))
+    return overview.kpi_cards(named_event_mart(spark, sf_dir), k=4)
 
 
 @query(
@@ -221,6 +223,22 @@ def return_ranking(spark, sf_dir):
     return overview.returns(panels.suppliers_panel(spark, sf_dir), 250)
 
 
+@query(
+    "return_display",
+    N_NAMED
+    + ","
+    + sql.period("m", 250)
+    + ","
+    + RANKED.replace("ranked AS", "unnamed AS", 1)
+    + f" SELECT {sql.label('cur_unit', 'cur_nm')} AS cur_unit, return_pct FROM unnamed JOIN (SELECT DISTINCT cur_unit, cur_nm FROM m) USING (cur_unit)"
+    + " ORDER BY return_pct DESC, cur_unit",
+)
+def return_display(spark, sf_dir):
+    """The ranking with names, best first."""
+    panel = named_nation_mart(spark, sf_dir)
+    return names.display(overview.returns(panel, 250), panel, F.desc("return_pct"))
+
+
 @query(
     "return_top_bottom",
     sql.with_(sql.NATIONS, sql.period("n", 66), RANKED)
@@ -421,16 +439,35 @@ def heatmap_long(spark, sf_dir):
     return detail.heatmap(nation_mart(spark, sf_dir), CHOSEN)
 
 
+def _heatmap_columns(name: str, short: bool = False) -> str:
+    shown = {d: f"{d[5:7]}/{d[8:]}" if short else d for d in EVENT_DATES}
+    return f" SELECT {name} AS cur_unit, " + ", ".join(
+        f"max(change_pct) FILTER (result_date = DATE '{d}') AS \"{column}\"" for d, column in shown.items()
+    )
+
+
 @query(
     "heatmap_wide",
-    "PIVOT ("
-    + sql.with_(sql.EVENTS, sql.mart("e"), sql.period("m", 30))
-    + " SELECT cur_unit, result_date, change_pct FROM p) ON result_date USING first(change_pct) GROUP BY cur_unit",
+    sql.with_(sql.EVENTS, sql.mart("e"), sql.period("m", 30)) + _heatmap_columns("cur_unit") + " FROM p GROUP BY cur_unit",
 )
 def heatmap_wide(spark, sf_dir):
     return detail.heatmap_wide(event_mart(spark, sf_dir), EVENT_CODES)
 
 
+@query(
+    "heatmap_display",
+    E_NAMED
+    + ","
+    + sql.period("m", 30)
+    + _heatmap_columns(sql.label("cur_unit", "cur_nm"), short=True)
+    + " FROM p GROUP BY cur_unit, cur_nm",
+)
+def heatmap_display(spark, sf_dir):
+    """Labelled rows and month/day columns."""
+    panel = named_event_mart(spark, sf_dir)
+    return detail.heatmap_labels(names.display(detail.heatmap_wide(panel, EVENT_CODES), panel))
+
+
 # Risk
 
 MOVE_ALERTS = """
@@ -499,6 +536,22 @@ def annualised_volatility(spark, sf_dir):
     return risk.volatility_of(periods.period(supplier_mart(spark, sf_dir), 250))
 
 
+@query(
+    "volatility_display",
+    N_NAMED
+    + ","
+    + sql.period("m", 250)
+    + ", v AS ("
+    + VOLATILITY
+    + f") SELECT {sql.label('cur_unit', 'cur_nm')} AS cur_unit, vol, band FROM v JOIN (SELECT DISTINCT cur_unit, cur_nm FROM m) USING (cur_unit)"
+    + " ORDER BY vol DESC, cur_unit",
+)
+def volatility_display(spark, sf_dir):
+    """Volatilities with names, highest first."""
+    panel = named_nation_mart(spark, sf_dir)
+    return names.display(risk.volatility_of(periods.period(panel, 250)), panel, F.desc("vol"))
+
+
 @query(
     "change_matrix",
     E_MART
@@ -507,7 +560,7 @@ def annualised_volatility(spark, sf_dir):
     + " FROM m GROUP BY result_date",
 )
 def change_matrix(spark, sf_dir):
-    return risk.change_matrix(event_mart(spark, sf_dir), EVENT_CODES, None)
+    return risk.change_matrix(event_mart(spark, sf_dir), EVENT_CODES, None, k=7)
 
 
 def _correlation_sql(source: str) -> str:
@@ -543,7 +596,7 @@ SELECT a.code AS code_a, b.code AS code_b, coalesce(n, 0) AS n, corr
 FROM codes a JOIN codes b ON a.code <= b.code LEFT JOIN pairs ON code_a = a.code AND code_b = b.code""",
 )
 def change_correlation(spark, sf_dir):
-    return _rounded(risk.correlation(nation_mart(spark, sf_dir), SEVEN, None))
+    return _rounded(risk.correlation(nation_mart(spark, sf_dir), SEVEN, None, k=7))
 
 
 @query(
@@ -555,7 +608,7 @@ def change_correlation(spark, sf_dir):
     + " FROM mirrored GROUP BY code_a",
 )
 def correlation_matrix(spark, sf_dir):
-    square = risk.correlation_matrix(event_mart(spark, sf_dir), EVENT_CODES, None)
+    square = risk.correlation_matrix(event_mart(spark, sf_dir), EVENT_CODES, None, k=7)
     return square.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in EVENT_CODES})
 
 

@@ -149,8 +149,8 @@ def dq_stale(spark, sf_dir):
 UNION ALL SELECT 'staging_unique_key', count(*) FROM
   (SELECT 1 FROM broken GROUP BY result_date, cur_unit HAVING count(*) > 1)
 UNION ALL SELECT 'mart_not_null', count(*) FROM m WHERE rate IS NULL
-UNION ALL SELECT 'mart_unique_key', 0
-UNION ALL SELECT 'mart_stale', 1""",
+UNION ALL SELECT 'mart_unique_key', count(*) FROM (SELECT 1 FROM m GROUP BY result_date, cur_unit HAVING count(*) > 1)
+UNION ALL SELECT 'mart_stale', (coalesce(max(result_date) < DATE '2100-01-01' - INTERVAL 4 DAY, true))::BIGINT FROM m""",
 )
 def dq_report(spark, sf_dir):
     broken, mart = _broken_panel(spark, sf_dir), nation_mart(spark, sf_dir)
@@ -175,8 +175,8 @@ UNION ALL SELECT 'after the end', count(*) = 0 FROM s WHERE result_date > DATE '
 def empty_panel(spark, sf_dir):
     panel = panels.suppliers_panel(spark, sf_dir)
     later = panel.filter(F.col("result_date") > date(2100, 1, 1))
-    found = [("all", quality.is_empty(panel)), ("after the end", quality.is_empty(later))]
-    return spark.createDataFrame(found, "rows string, is_empty boolean")
+    found = [quality.emptiness(rows).select(F.lit(name).alias("rows"), "is_empty") for name, rows in (("all", panel), ("after the end", later))]
+    return found[0].unionByName(found[1])
 
 
 # Upsert and incremental maintenance

@@ -20,7 +20,7 @@ def supplier_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return staging_ops.staging(panels.events_raw(spark, sf_dir), RUN_TS)
+    return staging_ops.staging(panels.events_raw(spark, sf_dir), RUN_TS).drop("loaded_at")
 
 
 @query(
@@ -82,7 +82,7 @@ def parse_amount(spark, sf_dir):
 def run_stamp(spark, sf_dir):
     panel = panels.events_panel(spark, sf_dir).select(*KEYS, "rate")
     now = staging_ops.stamp(panel).withColumn(
-        "is_utc_now", F.abs(F.unix_seconds(F.col("updated_at").cast("timestamp")) - F.unix_seconds(F.now())) < 86400
+        "is_utc_now", F.abs(F.unix_seconds(F.col("updated_at").cast("timestamp")) - F.unix_seconds(F.now())) < 600
     )
     return staging_ops.stamp(now.drop("updated_at"), RUN_TS)
 

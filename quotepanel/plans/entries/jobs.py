@@ -6,14 +6,14 @@ landed files hold every event, so the work grows with the tables.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import timedelta
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quotepanel.plans import panels, sql
-from quotepanel.plans.daily import run_load
+from quotepanel.plans.daily import rebuild, run_load
 from quotepanel.plans.entries.analytics import named_nation_mart, N_NAMED
 from quotepanel.plans.entries.ingest import MART_COLUMNS, MART_SQL, RUN_TS
 from quotepanel.plans.registry import query
@@ -36,7 +36,7 @@ MIDDLE = "20240116"
 
 def _landed(spark: SparkSession, rows: DataFrame, purpose: str) -> str:
     path = shared_folder(spark, purpose)
-    write_landing(rows, path)
+    write_landing(rows, path, "event_id")
     return path
 
 
@@ -64,8 +64,8 @@ def landing_scan(spark, sf_dir):
     path = shared_folder(spark, "landing-scan")
     write_landing_arrays(panels.event_chunks(spark, sf_dir), path, "chunk")
     landed = read_landing(spark, path, RUN_TS, multi_line=False)
-    lineage = (F.col("file_size") > 0) & F.col("file_mtime").isNotNull()
-    return landed.withColumn("has_lineage", lineage).drop("file_size", "file_mtime")
+    lineage = (F.col("file_size") > 0) & F.col("file_mtime").isNotNull() & F.col("file_path").contains("/search_date=")
+    return landed.withColumn("has_lineage", lineage).drop("file_path", "file_size", "file_mtime")
 
 
 @query(
@@ -140,9 +140,9 @@ def load_ledger(spark, sf_dir):
     """Files of the first load are skipped by the second, all by the third."""
     rows = panels.events_landing(spark, sf_dir)
     landing = _landed(spark, rows.filter(F.col("search_date") < MIDDLE), "ledger-landing")
-    layers = create_layers(spark, shared_folder(spark, "ledger"))
+    layers = create_layers(spark, shared_folder(spark, "ledger"), stale_days=None)
     run_load(layers, landing, RUN_TS, run_id="first", multi_line=False)
-    write_landing(rows.filter(F.col("search_date") >= MIDDLE), landing)
+    write_landing(rows.filter(F.col("search_date") >= MIDDLE), landing, "event_id")
     run_load(layers, landing, RUN_TS, run_id="second", multi_line=False)
     run_load(layers, landing, RUN_TS, run_id="third", multi_line=False)
     second = _per_file(layers.raw("second")).select("file_name", F.lit(True).alias("second_load"))
@@ -160,7 +160,7 @@ def append_new_query(spark, sf_dir):
     path = _landed(spark, panels.events_landing(spark, sf_dir), "append-landing")
     landed = read_landing(spark, path, RUN_TS, multi_line=False)
     early = F.regexp_substr("file_name", F.lit("[0-9]{8}")) < MIDDLE
-    ledger = landed.filter(early).select("file_name", "file_mtime", "file_size").distinct()
+    ledger = landed.filter(early).select("file_path", "file_mtime", "file_size").distinct()
     return _per_file(append_new(landed, ledger))
 
 
@@ -213,11 +213,14 @@ def mart_scan(spark, sf_dir):
 
 @query("backfill_job", LANDED_MART + " " + MART_SQL)
 def backfill_job(spark, sf_dir):
-    """Days 10 to 20 are loaded first; two backfills add what is before and after."""
+    """The middle third of the events' dates is loaded first; two backfills that overlap it add the rest."""
+    events = panels.events_panel(spark, sf_dir)
+    first, last = events.agg(F.min("result_date"), F.max("result_date")).first()
     landing = _landed(spark, panels.events_landing(spark, sf_dir), "backfill-landing")
-    layers = create_layers(spark, shared_folder(spark, "backfill"))
-    for start, end in [(10, 20), (1, 14), (18, 31)]:
-        run_load(layers, landing, RUN_TS, date(2024, 1, start), date(2024, 1, end), multi_line=False)
+    layers = create_layers(spark, shared_folder(spark, "backfill"), stale_days=None)
+    third, days = (last - first) / 3, timedelta(days=3)
+    for start, end in [(first + third, last - third), (first, first + third + days), (last - third - days, last)]:
+        run_load(layers, landing, RUN_TS, start, end, multi_line=False)
     return layers.read("mart").select(*MART_COLUMNS)
 
 
@@ -236,14 +239,27 @@ def export_files(spark, sf_dir):
     return spark.read.schema(panel.schema).option("header", True).csv(path)
 
 
+@query("rebuild", LANDED_MART + " " + MART_SQL)
+def rebuild_job(spark, sf_dir):
+    """The newer half is landed first; the full recompute follows load times and lines, not the order of runs."""
+    rows = panels.events_landing(spark, sf_dir)
+    landing = _landed(spark, rows.filter(F.col("search_date") >= MIDDLE), "rebuild-landing")
+    layers = create_layers(spark, shared_folder(spark, "rebuild"), stale_days=None)
+    run_load(layers, landing, RUN_TS, multi_line=False)
+    write_landing(rows.filter(F.col("search_date") < MIDDLE), landing, "event_id")
+    run_load(layers, landing, RUN_TS, multi_line=False)
+    rebuild(layers, RUN_TS)
+    return layers.read("mart").select(*MART_COLUMNS)
+
+
 @query("stream_ingest", LANDED_MART + " " + MART_SQL)
 def stream_ingest(spark, sf_dir):
     """Two rounds of the stream; the second finds only the files added since."""
     rows = panels.events_landing(spark, sf_dir)
     landing = _landed(spark, rows.filter(F.col("search_date") < MIDDLE), "stream-landing")
-    layers = create_layers(spark, shared_folder(spark, "stream"))
+    layers = create_layers(spark, shared_folder(spark, "stream"), stale_days=None)
     checkpoint = layers.path("checkpoint")
     start_stream(layers, landing, checkpoint, RUN_TS, multi_line=False).awaitTermination()
-    write_landing(rows.filter(F.col("search_date") >= MIDDLE), landing)
+    write_landing(rows.filter(F.col("search_date") >= MIDDLE), landing, "event_id")
     start_stream(layers, landing, checkpoint, RUN_TS, multi_line=False).awaitTermination()
     return layers.read("mart").select(*MART_COLUMNS)

@@ -118,14 +118,17 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_variant_object(payload).alias("raw_data"),
         F.col("event_id").alias("pos"),
         F.format_string("exchange_rate_%s.json", "search_date").alias("file_name"),
+        F.lit("").alias("file_path"),
+        F.lit(0).cast("long").alias("block"),
+        F.lit(0).cast("long").alias("line"),
         F.col("ts").cast("timestamp_ntz").alias("loaded_at"),
     )
 
 
 def events_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing rows, one per event, with ``user_id`` as a field the pipeline does not know."""
+    """Landing rows, one per event, with ``user_id`` as a field the pipeline does not know and ``event_id`` as their order."""
     return _payload(spark, sf_dir).select(
-        "search_date", "result", "cur_unit", "cur_nm", "deal_bas_r", "user_id"
+        "search_date", "result", "cur_unit", "cur_nm", "deal_bas_r", "user_id", "event_id"
     )
 
 

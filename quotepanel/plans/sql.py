@@ -71,14 +71,13 @@ def staged(raw: str = "e_raw", name: str = "stg") -> str:
 )"""
 
 
-# STAGING of a landing whose rows share one load time and one position:
-# ties are broken by the payload text.
+# STAGING of a landing whose rows share one load time: the last line of a key wins.
 LANDED = (
     PAYLOAD
     + """,
 stg AS (
   SELECT CAST(strptime(search_date, '%Y%m%d') AS DATE) AS result_date, cur_unit, cur_nm,
-         CAST(replace(max(deal_bas_r), ',', '') AS DOUBLE) AS rate
+         CAST(replace(arg_max(deal_bas_r, event_id), ',', '') AS DOUBLE) AS rate
   FROM payload WHERE result = 1
   GROUP BY search_date, cur_unit, cur_nm
 )"""

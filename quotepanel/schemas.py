@@ -14,6 +14,9 @@ RAW = T.StructType(
         T.StructField("raw_data", T.VariantType()),
         T.StructField("pos", T.IntegerType()),
         T.StructField("file_name", T.StringType()),
+        T.StructField("file_path", T.StringType()),
+        T.StructField("block", T.LongType()),
+        T.StructField("line", T.LongType()),
         T.StructField("loaded_at", T.TimestampNTZType()),
     ]
 )
@@ -24,6 +27,7 @@ STAGING = T.StructType(
         T.StructField("cur_unit", T.StringType()),
         T.StructField("cur_nm", T.StringType()),
         T.StructField("rate", T.DoubleType()),
+        T.StructField("loaded_at", T.TimestampNTZType()),
         T.StructField("updated_at", T.TimestampNTZType()),
     ]
 )
@@ -46,6 +50,7 @@ LEDGER = T.StructType(
         T.StructField("mtime", T.TimestampType()),
         T.StructField("size", T.LongType()),
         T.StructField("run_id", T.StringType()),
+        T.StructField("gen", T.IntegerType()),
     ]
 )
 
@@ -57,5 +62,6 @@ COMMITS = T.StructType(
         T.StructField("snapshot", T.StringType()),
         T.StructField("run_id", T.StringType()),
         T.StructField("seq", T.LongType()),
+        T.StructField("gen", T.IntegerType()),
     ]
 )

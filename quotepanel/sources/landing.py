@@ -26,6 +26,16 @@ def _landed_name() -> Column:
     return F.when(folder_date != "", F.format_string(FILE_NAME, folder_date)).otherwise(F.col("_metadata.file_name"))
 
 
+def _lineage() -> list[Column]:
+    """The file as it is, and the block of it that a line stands in."""
+    return [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block")]
+
+
+def numbered(documents: DataFrame) -> DataFrame:
+    """Documents as read, with the order of the lines of a block."""
+    return documents.withColumn("line", F.monotonically_increasing_id())
+
+
 def _load_time(loaded_at) -> Column:
     from quotepanel.operators.staging import utc_now
 
@@ -43,6 +53,7 @@ def read_landing(
     return landed.select(
         *PAYLOAD_FIELDS,
         _landed_name().alias("file_name"),
+        F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_modification_time").alias("file_mtime"),
         F.col("_metadata.file_size").alias("file_size"),
         _load_time(loaded_at).alias("loaded_at"),
@@ -54,18 +65,30 @@ def elements(documents: DataFrame, loaded_at=None) -> DataFrame:
     array = F.try_variant_get("document", "$", "array<variant>")
     # One column of lineage is fixed before the generator: file metadata is
     # a property of the scan, not of the exploded rows.
-    named = documents.select("document", "file_name")
+    lineage = ["file_name", "file_path", "block", "line"]
+    named = documents.select("document", *lineage)
     return named.select(
-        F.posexplode(F.coalesce(array, F.array("document"))).alias("pos", "raw_data"), "file_name"
-    ).select("raw_data", "pos", "file_name", _load_time(loaded_at).alias("loaded_at"))
+        F.posexplode(F.coalesce(array, F.array("document"))).alias("pos", "raw_data"), *lineage
+    ).select("raw_data", "pos", *lineage, _load_time(loaded_at).alias("loaded_at"))
 
 
 def read_landing_variant(
-    spark: SparkSession, paths: str | list[str], loaded_at=None, mode: str = "FAILFAST", multi_line: bool = True
+    spark: SparkSession,
+    paths: str | list[str],
+    loaded_at=None,
+    mode: str = "FAILFAST",
+    multi_line: bool = True,
+    files: DataFrame | None = None,
 ) -> DataFrame:
-    """Array elements as VARIANT, unknown fields kept; the RAW schema."""
+    """Array elements as VARIANT, unknown fields kept; the RAW schema.
+
+    ``files`` (a column ``path``) keeps only the elements of those files.
+    """
     documents = _reader(spark, multi_line, mode).option("singleVariantColumn", "document").json(paths)
-    return elements(documents.select("document", _landed_name().alias("file_name")), loaded_at)
+    documents = numbered(documents.select("document", _landed_name().alias("file_name"), *_lineage()))
+    if files is not None:
+        documents = documents.join(files.select(F.col("path").alias("file_path")), "file_path", "left_semi")
+    return elements(documents, loaded_at)
 
 
 def stream_landing(spark: SparkSession, path: str, max_files: int | None = None, multi_line: bool = True) -> DataFrame:
@@ -78,7 +101,7 @@ def stream_landing(spark: SparkSession, path: str, max_files: int | None = None,
     )
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path).select("document", _landed_name().alias("file_name"))
+    return reader.json(path).select("document", _landed_name().alias("file_name"), *_lineage())
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
@@ -87,10 +110,21 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
-        .select("path", F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
+        .select(F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size"))
     )
 
 
+def folders_of(files: DataFrame) -> list[str]:
+    """Folders that hold ``files``, none inside another: one per date, however many files a date has."""
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")
+    found = sorted(row["folder"] for row in files.select(folder).distinct().collect())
+    outer: list[str] = []
+    for path in found:
+        if not outer or not path.startswith(outer[-1] + "/"):
+            outer.append(path)
+    return outer
+
+
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files not loaded yet; a rewritten file counts as new."""
     return listing.join(ledger, ["path", "mtime", "size"], "left_anti")
@@ -98,13 +132,21 @@ def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
 
 def append_new(landed: DataFrame, ledger: DataFrame) -> DataFrame:
     """Rows of ``read_landing`` from files the ledger does not hold."""
-    return landed.join(ledger, ["file_name", "file_mtime", "file_size"], "left_anti")
+    return landed.join(ledger, ["file_path", "file_mtime", "file_size"], "left_anti")
 
 
-def write_landing(df: DataFrame, path: str) -> None:
-    """Payload rows to one folder per ``search_date`` (yyyyMMdd text), one object per line."""
-    # Rebalancing gives each date few files and splits a date that is large.
-    df.hint("rebalance", "search_date").write.mode("append").partitionBy("search_date").json(path)
+def write_landing(df: DataFrame, path: str, order: str | None = None) -> None:
+    """Payload rows to one folder per ``search_date`` (yyyyMMdd text), one object per line.
+
+    With ``order``, the lines of a date and its files by name follow that
+    column, which is not written itself.
+    """
+    if order is None:
+        # Rebalancing gives each date few files and splits a date that is large.
+        rows = df.hint("rebalance", "search_date")
+    else:
+        rows = df.repartitionByRange("search_date", order).sortWithinPartitions("search_date", order).drop(order)
+    rows.write.mode("append").partitionBy("search_date").json(path)
 
 
 def write_landing_arrays(df: DataFrame, path: str, chunk: str) -> None:

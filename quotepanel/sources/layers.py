@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quotepanel.functions.dates import BUCKET
+from quotepanel.operators.quality import STALE_DAYS
 from quotepanel.schemas import COMMITS, LEDGER, MART, RAW, STAGING
 
 GRAINS = ("yyyy", "yyyyMM", "yyyyMMdd")
@@ -31,6 +32,18 @@ TABLES = {
 }
 
 
+# Partitions of one catalog statement.
+PARTITIONS_AT_ONCE = 500
+
+# Column of the logs, and the layer of commit rows that only name a run.
+GENERATION = "gen"
+RUN = "run"
+
+
+class ConcurrentRun(RuntimeError):
+    """Two runs wrote at a time; this one is not visible and may be repeated."""
+
+
 @dataclass(frozen=True)
 class State:
     current: dict[str, dict[str, str]]  # layer -> bucket -> snapshot
@@ -43,15 +56,18 @@ class Layers:
 
     ``grain`` is the date text of a bucket and fixed for the life of the
     folder: ``yyyyMM`` suits small panels, whose days are tiny; ``yyyyMMdd``
-    large ones, where a daily load should not rewrite its whole month.
+    large ones, where a daily load should not rewrite its whole month. A mart
+    whose latest date is more than ``stale_days`` before a run's day fails its
+    gate; None turns that off, for histories and part loads.
     """
 
-    def __init__(self, spark: SparkSession, root: str, grain: str = "yyyyMM"):
+    def __init__(self, spark: SparkSession, root: str, grain: str = "yyyyMM", stale_days: int | None = STALE_DAYS):
         if grain not in GRAINS:
             raise ValueError(f"grain must be one of {GRAINS}")
         self.spark = spark
         self.root = root.rstrip("/")
         self.grain = grain
+        self.stale_days = stale_days
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -60,7 +76,8 @@ class Layers:
         """Create the append-only tables if absent."""
         for name, schema in (("commits", COMMITS), ("ledger", LEDGER)):
             if self._log(name, schema) is None:
-                self.spark.createDataFrame([], schema).write.mode("append").parquet(self.path(name))
+                empty = StructType([f for f in schema if f.name != GENERATION])
+                self.spark.createDataFrame([], empty).write.mode("append").parquet(f"{self.path(name)}/{GENERATION}=0")
         return self
 
     def _log(self, name: str, schema) -> DataFrame | None:
@@ -94,18 +111,48 @@ class Layers:
                 raise
             return self.spark.createDataFrame([], RAW)
 
+    # Logs: rows are appended to the newest generation; compaction writes the
+    # next one, and older ones are no longer read.
+
+    def _generation(self, name: str, schema) -> int:
+        newest = self.spark.read.schema(schema).parquet(self.path(name)).agg(F.max(GENERATION)).first()[0]
+        return newest or 0
+
+    def _append(self, name: str, rows: DataFrame, generation: int) -> None:
+        rows.write.mode("append").parquet(f"{self.path(name)}/{GENERATION}={generation}")
+
+    def _newest(self, name: str, schema) -> DataFrame:
+        rows = self.spark.read.schema(schema).parquet(self.path(name))
+        return rows.filter(F.col(GENERATION) == self._generation(name, schema))
+
     def ledger(self) -> DataFrame:
-        return self.spark.read.schema(LEDGER).parquet(self.path("ledger"))
+        return self._newest("ledger", LEDGER).drop(GENERATION)
 
     def append_ledger(self, files: DataFrame, run_id: str) -> None:
-        files.withColumn("run_id", F.lit(run_id)).select(*LEDGER.names).write.mode("append").parquet(
-            self.path("ledger")
-        )
+        rows = files.withColumn("run_id", F.lit(run_id)).select(*[c for c in LEDGER.names if c != GENERATION])
+        self._append("ledger", rows, self._generation("ledger", LEDGER))
+
+    def compact(self) -> None:
+        """Commits and ledger as a new generation of few files; run it between loads."""
+        newest = Window.partitionBy("layer", BUCKET).orderBy(F.desc("seq"))
+        commits = self.commits()
+        current = commits.withColumn("nth", F.row_number().over(newest)).filter("nth = 1").drop("nth")
+        # One more row per run, so that a repeated run is still recognised.
+        runs = commits.groupBy("run_id").agg(F.max("seq").alias("seq"), F.max_by("snapshot", "seq").alias("snapshot"))
+        known = runs.select(F.lit(RUN).alias("layer"), F.col("run_id").alias(BUCKET), "snapshot", "run_id", "seq")
+        rows = current.filter(F.col("layer") != RUN).unionByName(known)
+        self._append("commits", rows.coalesce(1), self._generation("commits", COMMITS) + 1)
+        files = self.ledger().dropDuplicates(["path", "mtime", "size"])
+        self._append("ledger", files, self._generation("ledger", LEDGER) + 1)
 
     # STAGING and MART.
 
     def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMITS).parquet(self.path("commits"))
+        """The commits that count: of two with one number the earlier file."""
+        written = self._newest("commits", COMMITS).drop(GENERATION)
+        timed = written.select("*", F.struct("_metadata.file_modification_time", "snapshot").alias("at"))
+        first = F.min("at").over(Window.partitionBy("seq"))
+        return timed.withColumn("first", first).filter(F.col("at") == F.col("first")).drop("at", "first")
 
     def state(self, run_id: str = "") -> State:
         """What is current, in one look at the commits.
@@ -125,7 +172,7 @@ class Layers:
         current = {layer: {r[BUCKET]: r["snapshot"] for r in rows if r["layer"] == layer} for layer in SCHEMAS}
         return State(current, max((r["seq"] for r in rows), default=0), any(r["ours"] for r in rows))
 
-    def read(
+    def folders(
         self,
         layer: str,
         buckets: Iterable[str] | None = None,
@@ -133,12 +180,8 @@ class Layers:
         until: date | None = None,
         pending: dict[str, str] | None = None,
         state: State | None = None,
-    ) -> DataFrame:
-        """The layer as of ``state`` (default: now), with its ``bucket`` column.
-
-        ``buckets``, ``since`` and ``until`` choose the folders to read, not
-        the rows; ``pending`` shows snapshots a run has not committed yet.
-        """
+    ) -> dict[str, str]:
+        """Bucket and snapshot of the folders that ``read`` opens."""
         chosen = (state or self.state()).current[layer] | (pending or {})
         if buckets is not None:
             chosen = {b: chosen[b] for b in buckets if b in chosen}
@@ -146,6 +189,23 @@ class Layers:
             chosen = {b: s for b, s in chosen.items() if b >= f"{since:%Y%m%d}"[: len(b)]}
         if until is not None:
             chosen = {b: s for b, s in chosen.items() if b <= f"{until:%Y%m%d}"[: len(b)]}
+        return chosen
+
+    def read(
+        self,
+        layer: str,
+        buckets: Iterable[str] | None = None,
+        since: date | None = None,
+        until: date | None = None,
+        pending: dict[str, str] | None = None,
+        state: State | None = None,
+    ) -> DataFrame:
+        """The layer as of ``state`` (default: now), with its ``bucket`` column.
+
+        ``buckets``, ``since`` and ``until`` choose the folders to read, not
+        the rows; ``pending`` shows snapshots a run has not committed yet.
+        """
+        chosen = self.folders(layer, buckets, since, until, pending, state)
         schema = StructType([*SCHEMAS[layer], StructField(BUCKET, StringType())])
         if not chosen:
             return self.spark.createDataFrame([], schema)
@@ -188,23 +248,32 @@ class Layers:
                 raise
             return self.spark.createDataFrame([], SCHEMAS[layer])
 
-    def bucket_starts(self, rows: DataFrame) -> dict[str, date]:
-        """First date with rows per bucket; at most one entry per calendar day."""
+    def bucket_ranges(self, rows: DataFrame) -> dict[str, tuple[date, date]]:
+        """First and last date with rows per bucket; at most one entry per calendar day."""
         bucket = F.date_format("result_date", self.grain).alias(BUCKET)
-        found = rows.groupBy(bucket).agg(F.min("result_date").alias("first")).collect()
-        return {row[BUCKET]: row["first"] for row in found}
+        found = rows.groupBy(bucket).agg(F.min("result_date").alias("first"), F.max("result_date").alias("last")).collect()
+        return {row[BUCKET]: (row["first"], row["last"]) for row in found}
 
     def superseded(self) -> DataFrame:
         """Snapshot folders no longer current, to be deleted once no one reads them."""
         newest = Window.partitionBy("layer", BUCKET).orderBy(F.desc("seq"))
-        old = self.commits().withColumn("nth", F.row_number().over(newest)).filter("nth > 1")
+        old = self.commits().filter(F.col("layer") != RUN).withColumn("nth", F.row_number().over(newest)).filter("nth > 1")
         folder = F.concat_ws("/", F.lit(self.root), "layer", F.concat(F.lit(f"{BUCKET}="), BUCKET))
         return old.select("layer", BUCKET, F.concat(folder, F.lit("/snapshot="), "snapshot").alias("path"))
 
     def commit(self, run_id: str, snapshot: str, buckets: dict[str, Iterable[str]], state: State) -> None:
-        """Make a snapshot current: one file, all layers at once."""
-        rows = [(layer, bucket, snapshot, run_id, state.seq + 1) for layer, bs in buckets.items() for bucket in bs]
-        self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(self.path("commits"))
+        """Make a snapshot current: one file, all layers at once.
+
+        Refused if another run has committed since ``state`` was read.
+        """
+        seq = state.seq + 1
+        rows = [(layer, bucket, snapshot, run_id, seq) for layer, bs in buckets.items() for bucket in bs]
+        schema = StructType([f for f in COMMITS if f.name != GENERATION])
+        if self.state().seq != state.seq:
+            raise ConcurrentRun(f"another run committed before {run_id}")
+        self._append("commits", self.spark.createDataFrame(rows, schema).coalesce(1), self._generation("commits", COMMITS))
+        if self.commits().filter((F.col("seq") == seq) & (F.col("snapshot") == snapshot)).isEmpty():
+            raise ConcurrentRun(f"another run committed together with {run_id}")
 
     def stage(self, name: str, rows: DataFrame, attempt: str) -> DataFrame:
         """Write an intermediate result of a run and read it back.
@@ -230,24 +299,24 @@ class Layers:
             else:
                 fields, partition = SCHEMAS[layer], BUCKET
             columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fields)
+            # External tables: dropping one leaves its files.
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {table} ({columns}, {partition} string) "
+                f"CREATE TABLE {table} ({columns}, {partition} string) "
                 f"USING parquet PARTITIONED BY ({partition}) LOCATION '{self.path(layer)}'"
             )
             if layer == "raw":
                 self.spark.sql(f"MSCK REPAIR TABLE {table}")
                 continue
-            for bucket, snapshot in current[layer].items():
-                folder = self._folder(layer, bucket, snapshot)
-                spec = f"PARTITION ({BUCKET}='{bucket}')"
-                self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {spec} LOCATION '{folder}'")
-                self.spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{folder}'")
+            specs = [f"PARTITION ({BUCKET}='{b}') LOCATION '{self._folder(layer, b, s)}'" for b, s in sorted(current[layer].items())]
+            for i in range(0, len(specs), PARTITIONS_AT_ONCE):
+                self.spark.sql(f"ALTER TABLE {table} ADD {' '.join(specs[i : i + PARTITIONS_AT_ONCE])}")
             self.spark.catalog.refreshTable(table)
         return tables
 
 
-def create_layers(spark: SparkSession, root: str, grain: str = "yyyyMM") -> Layers:
-    return Layers(spark, root, grain).create()
+def create_layers(spark: SparkSession, root: str, grain: str = "yyyyMM", stale_days: int | None = STALE_DAYS) -> Layers:
+    return Layers(spark, root, grain, stale_days).create()
 
 
 def scan_mart(layers: Layers, columns: list[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from quotepanel.plans.daily import apply_load
-from quotepanel.sources.landing import elements, stream_landing
+from quotepanel.sources.landing import elements, numbered, stream_landing
 from quotepanel.sources.layers import Layers
 
 
@@ -17,17 +17,23 @@ def stream_ingest(
     run_ts=None,
     max_files: int | None = None,
     multi_line: bool = True,
+    stream_id: str | None = None,
 ) -> StreamingQuery:
     """Load every file not seen yet, batch by batch, then stop.
 
-    A batch is one run of the daily load named after its batch id, so one
-    that is replayed after a failure is recognised and changes nothing. The
+    A batch is one run of the daily load, named after the stream and its batch
+    id, so one that is replayed after a failure is recognised and changes
+    nothing. The stream's own id lives in its checkpoint: a new checkpoint or
+    a second stream is another stream, whose batches are all loaded. The
     windows of the mart run inside the batch. A file rewritten in place is
     not seen again by a file stream: use a new name, or ``run_load``.
     """
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        apply_load(layers, elements(batch, run_ts), f"batch-{batch_id:09d}", run_ts)
+        stream = stream_id or batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("the stream has no id; pass stream_id")
+        apply_load(layers, elements(numbered(batch), run_ts), f"stream-{stream}-{batch_id:09d}", run_ts)
 
     return (
         stream_landing(layers.spark, landing, max_files, multi_line)

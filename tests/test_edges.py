@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from quotepanel.functions import numeric, text
 from quotepanel.operators import detail, ops, overview, period, quality, risk
 from quotepanel.operators.mart import mart_daily, mart_incremental
-from quotepanel.operators.names import enrich, labelled
+from quotepanel.operators.names import display, enrich, labelled
 from quotepanel.operators.staging import staging, staging_quarantine
 from quotepanel.operators.upsert import DuplicateKeys, guarded_upsert, upsert
 
@@ -383,3 +383,39 @@ class TestText:
     def test_labelled_panel(self, spark):
         p = panel(spark, {"USD": [1]}).withColumn("cur_nm", F.lit("Dollar"))
         assert labelled(p).first()["cur_unit"] == "USD(Dollar)"
+
+
+class TestWholeSelections:
+    CODES = [f"C{i}" for i in range(10)]
+
+    def test_ten_codes_give_ten_cards_and_all_pairs(self, spark):
+        m = mart(spark, {c: [1 + i, 2 + i * i, 3, 5 - i % 3] for i, c in enumerate(self.CODES)})
+        assert {r["cur_unit"] for r in overview.kpi(m, self.CODES).collect()} == set(self.CODES)
+        assert risk.correlation(m, self.CODES, None).count() == 55
+        assert len(risk.correlation_matrix(m, self.CODES, None).columns) == 11
+        assert risk.correlation(m, self.CODES, None, k=7).count() == 28
+        named = m.withColumn("cur_nm", F.lower("cur_unit"))
+        assert overview.kpi_cards(named, self.CODES).count() == 10
+        assert detail.cross_pairs(m, [(a, b) for a in self.CODES for b in self.CODES], True).count() == 90
+
+    def test_alerts_history_and_rows_without_a_limit(self, spark):
+        m = mart(spark, {c: [1 + j % 2 for j in range(50)] for c in self.CODES}).withColumn("cur_nm", F.lower("cur_unit"))
+        assert risk.alert_table(m, None, limit=None).count() == risk.alerts(m, None, limit=None).count() == 490
+        assert ops.history(m, None).count() == 50
+        assert ops.latest_rows(m, None).count() == 500
+
+    def test_results_for_people_are_named_and_sorted(self, spark):
+        m = mart(spark, {"USD": [1, 2], "EUR": [1, 3], "CNH": [1, 2]}).withColumn("cur_nm", F.lower("cur_unit"))
+        shown = display(overview.returns(m), m, F.desc("return_pct")).collect()
+        assert [(r["cur_unit"], r["return_pct"]) for r in shown] == [("EUR(eur)", 200.0), ("CNH(cnh)", 100.0), ("USD(usd)", 100.0)]
+
+
+class TestNearRows:
+    def test_correction_reads_the_next_four_rows_of_a_sparse_code(self, spark):
+        days = [START + timedelta(days=i) for i in (0, 40, 80, 120, 160, 200, 240)]
+        rows = [(d, "USD", float(i + 1)) for i, d in enumerate(days)]
+        before = spark.createDataFrame(rows, "result_date date, cur_unit string, rate double")
+        after = before.withColumn("rate", F.when(F.col("result_date") == days[2], 50.0).otherwise(F.col("rate")))
+        changed = after.filter(F.col("result_date") == days[2])
+        stamp = "2026-08-14 00:00:00"
+        assert sorted(mart_incremental(after, changed, mart_daily(before, stamp), stamp).collect()) == sorted(mart_daily(after, stamp).collect())

@@ -14,7 +14,7 @@ from quotepanel.operators.quality import QualityError
 from quotepanel.plans.daily import apply_load, rebuild, run_load
 from quotepanel.session import shared_folder
 from quotepanel.sources.landing import list_files, new_files, read_landing, read_landing_variant
-from quotepanel.sources.layers import create_layers, scan_mart
+from quotepanel.sources.layers import ConcurrentRun, create_layers, scan_mart
 from quotepanel.streaming.ingest import stream_ingest
 
 DAY_1 = date(2026, 8, 10)
@@ -47,7 +47,8 @@ def landing(tmp_path):
 
 @pytest.fixture
 def layers(spark, root):
-    return create_layers(spark, root)
+    # Fixed dates of the past: only the test of it checks their age.
+    return create_layers(spark, root, stale_days=None)
 
 
 def mart_rows(layers):
@@ -95,7 +96,7 @@ def test_daily_runs_equal_one_full_recompute(spark, landing, layers):
 
 @pytest.mark.parametrize("grain", ["yyyy", "yyyyMMdd"])
 def test_any_grain_of_folders(spark, landing, root, grain):
-    layers = create_layers(spark, root, grain)
+    layers = create_layers(spark, root, grain, stale_days=None)
     for i, day in enumerate(days(5, date(2025, 12, 29))):
         land(landing, day, [quote("USD", 100 + i)])
         run_load(layers, landing)
@@ -280,3 +281,104 @@ def test_shared_folder_follows_the_session(spark):
     if configured:
         assert shared_folder(spark, "x").startswith(configured.rstrip("/"))
     assert shared_folder(spark, "x") != shared_folder(spark, "x")
+
+
+def test_second_stream_and_fresh_checkpoint_lose_nothing(spark, tmp_path, layers):
+    first, second = str(tmp_path / "one"), str(tmp_path / "two")
+    land(first, days(2)[0], [quote("USD", 100)])
+    land(second, days(2)[1], [quote("EUR", 200)])
+    stream_ingest(layers, first, layers.path("checkpoint-1")).awaitTermination()
+    stream_ingest(layers, second, layers.path("checkpoint-2")).awaitTermination()
+    assert [r[1] for r in mart_rows(layers)] == ["USD", "EUR"]
+    land(first, days(3)[2], [quote("USD", 101)])
+    stream_ingest(layers, first, layers.path("checkpoint-3")).awaitTermination()
+    assert [r[1:3] for r in mart_rows(layers)] == [("USD", 100.0), ("EUR", 200.0), ("USD", 101.0)]
+
+
+def test_part_files_of_equal_size_and_time_are_both_new(spark, landing, layers):
+    folder = f"{landing}/search_date=20260810"
+    os.makedirs(folder)
+    for part, code in enumerate(("USD", "EUR")):
+        path = f"{folder}/part-{part}.json"
+        with open(path, "w") as out:
+            out.write(json.dumps(quote(code, 10)) + "\n")
+        os.utime(path, (1_700_000_000, 1_700_000_000))
+        assert run_load(layers, landing, multi_line=False).status == "loaded"
+    assert [r[1] for r in mart_rows(layers)] == ["EUR", "USD"]
+    assert layers.raw().count() == 2
+
+
+def test_last_line_of_one_load_wins(landing, layers):
+    folder = f"{landing}/search_date=20260810"
+    os.makedirs(folder)
+    with open(f"{folder}/part-0.json", "w") as out:
+        for rate in (99, 1000, 5):
+            out.write(json.dumps(quote("USD", rate)) + "\n")
+    run_load(layers, landing, multi_line=False)
+    assert [r[2] for r in mart_rows(layers)] == [5.0]
+
+
+def test_earlier_load_time_does_not_replace_a_later_one(landing, layers):
+    land(landing, DAY_1, [quote("USD", 10)])
+    run_load(layers, landing, "2026-08-12 00:00:00")
+    land(landing, DAY_1, [quote("USD", 2000)])
+    run_load(layers, landing, "2026-08-11 00:00:00")
+    assert [r[2] for r in mart_rows(layers)] == [10.0]
+    rebuild(layers)
+    assert [r[2] for r in mart_rows(layers)] == [10.0]
+
+
+def test_correction_in_a_long_history_opens_the_folders_around_it(landing, layers, monkeypatch):
+    for i, day in enumerate(days(200, date(2025, 9, 1))):
+        land(landing, day, [quote("USD", 100 + i), *([quote("EUR", i + 1)] if i % 50 == 0 else [])])
+    run_load(layers, landing)
+    land(landing, date(2025, 12, 15), [quote("USD", 5)])
+    opened = []
+    read = type(layers).read
+
+    def watch(self, layer, *args, **kwargs):
+        frame = read(self, layer, *args, **kwargs)
+        if layer == "staging":
+            opened.extend(path.split("bucket=")[1][:6] for path in frame.inputFiles())
+        return frame
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(layers), "read", watch)
+        # USD has rows all around; EUR is not in this load.
+        run_load(layers, landing)
+    assert set(opened) <= {"202512"}
+    full = mart_daily(layers.read("staging")).drop("updated_at")
+    assert sorted(full.collect()) == sorted(layers.read("mart").drop("updated_at", "bucket").collect())
+
+
+def test_gate_asks_for_a_fresh_mart(spark, landing, root):
+    land(landing, DAY_1, [quote("USD", 10)])
+    with pytest.raises(QualityError) as error:
+        run_load(create_layers(spark, root), landing)
+    assert error.value.failures == {"mart_stale": 1}
+    assert run_load(create_layers(spark, root), landing, f"{DAY_1:%Y-%m-%d} 12:00:00").status == "loaded"
+
+
+def test_second_writer_is_refused(spark, landing, layers):
+    land(landing, DAY_1, [quote("USD", 10)])
+    state = layers.state()
+    run_load(layers, landing)
+    before = mart_rows(layers)
+    with pytest.raises(ConcurrentRun):
+        layers.commit("late", "late-1", {"mart": ["202608"]}, state)
+    assert mart_rows(layers) == before
+
+
+def test_compaction_keeps_state_runs_and_ledger(spark, landing, layers):
+    for day in days(3):
+        land(landing, day, [quote("USD", 10)])
+        run_load(layers, landing, run_id=f"run-{day:%d}")
+    before, runs = mart_rows(layers), layers.commits().count()
+    layers.compact()
+    assert mart_rows(layers) == before and layers.commits().count() <= runs
+    assert layers.state("run-10").committed
+    assert run_load(layers, landing).status == "skipped"
+    land(landing, days(4)[3], [quote("USD", 11)])
+    assert run_load(layers, landing).status == "loaded"
+    layers.compact()
+    assert len(mart_rows(layers)) == 4
