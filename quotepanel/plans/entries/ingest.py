@@ -96,7 +96,7 @@ FROM e_raw WHERE json_extract_string(raw_data, '$.result') = '1'""",
 )
 def valid_rows(spark, sf_dir):
     good = staging_ops.valid_rows(panels.events_raw(spark, sf_dir))
-    return staging_ops.extract(good, {"cur_unit": "$.cur_unit"}).drop("raw_data")
+    return staging_ops.extract(good, {"cur_unit": "$.cur_unit"}).select("pos", "file_name", "loaded_at", "cur_unit")
 
 
 @query(
