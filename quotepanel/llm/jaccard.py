@@ -16,7 +16,8 @@ similarity of num/den, two similar documents share one of the first
 3. All shingles: groups that share a prefix shingle and are not in one
    component yet meet, filtered by size, by the position of the shingle, and
    by the number and last position of all their shared ones. Pairs that stay
-   are expanded to classes and verified.
+   are expanded to classes, filtered by their parity maps (a bit that differs
+   takes a shingle that differs) and verified.
 
 Pairs within one component need no look, since only components are asked for;
 any pair across components that can be similar is verified, so no component
@@ -45,6 +46,8 @@ from quotepanel.session import stored
 
 COMMON = 0.002
 LEAST_COMMON = 4
+#: Bits of a set's parity map, in longs.
+MAP_LONGS = 16
 #: Ids (8 bytes each) that may be broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 
@@ -105,7 +108,7 @@ def _prefixes(k: int, num: int, den: int, shared):
                     own, r = value[first[i] : first[i + 1]], rank[first[i] : first[i + 1]]
                     n = len(own)
                     if not n:
-                        rows.append((0, 0, 0, 0, 0, []))
+                        rows.append((0, 0, 0, 0, 0, [], []))
                         continue
                     rare = own[r < 0]
                     length = n - -(-n * num // den) + 1
@@ -116,16 +119,17 @@ def _prefixes(k: int, num: int, den: int, shared):
                     s = mix(own + np.uint64(n))
                     p = mix(prefix * MULTIPLIER + np.arange(len(prefix), dtype=np.uint64) + np.uint64(n))
                     signs = [x.sum(dtype=np.uint64).astype(np.int64) for x in (s, mix(s * MULTIPLIER), p, mix(p * MULTIPLIER))]
-                    rows.append((*map(int, signs), len(rare), prefix.view(np.int64)))
+                    odd = np.bincount((own >> np.uint64(32)).astype(np.int64) % (64 * MAP_LONGS), minlength=64 * MAP_LONGS) & 1
+                    rows.append((*map(int, signs), len(rare), prefix.view(np.int64), np.packbits(odd.astype(np.uint8)).view(np.int64)))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(part.first, len(part)),
                         pa.array(size),
                         *[pa.array(np.array(x, np.int64)) for x in columns[:5]],
-                        pa.array([list(x) for x in columns[5]], pa.list_(pa.int64())),
+                        *[pa.array([list(x) for x in own], pa.list_(pa.int64())) for own in columns[5:]],
                     ],
-                    names=["doc_id", "n", "s1", "s2", "g1", "g2", "rare", "prefix"],
+                    names=["doc_id", "n", "s1", "s2", "g1", "g2", "rare", "prefix", "parity"],
                 )
 
     return run
@@ -179,14 +183,16 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
     """doc_id, n_shingles, component_id for each row of ``documents`` (doc_id long, text)."""
     documents = documents.select("doc_id", "text")
     shared = documents.sparkSession.sparkContext.broadcast(common_shingles(documents, k))
-    schema = "doc_id long, n long, s1 long, s2 long, g1 long, g2 long, rare long, prefix array<long>"
+    schema = "doc_id long, n long, s1 long, s2 long, g1 long, g2 long, rare long, prefix array<long>, parity array<long>"
     sets = stored(documents.mapInArrow(_prefixes(k, num, den, shared), schema), "prefixes")
     some = sets.filter("n > 0 AND doc_id IS NOT NULL")
     groups = stored(
         some.groupBy("n", "g1", "g2").agg(F.min("doc_id").alias("gid"), F.any_value("rare").alias("rare"), F.any_value("prefix").alias("prefix")), "groups"
     )
-    classes = some.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"), F.min("g1").alias("g1"), F.min("g2").alias("g2"))
-    members = stored(classes.join(groups.select("n", "g1", "g2", "gid"), ["n", "g1", "g2"]).select("rep", "gid", "n", "s1", "s2"), "members")
+    classes = some.groupBy("n", "s1", "s2").agg(
+        F.min("doc_id").alias("rep"), F.min("g1").alias("g1"), F.min("g2").alias("g2"), F.any_value("parity").alias("parity")
+    )
+    members = stored(classes.join(groups.select("n", "g1", "g2", "gid"), ["n", "g1", "g2"]).select("rep", "gid", "n", "s1", "s2", "parity"), "members")
     postings = groups.select("gid", "n", "rare", F.posexplode("prefix").alias("pos", "shingle"))
 
     # 2. Hubs of common shingles, and the first class of each group.
@@ -204,11 +210,14 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
     first = components(first_links)
 
     # 3. All pairs of groups across components.
-    joined = members.join(first, F.col("rep") == F.col("node"), "left").select("rep", "gid", F.coalesce("root", "rep").alias("part"))
+    joined = members.join(first, F.col("rep") == F.col("node"), "left").select("rep", "gid", "n", "parity", F.coalesce("root", "rep").alias("part"))
     parts = stored(joined, "parts")
-    placed = postings.select("gid", "n", "pos", "shingle").join(parts.select(F.col("gid").alias("of"), "part").distinct(), F.col("gid") == F.col("of")).drop("of")
-    mixed = placed.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low < high").select("shingle")
-    lists = stored(placed.join(mixed, "shingle"), "lists")
+    in_parts = stored(groups.select("gid", "n", "prefix").join(parts.select("gid", "part").distinct(), "gid"), "groups-in-parts")
+    placed = in_parts.select("gid", "n", "part", F.posexplode("prefix").alias("pos", "shingle"))
+    by_shingle = placed.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+    mixed = stored(by_shingle.filter("low < high").select(F.col("shingle").alias("in_lists")), "list-shingles")
+    mixed = F.broadcast(mixed) if mixed.count() <= BROADCAST_IDS else mixed
+    lists = stored(placed.join(mixed, F.col("shingle") == F.col("in_lists"), "left_semi"), "lists")
     one = lists.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("gid", "part", "n", "pos")])
     two = lists.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("gid", "part", "n", "pos")])
     close = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
@@ -220,9 +229,15 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
         .filter(_reach("n_a", "pos_a", "n_b", "pos_b", num, den, F.col("shared") - 1))
     )
     met = met.select("gid_a", "part_a", "gid_b", "part_b")
-    left = parts.select(*[F.col(c).alias(f"{c}_a") for c in ("gid", "part", "rep")])
-    right = parts.select(*[F.col(c).alias(f"{c}_b") for c in ("gid", "part", "rep")])
-    pairs = met.join(left, ["gid_a", "part_a"]).join(right, ["gid_b", "part_b"]).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    left = parts.select(*[F.col(c).alias(f"{c}_a") for c in ("gid", "part", "rep", "n", "parity")])
+    right = parts.select(*[F.col(c).alias(f"{c}_b") for c in ("gid", "part", "rep", "n", "parity")])
+    differ = F.aggregate(F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    pairs = (
+        met.join(left, ["gid_a", "part_a"])
+        .join(right, ["gid_b", "part_b"])
+        .filter((F.col("n_a") + F.col("n_b") - differ) * (num + den) >= 2 * num * (F.col("n_a") + F.col("n_b")))
+        .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+    )
     links = verified(pairs, documents, k, num, den).unionByName(first_links)
 
     roots = members.join(components(links), F.col("rep") == F.col("node"), "left").select(
