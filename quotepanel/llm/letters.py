@@ -55,7 +55,9 @@ def letters(texts: Texts, lead: int) -> tuple[np.ndarray, np.ndarray]:
 
 def gram_keys(codes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the ``n`` codes that end at each place from ``n - 1`` on."""
-    out = np.zeros(max(len(codes) - n + 1, 0), np.uint64)
+    if len(codes) < n:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(len(codes) - n + 1, np.uint64)
     for i in range(n):
         out = out * MULTIPLIER + codes[i : len(codes) - n + 1 + i] + np.uint64(1)
     return mix(out * MULTIPLIER + np.uint64(n))
