@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotepanel.llm import bpe, chat, jaccard, langid, mixing, neardup, quality, repeats, toxicity
+from quotepanel.llm import bpe, chat, jaccard, langid, mixing, neardup, quality, repeats, sharding, toxicity
 from quotepanel.llm.common import held_out, table
 from quotepanel.session import stored
 
@@ -192,3 +192,30 @@ def repeat_digest(rows: DataFrame) -> DataFrame:
 @query()
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digest(repeats.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+OP6_SQL = """
+WITH RECURSIVE shards AS (
+  SELECT range AS shard, 'shard-' || lpad(range::VARCHAR, 5, '0') AS name FROM range(32)),
+preference AS (
+  SELECT list(('0x' || substr(md5(name || ' offset'), 1, 12))::BIGINT % 4099 ORDER BY shard) AS starts,
+         list(('0x' || substr(md5(name || ' skip'), 1, 12))::BIGINT % 4098 + 1 ORDER BY shard) AS skips
+  FROM shards),
+turns AS (
+  SELECT 0 AS turn, list_transform(range(4099), lambda x: -1) AS filled
+  UNION ALL
+  SELECT turn + 1, filled[:slot] || [turn % 32] || filled[slot + 2:]
+  FROM (
+    SELECT turn, filled,
+           (starts[turn % 32 + 1] + skips[turn % 32 + 1] * list_filter(range(4099),
+              lambda j: filled[(starts[turn % 32 + 1] + j * skips[turn % 32 + 1]) % 4099 + 1] < 0)[1]) % 4099 AS slot
+    FROM turns, preference WHERE turn < 4099)),
+slots AS (SELECT unnest(range(4099)) AS slot, unnest(filled) AS shard FROM turns WHERE turn = 4099)
+SELECT doc_id, slot::BIGINT AS slot, shard::BIGINT AS shard
+FROM (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT % 4099 AS slot FROM documents) JOIN slots USING (slot)
+"""
+
+
+@query(OP6_SQL)
+def op6_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), F.col("doc_id"), sharding.shard_names())

@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from quotepanel.llm import bpe, chat, jaccard, langid, mixing, neardup, quality, repeats, toxicity
+from quotepanel.llm import bpe, chat, jaccard, langid, mixing, neardup, quality, repeats, sharding, toxicity
 from quotepanel.llm.entries import byte_vocabulary, fertility_vocabularies
 from tests.llm.conftest import SCHEMA, hard_rows, prose
 
@@ -357,3 +357,49 @@ def test_bpe_is_the_public_library(spark, hard, clash, empty):
         text = r["text"] or ""
         assert bytes(r["ids"]) == np.array(encode(text), "<u4").tobytes() and bytes(r["decoded"]) == text.encode()
     assert bpe.tokenized(clash, tokens, pattern).count() == hard.count() and bpe.tokenized(empty, tokens, pattern).count() == 0
+
+
+# --- sharding
+
+
+def brute_table(names, slots):
+    import hashlib
+
+    def h(text):
+        return int(hashlib.md5(text.encode()).hexdigest()[:12], 16)
+
+    order = [(h(f"{x} offset") % slots, h(f"{x} skip") % (slots - 1) + 1) for x in names]
+    filled, tried = [-1] * slots, [0] * len(names)
+    for turn in range(slots):
+        s = turn % len(names)
+        while filled[(order[s][0] + tried[s] * order[s][1]) % slots] >= 0:
+            tried[s] += 1
+        filled[(order[s][0] + tried[s] * order[s][1]) % slots] = s
+        tried[s] += 1
+    return filled
+
+
+@pytest.mark.parametrize("n,slots", [(1, 3), (5, 7), (7, 101), (3, 3)])
+def test_shard_table_is_filled_in_turns(spark, n, slots):
+    rows = sharding.lookup_table(spark, sharding.shard_names(n), slots).orderBy("slot").collect()
+    assert [r["shard"] for r in rows] == brute_table(sharding.shard_names(n), slots)
+
+
+def test_shards_of_hard_rows(hard, clash, empty):
+    names = sharding.shard_names(4)
+    rows = sharding.place(clash, F.col("doc_id"), names, 101)
+    assert rows.count() == hard.count() and "shard" in rows.columns
+    by_key = rows.groupBy("doc_id").agg(F.count_distinct("shard").alias("n")).collect()
+    assert {r["n"] for r in by_key} == {1}
+    assert sharding.place(empty, F.col("doc_id"), names, 101).count() == 0
+    with pytest.raises(ValueError):
+        sharding.lookup_table(hard.sparkSession, names, 100)
+    with pytest.raises(ValueError):
+        sharding.lookup_table(hard.sparkSession, ["a", "a"], 101)
+
+
+def test_a_shard_that_leaves_moves_few_others():
+    names = sharding.shard_names(8)
+    before, after = brute_table(names, 1009), brute_table(names[:-1], 1009)
+    stayed = [a == b for a, b in zip(before, after, strict=True) if a < 7]
+    assert sum(stayed) > 0.7 * len(stayed)
