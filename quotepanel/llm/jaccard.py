@@ -46,8 +46,6 @@ from quotepanel.session import stored
 
 COMMON = 0.002
 LEAST_COMMON = 4
-#: Bits of a set's parity map, in longs.
-MAP_LONGS = 16
 #: Ids (8 bytes each) that may be broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 
@@ -119,7 +117,9 @@ def _prefixes(k: int, num: int, den: int, shared):
                     s = mix(own + np.uint64(n))
                     p = mix(prefix * MULTIPLIER + np.arange(len(prefix), dtype=np.uint64) + np.uint64(n))
                     signs = [x.sum(dtype=np.uint64).astype(np.int64) for x in (s, mix(s * MULTIPLIER), p, mix(p * MULTIPLIER))]
-                    odd = np.bincount((own >> np.uint64(32)).astype(np.int64) % (64 * MAP_LONGS), minlength=64 * MAP_LONGS) & 1
+                    # Two bits or more per shingle, in a power of two of longs.
+                    bits = 64 << max(0, (n - 1) // 32).bit_length()
+                    odd = np.bincount((own >> np.uint64(32)).astype(np.int64) % bits, minlength=bits) & 1
                     rows.append((*map(int, signs), len(rare), prefix.view(np.int64), np.packbits(odd.astype(np.uint8)).view(np.int64)))
                 columns = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
@@ -179,8 +179,17 @@ def _reach(n_a: str, pos_a: str, n_b: str, pos_b: str, num: int, den: int, more:
     return rest * (num + den) >= num * (F.col(n_a) + F.col(n_b))
 
 
+def _folded(own: str, other: str) -> Column:
+    """A parity map, its halves laid over each other if it is longer than ``other``."""
+    half = (F.size(own) / 2).cast("int")
+    over = F.zip_with(F.slice(own, F.lit(1), half), F.slice(own, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+    return F.when(F.size(own) > F.size(other), over).otherwise(F.col(own))
+
+
 def similar_components(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """doc_id, n_shingles, component_id for each row of ``documents`` (doc_id long, text)."""
+    if 2 * num < den:
+        raise ValueError("a similarity of one half or more is needed")
     documents = documents.select("doc_id", "text")
     shared = documents.sparkSession.sparkContext.broadcast(common_shingles(documents, k))
     schema = "doc_id long, n long, s1 long, s2 long, g1 long, g2 long, rare long, prefix array<long>, parity array<long>"
@@ -215,8 +224,7 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
     in_parts = stored(groups.select("gid", "n", "prefix").join(parts.select("gid", "part").distinct(), "gid"), "groups-in-parts")
     placed = in_parts.select("gid", "n", "part", F.posexplode("prefix").alias("pos", "shingle"))
     by_shingle = placed.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    mixed = stored(by_shingle.filter("low < high").select(F.col("shingle").alias("in_lists")), "list-shingles")
-    mixed = F.broadcast(mixed) if mixed.count() <= BROADCAST_IDS else mixed
+    mixed = by_shingle.filter("low < high").select(F.col("shingle").alias("in_lists"))
     lists = stored(placed.join(mixed, F.col("shingle") == F.col("in_lists"), "left_semi"), "lists")
     one = lists.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("gid", "part", "n", "pos")])
     two = lists.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("gid", "part", "n", "pos")])
@@ -231,7 +239,9 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
     met = met.select("gid_a", "part_a", "gid_b", "part_b")
     left = parts.select(*[F.col(c).alias(f"{c}_a") for c in ("gid", "part", "rep", "n", "parity")])
     right = parts.select(*[F.col(c).alias(f"{c}_b") for c in ("gid", "part", "rep", "n", "parity")])
-    differ = F.aggregate(F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    # Sizes within a factor of two give maps within one; the longer is folded.
+    map_a, map_b = _folded("parity_a", "parity_b"), _folded("parity_b", "parity_a")
+    differ = F.aggregate(F.zip_with(map_a, map_b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     pairs = (
         met.join(left, ["gid_a", "part_a"])
         .join(right, ["gid_b", "part_b"])
