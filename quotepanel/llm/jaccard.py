@@ -259,6 +259,10 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
 
 
 def one_per_group(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The rows of ``documents`` that are the first of their component, with all columns; rows without an id stay."""
+    """The rows of ``documents`` that are the first of their component, with all columns.
+
+    A document is its id: rows that repeat the id that stays all stay, and so
+    do rows without an id.
+    """
     ids = stored(similar_components(documents, k, num, den).filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
     return documents.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, documents["doc_id"] == F.col("gone"), "left_anti")
