@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from quotepanel.session import shared_folder
+
 #: A word is a run of bytes other than these six.
 WORD = r"[^\x20\x09-\x0D]+"
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -24,6 +26,26 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+class Scratch:
+    """Written tables of one operator that go once its result is written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folders = spark, []
+
+    def stored(self, rows: DataFrame, purpose: str) -> DataFrame:
+        path = shared_folder(self.spark, purpose)
+        self.folders.append(path)
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def clear(self) -> None:
+        context = self.spark.sparkContext
+        for path in self.folders:
+            folder = context._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        self.folders = []
+
+
 def lookup_join(rows: DataFrame, lookup: DataFrame, on: Column, size: int) -> DataFrame:
     """Left join to a stored table of ``size`` rows, broadcast only if that is few."""
     return rows.join(F.broadcast(lookup) if size <= BROADCAST_ROWS else lookup, on, "left")

@@ -40,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quotepanel.llm.common import Scratch
 from quotepanel.llm.graph import components
 from quotepanel.llm.textbytes import MULTIPLIER, mix, shingle_sets, slices
 from quotepanel.session import stored
@@ -161,16 +162,16 @@ def _similar(k: int, num: int, den: int):
     return run
 
 
-def verified(pairs: DataFrame, documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
+def verified(pairs: DataFrame, documents: DataFrame, k: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """Those of ``pairs`` (a, b: document ids) whose whole texts are similar, as a written table."""
-    pairs = stored(pairs, "pairs")
-    ids = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
+    pairs = scratch.stored(pairs, "pairs")
+    ids = scratch.stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "pair-ids")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = stored(documents.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "pair-texts")
+    texts = scratch.stored(documents.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("id"), "left_semi"), "pair-texts")
     left = texts.select(F.col("doc_id").alias("left_id"), F.col("text").alias("left_text"))
     right = texts.select(F.col("doc_id").alias("right_id"), F.col("text").alias("right_text"))
     both = pairs.join(left, F.col("a") == F.col("left_id")).join(right, F.col("b") == F.col("right_id"))
-    return stored(both.select("a", "b", "left_text", "right_text").mapInArrow(_similar(k, num, den), "a long, b long"), "links")
+    return scratch.stored(both.select("a", "b", "left_text", "right_text").mapInArrow(_similar(k, num, den), "a long, b long"), "links")
 
 
 def _reach(n_a: str, pos_a: str, n_b: str, pos_b: str, num: int, den: int, more: Column | int = 0) -> Column:
@@ -187,21 +188,21 @@ def _folded(own: str, other: str) -> Column:
 
 
 def similar_components(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of ``documents`` (doc_id long, text)."""
+    """doc_id, n_shingles, component_id for each row of ``documents`` (doc_id long, text), as a written table."""
     if 2 * num < den:
         raise ValueError("a similarity of one half or more is needed")
-    documents = documents.select("doc_id", "text")
+    documents, scratch = documents.select("doc_id", "text"), Scratch(documents.sparkSession)
     shared = documents.sparkSession.sparkContext.broadcast(common_shingles(documents, k))
     schema = "doc_id long, n long, s1 long, s2 long, g1 long, g2 long, rare long, prefix array<long>, parity array<long>"
-    sets = stored(documents.mapInArrow(_prefixes(k, num, den, shared), schema), "prefixes")
+    sets = scratch.stored(documents.mapInArrow(_prefixes(k, num, den, shared), schema), "prefixes")
     some = sets.filter("n > 0 AND doc_id IS NOT NULL")
-    groups = stored(
+    groups = scratch.stored(
         some.groupBy("n", "g1", "g2").agg(F.min("doc_id").alias("gid"), F.any_value("rare").alias("rare"), F.any_value("prefix").alias("prefix")), "groups"
     )
     classes = some.groupBy("n", "s1", "s2").agg(
         F.min("doc_id").alias("rep"), F.min("g1").alias("g1"), F.min("g2").alias("g2"), F.any_value("parity").alias("parity")
     )
-    members = stored(classes.join(groups.select("n", "g1", "g2", "gid"), ["n", "g1", "g2"]).select("rep", "gid", "n", "s1", "s2", "parity"), "members")
+    members = scratch.stored(classes.join(groups.select("n", "g1", "g2", "gid"), ["n", "g1", "g2"]).select("rep", "gid", "n", "s1", "s2", "parity"), "members")
     postings = groups.select("gid", "n", "rare", F.posexplode("prefix").alias("pos", "shingle"))
 
     # 2. Hubs of common shingles, and the first class of each group.
@@ -215,17 +216,22 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
     to_hub = often.join(hubs, "shingle").filter("gid != hub").filter(_reach("n", "pos", "hub_n", "hub_pos", num, den)).select("gid", "hub").distinct()
     starts = members.join(to_hub, "gid").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     starts = starts.unionByName(members.filter("rep != gid").select(F.col("rep").alias("a"), F.col("gid").alias("b")))
-    first_links = verified(starts.distinct(), documents, k, num, den)
+    first_links = verified(starts.distinct(), documents, k, num, den, scratch)
     first = components(first_links)
 
     # 3. All pairs of groups across components.
     joined = members.join(first, F.col("rep") == F.col("node"), "left").select("rep", "gid", "n", "parity", F.coalesce("root", "rep").alias("part"))
-    parts = stored(joined, "parts")
-    in_parts = stored(groups.select("gid", "n", "prefix").join(parts.select("gid", "part").distinct(), "gid"), "groups-in-parts")
-    placed = in_parts.select("gid", "n", "part", F.posexplode("prefix").alias("pos", "shingle"))
+    parts = scratch.stored(joined, "parts")
+    # A group is its own part, but for the few that a hub has linked.
+    moved = parts.filter("part != gid").select("gid").distinct()
+    moved = parts.join(moved, "gid", "left_semi").select(F.col("gid").alias("of"), F.col("part").alias("moved_to")).distinct()
+    moved = scratch.stored(moved, "moved-groups")
+    moved = F.broadcast(moved) if moved.count() <= BROADCAST_IDS else moved
+    in_parts = groups.select("gid", "n", "prefix").join(moved, F.col("gid") == F.col("of"), "left")
+    placed = in_parts.select("gid", "n", F.coalesce("moved_to", "gid").alias("part"), F.posexplode("prefix").alias("pos", "shingle"))
     by_shingle = placed.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"))
     mixed = by_shingle.filter("low < high").select(F.col("shingle").alias("in_lists"))
-    lists = stored(placed.join(mixed, F.col("shingle") == F.col("in_lists"), "left_semi"), "lists")
+    lists = scratch.stored(placed.join(mixed, F.col("shingle") == F.col("in_lists"), "left_semi"), "lists")
     one = lists.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("gid", "part", "n", "pos")])
     two = lists.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("gid", "part", "n", "pos")])
     close = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
@@ -248,14 +254,17 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
         .filter((F.col("n_a") + F.col("n_b") - differ) * (num + den) >= 2 * num * (F.col("n_a") + F.col("n_b")))
         .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
     )
-    links = verified(pairs, documents, k, num, den).unionByName(first_links)
+    links = verified(pairs, documents, k, num, den, scratch).unionByName(first_links)
 
     roots = members.join(components(links), F.col("rep") == F.col("node"), "left").select(
         F.col("n").alias("_n"), F.col("s1").alias("_s1"), F.col("s2").alias("_s2"), F.coalesce("root", "rep").alias("component_id")
     )
     same = (F.col("n") == F.col("_n")) & (F.col("s1") == F.col("_s1")) & (F.col("s2") == F.col("_s2"))
     found = sets.select("doc_id", "n", "s1", "s2").join(roots, same & F.col("doc_id").isNotNull(), "left")
-    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    result = found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    result = stored(result, "document-components")
+    scratch.clear()
+    return result
 
 
 def one_per_group(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:

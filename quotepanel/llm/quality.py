@@ -41,6 +41,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame, functions as F
 
+from quotepanel.llm.common import lookup_join
 from quotepanel.llm.textbytes import IS_SEPARATOR, Texts, distinct, per_text, slices, word_hashes, word_windows, words
 from quotepanel.session import stored
 
@@ -51,6 +52,8 @@ FLOORS = {"chars_per_token": 0.015, "byte_share": 0.01, "token_entropy": 0.02}
 #: Bytes of text worked on at once.
 SLICE = 2 << 20
 WIDE_SPACE = re.compile(r"[^\S ]")
+#: Keys of rejected documents (three numbers each) that may be broadcast; more are joined by shuffle.
+BROADCAST_REJECTED = 500_000
 #: Words that are remembered in a task.
 REMEMBERED = 300_000
 
@@ -238,8 +241,7 @@ def measured(documents: DataFrame, vocabularies: list[list[bytes]], pattern: str
 def judged(measured_rows: DataFrame, lang: str = "lang", width: float = WIDTH) -> DataFrame:
     """Adds the verdicts base_failed and kept to rows of ``measured``.
 
-    The bands are one row per group, far fewer than documents; Spark decides
-    how to join them.
+    The bands are one row per group and are broadcast while they are few.
     """
     group = F.coalesce(F.concat(F.lit("lang "), F.col(f"`{lang}`")), F.concat(F.lit("script "), F.col("script")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
@@ -255,8 +257,8 @@ def judged(measured_rows: DataFrame, lang: str = "lang", width: float = WIDTH) -
         q = F.col(x)
         return (q[1] + width * F.greatest(q[2] - q[1], F.lit(FLOORS[x]))).alias(f"_high_{x}")
 
-    bands = by_group.select(F.col("_group").alias("_of"), *[low(x) for x in FLOORS], *[high(x) for x in FLOORS])
-    joined = rows.join(bands, F.col("_group") == F.col("_of"), "left")
+    bands = stored(by_group.select(F.col("_group").alias("_of"), *[low(x) for x in FLOORS], *[high(x) for x in FLOORS]), "bands")
+    joined = lookup_join(rows, bands, F.col("_group") == F.col("_of"), bands.count())
     outside = [(F.col(x) < F.col(f"_low_{x}")) | (F.col(x) > F.col(f"_high_{x}")) for x in FLOORS]
     rejected = reduce(Column.__or__, [F.coalesce(x, F.lit(False)) for x in outside])
     kept = ~F.col("base_failed") & ~rejected
@@ -264,7 +266,15 @@ def judged(measured_rows: DataFrame, lang: str = "lang", width: float = WIDTH) -
 
 
 def kept_documents(documents: DataFrame, vocabularies: list[list[bytes]], pattern: str) -> DataFrame:
-    """The rows of ``documents`` (lang, text and others) that the rules keep, with all columns."""
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_row")
-    rows = stored(measured(documents.select(row, "lang", "text"), vocabularies, pattern), "quality-measures")
-    return judged(rows).filter("kept").select("_row.*")
+    """The rows of ``documents`` (doc_id, lang, text and others) that the rules keep, with all columns.
+
+    Rows with one id, language and text have one verdict, so the rejected ones
+    are told by those; texts are not written again.
+    """
+    key = {"_id": F.col("doc_id"), "_lang": F.col("lang"), "_sign": F.xxhash64(F.coalesce("text", F.lit("")))}
+    slim = documents.select(*[value.alias(name) for name, value in key.items()], "text")
+    rows = stored(measured(slim, vocabularies, pattern), "quality-measures")
+    gone = judged(rows, "_lang").filter(~F.col("kept")).select(*[F.col(name).alias(f"{name}_gone") for name in key]).distinct()
+    gone = stored(gone, "rejected")
+    same = reduce(Column.__and__, [value.eqNullSafe(F.col(f"{name}_gone")) for name, value in key.items()])
+    return documents.join(F.broadcast(gone) if gone.count() <= BROADCAST_REJECTED else gone, same, "left_anti")
