@@ -35,8 +35,9 @@ from quotepanel.session import stored
 THRESHOLD = 0.9
 BLOCK = 8
 CHUNK = 16_384
-TILE = 1024
+TILE = 512
 SLACK = 1e-9
+FAST_SLACK = 1e-5
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -141,22 +142,26 @@ def _join(blocks: dict[int, Blocks], threshold: float):
         cut = own.cuts[block]
         left = np.arange(len(x)) if within else np.flatnonzero(~right_side)
         right = left if within else np.flatnonzero(right_side)
-        # In the order of the first coordinate, far tiles need no look.
-        left, right = left[np.argsort(u[left, cut[0]])], right[np.argsort(u[right, cut[0]])]
+        # In the order of the second coordinate (the first is the strip's), far tiles need no look.
         part = u[:, cut[0] : cut[1]]
-        square = (part * part).sum(axis=1)
+        line = part[:, min(1, part.shape[1] - 1)]
+        left, right = left[np.argsort(line[left])], right[np.argsort(line[right])]
+        # One product gives the squared distance, up to the rounding that FAST_SLACK covers.
+        square, one = (part * part).sum(axis=1, keepdims=True), np.ones((len(x), 1))
+        as_left = np.hstack([-2 * part, square, one]).astype(np.float32)
+        as_right = np.hstack([part, one, square]).astype(np.float32).T.copy()
+        most = np.float32(own.budget[block] + FAST_SLACK)
         weight = rows["n"].to_numpy(np.int64)
         links, edges_a, edges_b = np.zeros(len(x), np.int64), [], []
         for i in range(0, len(left), TILE):
             a = left[i : i + TILE]
             for j in range(i if within else 0, len(right), TILE):
                 b = right[j : j + TILE]
-                if part[b[0], 0] - part[a[-1], 0] > own.width[block] or part[a[0], 0] - part[b[-1], 0] > own.width[block]:
+                if line[b[0]] - line[a[-1]] > own.width[block] or line[a[0]] - line[b[-1]] > own.width[block]:
                     continue
-                near = square[a][:, None] + square[b] - 2 * (part[a] @ part[b].T) <= own.budget[block] + 1e-7
+                p, q = divmod(np.flatnonzero(as_left[a] @ as_right[:, b] <= most), len(b))
                 if within and i == j:
-                    near = np.triu(near, 1)
-                p, q = np.nonzero(near)
+                    p, q = p[p < q], q[p < q]
                 p, q = a[p], b[q]
                 for c in range(0, len(p), 1 << 16):
                     pp, qq = p[c : c + (1 << 16)], q[c : c + (1 << 16)]
