@@ -71,9 +71,9 @@ def _common(k: int):
             docs += len(batch)
             for part in slices(batch.column(0)):
                 waiting.append(shingle_sets(part, k)[0])
-                if sum(map(len, waiting)) > 4_000_000:
+                if sum(map(len, waiting)) > 1_000_000:
                     fold(1)
-                    if len(value) > 8_000_000:  # lossy counting: too rare so far to become common
+                    if len(value) > 2_000_000:  # lossy counting: too rare so far to become common
                         fold(COMMON * docs / 2)
         fold(max(LEAST_COMMON, COMMON * docs / 2))
         yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count)], names=["shingle", "n"])
