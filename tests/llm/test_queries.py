@@ -33,6 +33,16 @@ def test_toxicity_accuracy(spark):
     assert counts.get((0, 1), 0) <= 0.01 * counts[0, 0]
 
 
+def test_quality_of_labelled(spark):
+    """Of the labelled documents that pass the base rules most poor ones are rejected and few good ones."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    rows = QUERIES["op4_quality_rules"](spark, sf).filter("NOT base_failed").join(labels, "doc_id")
+    counts = {(r["quality"], r["kept"]): r["count"] for r in rows.groupBy("quality", "kept").count().collect()}
+    assert counts[0, False] >= 0.8 * (counts[0, False] + counts.get((0, True), 0))
+    assert counts.get((1, False), 0) <= 0.01 * counts[1, True]
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 101), (101, 102), (200, 100), (300, 300)] + [(500, i) for i in range(400, 450)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
