@@ -12,7 +12,9 @@ per letter wins (ties: first by name).
 A model is fitted on a bounded sample: of the labelled documents that are not
 held out, about ``DOCS_PER_LANGUAGE`` of each language by a hash of the id.
 One in four of them only calibrates: the 99.5 % quantile of the cross-entropy
-under their own language is the bound above which a prediction is rejected.
+under their own language is the bound above which a prediction is rejected. A
+language of which no text with a letter would remain is fitted on all its
+sampled documents and has no bound.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
 so is every text if no language was learned. Null languages are not learned.
@@ -164,13 +166,17 @@ def fit(grams: pd.DataFrame) -> Model:
 def learn(documents: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model | None:
     """The model of ``documents`` (doc_id, text, lang); None without labelled texts."""
     labelled = documents.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per language
+    place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(1 << 20)) / (1 << 20)
+    calibrates = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("calibration")), F.lit(4)) == 0
+    fits = F.when(~calibrates & F.col("text").rlike(r"\p{L}"), place)
+    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), F.min(fits).alias("first_fits")).collect()  # one row per language
     if not sizes:
         return None
-    share = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(docs_per_language / n))])
-    place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(1 << 20)) / (1 << 20)
+    shares = {r["lang"]: max(docs_per_language / r["n"], r["first"] + 1 / (1 << 20)) for r in sizes}
+    share = F.create_map(*[x for lang, part in shares.items() for x in (F.lit(lang), F.lit(part))])
     sample = labelled.filter(place < F.element_at(share, F.col("lang")))
-    calibrates = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("calibration")), F.lit(4)) == 0
+    unfitted = [r["lang"] for r in sizes if r["first_fits"] is None or r["first_fits"] >= shares[r["lang"]]]
+    calibrates = calibrates & ~F.col("lang").isin(unfitted)
     counted = sample.filter(~calibrates).select("text", "lang").mapInArrow(_count, "lang string, gram string, n long")
     grams = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()  # of a bounded sample
     if grams.empty:

@@ -287,6 +287,22 @@ def test_language_hard_rows(hard, clash, empty):
     assert langid.predicted(empty, model).count() == 0
 
 
+def test_every_labelled_language_is_learned(spark):
+    """Also one whose only documents with letters would all just calibrate."""
+    calibrates = F.pmod(F.xxhash64("id", F.lit("calibration")), F.lit(4)) == 0
+    ids = spark.range(400).select("id", calibrates.alias("c"), F.col("id").alias("doc_id")).filter(~langid.held_out()).collect()
+    only, other = [r["id"] for r in ids if r["c"]], [r["id"] for r in ids if not r["c"]]
+    greek = "η γρήγορη καφέ αλεπού πηδά πάνω από τον τεμπέλη σκύλο"
+    rows = [(i, prose(i, 60), "en", None, None) for i in other[:20]]
+    rows += [(only[0], greek, "el", None, None), (other[20], "12 34", "el", None, None)]
+    model = langid.learn(spark.createDataFrame(rows, SCHEMA))
+    found = langid.predicted(spark.createDataFrame([(1, "η αλεπού και ο σκύλος", None, None, None)], SCHEMA), model).first()
+    assert model.languages == ["el", "en"] and found["lang_pred"] == "el" and not found["rejected"]
+    alone = langid.learn(spark.createDataFrame([(only[0], greek, "el", None, None)], SCHEMA))
+    assert alone is not None and alone.languages == ["el"]
+    assert langid.learn(spark.createDataFrame([(only[0], greek, "el", None, None)] * 40, SCHEMA), docs_per_language=0).languages == ["el"]
+
+
 def test_language_model_is_a_distribution(spark):
     """For any context the probabilities of all letters and the unknown one add up to one."""
     import numpy as np
