@@ -268,10 +268,28 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
 
 
 def one_per_group(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """The rows of ``documents`` that are the first of their component, with all columns.
+    """One row of each component of ``documents``, with all columns: that of least id, ties by a hash of the text.
 
-    A document is its id: rows that repeat the id that stays all stay, and so
-    do rows without an id.
+    A document is its id and text, told by a 64-bit hash of both: texts under
+    one id are judged each by itself, and of rows that repeat both one stays.
+    Rows without an id and texts without a word all stay.
     """
-    ids = stored(similar_components(documents, k, num, den).filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return documents.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, documents["doc_id"] == F.col("gone"), "left_anti")
+    sign = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    found = similar_components(documents.select(sign.alias("doc_id"), "text"), k, num, den).filter("n_shingles > 0 AND doc_id IS NOT NULL")
+    found = found.select(F.col("doc_id").alias("_sign"), "component_id").distinct()
+    counted = documents.select(F.col("doc_id").alias("_id"), sign.alias("_sign")).filter("_id IS NOT NULL").groupBy("_id", "_sign").agg(F.count(F.lit(1)).alias("_n"))
+    signed = stored(counted.join(found, "_sign"), "signed")
+    first = stored(signed.groupBy("component_id").agg(F.min(F.struct("_id", "_sign", "_n")).alias("first")).select("first.*"), "first")
+    gone = stored(signed.select("_id", "_sign").join(first, ["_id", "_sign"], "left_anti"), "gone")
+    again = stored(first.filter("_n > 1").select("_id", "_sign"), "again")
+
+    def match(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        keys = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+        return rows.join(keys, (F.col("doc_id") == F.col("_id")) & (sign == F.col("_sign")), how)
+
+    kept = match(documents, gone, "left_anti")
+    if again.isEmpty():
+        return kept
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    one = match(documents, again, "left_semi").groupBy("doc_id", sign).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("_row")).select("_row.*")
+    return match(kept, again, "left_anti").unionByName(one)

@@ -117,6 +117,18 @@ def test_jaccard_hard_rows(hard, clash):
     assert out.filter("doc_id IS NULL").count() == 2
 
 
+def test_one_row_per_group_of_near_copies(spark):
+    """A document is its id and text: repeated rows go, another text under the same id is judged by itself."""
+    one, two, three = prose(1, 80), prose(2, 80), prose(3, 80)
+    rows = [
+        (1, one, "en", "a", 1), (7, one + " end", "en", "a", 1), (7, two, "en", "a", 1),  # the second 7 is like no other
+        (3, three, "en", "b", 1), (3, three, "en", "b", 1), (3, three, "en", "c", 1),
+        (9, two + " end", "en", "a", 1), (2, "", "en", "a", 0), (2, "", "en", "a", 0),
+    ]
+    out = [(r["doc_id"], r["text"]) for r in jaccard.one_per_group(spark.createDataFrame(rows, SCHEMA), 5, 80, 100).collect()]
+    assert sorted(out) == [(1, one), (2, ""), (2, ""), (3, three), (7, two)]
+
+
 def test_jaccard_empty(empty):
     assert jaccard.similar_components(empty, 3, 90, 100).count() == 0 and jaccard.one_per_group(empty, 5, 80, 100).count() == 0
 
