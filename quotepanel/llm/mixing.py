@@ -13,9 +13,11 @@ once more below the threshold of what is left. Sources weigh by their order
 stop there and the excess goes to the others by weight.
 
 Defined cases: null text has size 0; documents of size 0 are taken 0 words; a
-null id is a place of its own; equal ids share a place, so repeated rows go in
-or out together; a null source is a source; an empty table gives an empty mix.
-The rows of the last bucket (16^-9 of a source) go in if that is nearer.
+null id is a place of its own; a null source is a source; an empty table gives
+an empty mix. The rows of the last bucket (16^-9 of a source) go in if that is
+nearer. In ``mixture`` equal ids share a place, as its SQL has it, so repeated
+rows go in or out together. ``mixed`` goes on within such a place by the md5 of
+the text, in three more steps, so only rows with one id and text share it.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def _place(doc_id: Column) -> Column:
-    return F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, DIGITS * LEVELS)
+def _place(*parts: Column) -> Column:
+    return F.concat(*[F.substring(F.md5(F.coalesce(x.cast("string"), F.lit("")).cast("binary")), 1, DIGITS * LEVELS) for x in parts])
 
 
 def _key(source: Column) -> Column:
@@ -66,11 +68,12 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int
     return filled.select("key", "source_size", F.coalesce(F.least("cap", F.col("weight") * F.col("level")), F.col("cap")).alias("target"))
 
 
-def thresholds(sized: DataFrame, goal: DataFrame) -> DataFrame:
+def thresholds(sized: DataFrame, goal: DataFrame, levels: int = LEVELS) -> DataFrame:
     """Adds to ``goal``: whole (times a source goes in whole), edge and edge_in (places below ``edge`` go in once more)."""
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     cut = goal.withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")).withColumn("edge", F.lit(""))
-    for level in range(LEVELS):
+    for level in range(levels):
+        cut = stored(cut, "mixing-edges") if level == LEVELS else cut  # a level names the one before it thrice
         digits = F.substring("place", level * DIGITS + 1, DIGITS)
         inside = lookup_join(sized, cut.select(F.col("key").alias("_key"), F.col("edge").alias("_edge")), F.col("key") == F.col("_key"), 0)
         inside = inside.filter(F.substring("place", 1, level * DIGITS) == F.col("_edge")) if level else inside
@@ -95,13 +98,14 @@ def thresholds(sized: DataFrame, goal: DataFrame) -> DataFrame:
     return cut.select("key", "source_size", "target", "whole", "edge", F.coalesce(F.col("budget") * 2 >= F.col("last"), F.lit(False)).alias("edge_in"))
 
 
-def keyed(documents: DataFrame, *keep: Column) -> DataFrame:
-    return documents.select(*keep, _key(F.col("source")).alias("key"), word_count(F.col("text")).alias("size"), _place(F.col("doc_id")).alias("place"))
+def keyed(documents: DataFrame, *keep: Column, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    place = _place(*[F.col(c) for c in by])
+    return documents.select(*keep, _key(F.col("source")).alias("key"), word_count(F.col("text")).alias("size"), place.alias("place"))
 
 
-def cuts(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT) -> DataFrame:
+def cuts(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT, levels: int = LEVELS) -> DataFrame:
     goal = stored(targets(sized, weights, share, limit), "mixing-targets")
-    return stored(thresholds(sized, goal), "mixing-cuts")
+    return stored(thresholds(sized, goal, levels), "mixing-cuts")
 
 
 def _times(rows: DataFrame, cut: DataFrame) -> DataFrame:
@@ -122,8 +126,9 @@ def mixture(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, limit:
 
 def mixed(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT) -> DataFrame:
     """The documents of the mix, those taken twice as two rows; all columns stay."""
-    sized = stored(keyed(documents), "mixing-sizes")
+    by = ("doc_id", "text")
+    sized = stored(keyed(documents, by=by), "mixing-sizes")
     whole_row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
-    rows = _times(keyed(documents, whole_row), cuts(sized, weights, share, limit))
+    rows = _times(keyed(documents, whole_row, by=by), cuts(sized, weights, share, limit, len(by) * LEVELS))
     copies = F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))
     return rows.filter(F.col("times") > 0).select("row", copies.alias("copy")).select("row.*")

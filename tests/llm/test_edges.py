@@ -54,6 +54,15 @@ def test_mixing_near_target(spark):
         assert abs(r["taken"] - r["target"]) <= r["most"]
 
 
+def test_mixed_splits_rows_of_one_id(spark):
+    """Texts without an id, or of one id, are taken to the target, not all or none."""
+    docs = spark.createDataFrame([(None if i % 2 else 5, prose(i, 20 + i % 30), "en", f"s{i % 2}", 1) for i in range(600)], SCHEMA)
+    wanted = mixing.mixture(docs).groupBy("source_size", "target").agg(F.max("size").alias("most")).collect()
+    words = mixing.mixed(docs).groupBy("source").agg(F.sum(mixing.word_count(F.col("text"))).alias("n")).collect()
+    targets, taken = sorted((r["target"], r["most"]) for r in wanted), sorted(r["n"] for r in words)
+    assert all(abs(n - target) <= most for n, (target, most) in zip(taken, targets, strict=True))
+
+
 def test_mixing_empty(empty):
     assert mixing.mixture(empty).count() == 0 and mixing.mixed(empty).count() == 0
 
