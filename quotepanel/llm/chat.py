@@ -12,7 +12,7 @@ first character, and a control string that already has n of them gets n+1, so
 taking one off restores every text; in roles the characters they are made of are spelled out. The loss mask is the list of
 (begin, size) of assistant texts in code points of the formatted string.
 
-Defined cases: null texts and roles are empty; ties in ``seq`` go by kind and
+Defined cases: null texts and roles are empty; a null kind is a ``delta``; ties in ``seq`` go by kind and
 text; ``null`` is a conversation id like any other; conversations without a
 message do not appear. A conversation is one output string, so its own
 messages meet in one row; nothing else is gathered.
@@ -49,6 +49,7 @@ def unescape_role(role: Column) -> Column:
 
 def reconstruct(events: DataFrame) -> DataFrame:
     """conv_id, message, role, text: the final messages of the log."""
+    events = events.withColumn("kind", F.coalesce("kind", F.lit("delta")))
     message = Window.partitionBy("conv_id", "message")
     so_far = message.orderBy("seq", "kind", "text").rowsBetween(Window.unboundedPreceding, 0)
     resets = F.col("kind").isin("edit", "regenerate")

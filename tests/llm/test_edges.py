@@ -109,6 +109,16 @@ def test_chat_folds_events(spark):
     assert [(r["role"], r["text"]) for r in rows] == [("user", "hey!"), ("assistant", "good")]
 
 
+def test_chat_null_kind_is_a_delta(spark):
+    schema = "conv_id long, message int, seq int, kind string, role string, text string"
+    log = [
+        (1, 1, 0, "open", "user", ""), (1, 1, 1, None, None, "he"), (1, 1, 2, "delta", None, "llo"), (1, 1, 3, None, None, "!"),
+        (1, 2, 4, None, "assistant", "bad"), (1, 2, 5, "regenerate", None, None), (1, 2, 6, None, None, "good"),
+    ]
+    rows = chat.reconstruct(spark.createDataFrame(log, schema)).orderBy("message").collect()
+    assert [(r["role"], r["text"]) for r in rows] == [("user", "hello!"), ("assistant", "good")]
+
+
 # --- Jaccard join
 
 
