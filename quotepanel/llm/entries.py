@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotepanel.llm import bpe, chat, jaccard, langid, mixing, neardup, quality, repeats, sharding, toxicity
+from quotepanel.llm import bpe, chat, jaccard, langid, manifest, mixing, neardup, quality, repeats, sharding, toxicity
 from quotepanel.llm.common import held_out, table
 from quotepanel.session import stored
 
@@ -219,3 +219,56 @@ FROM (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))
 @query(OP6_SQL)
 def op6_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), F.col("doc_id"), sharding.shard_names())
+
+
+OP13_SQL = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, source, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS key, doc_id::VARCHAR AS id, text,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low,
+         coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head
+  FROM documents),
+digests AS (
+  SELECT doc_id, key, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+         CASE WHEN id IS NOT NULL AND xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(len(id)), lambda i: ascii(id[i + 1])::BIGINT)),
+             lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) % 5 = 0
+           THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) END AS changed
+  FROM fields),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, row_number() OVER () AS rid FROM digests),
+nodes AS (
+  SELECT key, 0 AS level, pos AS idx, leaf AS digest, count(*) OVER (PARTITION BY key) AS n FROM placed
+  UNION ALL
+  SELECT key, any_value(level) + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), any_value((n + 15) // 16)
+  FROM nodes WHERE n > 1 GROUP BY key, idx // 16),
+subroots AS (
+  SELECT key, digest AS subroot, level AS height, row_number() OVER (ORDER BY key) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, pos AS idx, subroot AS digest, n FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), any_value((n + 15) // 16)
+  FROM tops WHERE n > 1 GROUP BY idx // 16),
+heights AS (SELECT s.key, s.subroot, s.height, s.pos AS rank, t.level AS top_height, t.digest AS root FROM subroots s, tops t WHERE t.n = 1),
+steps AS (
+  SELECT p.rid, step, CASE WHEN step < height THEN p.pos // (16 ** step)::BIGINT ELSE rank // (16 ** (step - height))::BIGINT END AS own,
+         CASE WHEN step < height THEN p.key END AS tree, CASE WHEN step < height THEN step ELSE step - height END AS level
+  FROM placed p JOIN heights h ON p.key = h.key, LATERAL (SELECT unnest(range(h.height + h.top_height)) AS step)),
+every AS (SELECT key AS tree, level, idx, digest FROM nodes UNION ALL SELECT NULL, level, idx, digest FROM tops),
+runs AS (
+  SELECT s.rid, s.step, s.own, e.idx, e.digest FROM steps s
+  JOIN every e ON s.tree IS NOT DISTINCT FROM e.tree AND s.level = e.level AND s.own // 16 = e.idx // 16),
+proofs AS (SELECT rid, sha256(coalesce(string_agg(digest, '' ORDER BY step, idx) FILTER (idx <> own), '')) AS proof FROM runs GROUP BY rid),
+folds AS (
+  SELECT rid, 0 AS step, coalesce(changed, leaf) AS digest FROM placed
+  UNION ALL
+  SELECT f.rid, any_value(f.step) + 1, sha256(string_agg(CASE WHEN r.idx = r.own THEN f.digest ELSE r.digest END, '' ORDER BY r.idx))
+  FROM folds f JOIN runs r ON f.rid = r.rid AND f.step = r.step GROUP BY f.rid),
+folded AS (SELECT rid, arg_max(digest, step) AS folded_root FROM folds GROUP BY rid)
+SELECT p.doc_id, p.leaf, h.subroot, h.root, coalesce(q.proof, sha256('')) AS proof_sha256, f.folded_root, f.folded_root = h.root AS verified
+FROM placed p JOIN heights h ON p.key = h.key JOIN folded f ON p.rid = f.rid LEFT JOIN proofs q ON p.rid = q.rid
+"""
+
+
+@query(OP13_SQL)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(table(spark, sf_dir, "documents")).drop("copied")
