@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotepanel.llm import bpe, chat, jaccard, langid, manifest, mixing, neardup, quality, repeats, sharding, toxicity
+from quotepanel.llm import bpe, chat, jaccard, langid, lexical, manifest, mixing, neardup, quality, repeats, sharding, toxicity
 from quotepanel.llm.common import held_out, table
 from quotepanel.session import stored
 
@@ -221,6 +221,35 @@ def op6_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(table(spark, sf_dir, "documents").select("doc_id"), F.col("doc_id"), sharding.shard_names())
 
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+totals AS (SELECT count(*) FILTER (len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_words FROM docs),
+tf AS (
+  SELECT rid, any_value(doc_id) AS doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT rid, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs) GROUP BY rid, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+asked AS (
+  SELECT no, any_value(item_id) AS item_id, term, count(*) AS times
+  FROM (SELECT item_id, row_number() OVER () AS no,
+          unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY no, term),
+scores AS (
+  SELECT no, any_value(item_id) AS item_id, rid, any_value(doc_id) AS doc_id,
+         sum(times * floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * n_docs) // n_words))))::BIGINT AS score
+  FROM asked JOIN df USING (term) JOIN tf USING (term), totals GROUP BY no, rid),
+placed AS (SELECT *, row_number() OVER (PARTITION BY no ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 20
+"""
+
+
+@query(OP11_SQL)
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 OP13_SQL = """
 WITH RECURSIVE fields AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS key, doc_id::VARCHAR AS id, text,
