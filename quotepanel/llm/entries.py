@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quotepanel.llm import bpe, chat, jaccard, langid, lexical, manifest, mixing, neardup, quality, repeats, sharding, toxicity
+from quotepanel.llm import bpe, chat, credentials, jaccard, langid, lexical, manifest, mixing, neardup, quality, repeats, sharding, toxicity
 from quotepanel.llm.common import held_out, table
 from quotepanel.session import stored
 
@@ -250,6 +250,12 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query()
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = credentials.found_secrets(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans", "n_added")
+
+
 OP13_SQL = """
 WITH RECURSIVE fields AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS key, doc_id::VARCHAR AS id, text,
