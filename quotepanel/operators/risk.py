@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from quotepanel.functions.numeric import settled
 from quotepanel.functions.text import digits, fmt_num, fmt_pct, iso_date, label
@@ -95,15 +95,25 @@ def change_matrix(
     return rows.groupBy("result_date").pivot("cur_unit", chosen).agg(F.first("change_pct"))
 
 
-def _pearson(a: str, b: str) -> tuple[Column, Column]:
-    # Rows where both codes moved; a constant series has no correlation.
-    x = F.when(F.col(f"`{b}`").isNotNull(), F.col(f"`{a}`"))
-    y = F.when(F.col(f"`{a}`").isNotNull(), F.col(f"`{b}`"))
-    n = F.count(F.when(x.isNotNull(), y))
-    if a == b:
-        spread = F.var_pop(x)
-        return n, F.try_divide(spread, spread)
-    return n, F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))
+def _pairs(rows: DataFrame, members: str) -> DataFrame:
+    """Every pair ``a`` <= ``b`` of each row's sorted array, made inside the task."""
+    first = rows.select(F.posexplode(members).alias("i", "a"), members)
+    return first.select("a", F.explode(F.slice(members, F.col("i") + 1, F.size(members))).alias("b"))
+
+
+def co_moments(rows: DataFrame) -> DataFrame:
+    """Number of common dates, covariance and variances for each pair of codes a <= b that share one.
+
+    Each date is one array of its changes, at most one per code; the pairs of a
+    date are merged by a single keyed aggregate, which combines on the map side.
+    """
+    moved = rows.filter(F.col("change_pct").isNotNull()).groupBy("result_date")
+    days = moved.agg(F.array_sort(F.collect_list(F.struct("cur_unit", "change_pct"))).alias("moves"))
+    x, y = F.col("a.change_pct"), F.col("b.change_pct")
+    by_pair = _pairs(days, "moves").groupBy(F.col("a.cur_unit").alias("code_a"), F.col("b.cur_unit").alias("code_b"))
+    return by_pair.agg(
+        F.count(F.lit(1)).alias("n"), F.covar_pop(x, y).alias("covar"), F.var_pop(x).alias("var_a"), F.var_pop(y).alias("var_b")
+    )
 
 
 def correlation(
@@ -115,30 +125,20 @@ def correlation(
 ) -> DataFrame:
     """Pearson correlation of daily changes, one row per pair a <= b.
 
-    The panel is pivoted to one row per date and every pair is one column of
-    a single aggregate, so no row is ever paired with another.
+    Pairs without a common date, or with a constant series, have NULL. The plan
+    is the same for any number of codes.
     """
     chosen = code_list(mart, selected, defaults, first=k)
-    pairs = [(a, b) for i, a in enumerate(chosen) for b in chosen[i:]]
-    wide = change_matrix(mart, chosen, n, k)
-    measures = []
-    for i, (a, b) in enumerate(pairs):
-        count, value = _pearson(a, b)
-        measures += [count.alias(f"n{i}"), value.alias(f"c{i}")]
-    if not measures:
-        return mart.sparkSession.createDataFrame([], "code_a string, code_b string, n long, corr double")
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(min(a, b)).alias("code_a"),
-                F.lit(max(a, b)).alias("code_b"),
-                F.col(f"n{i}").alias("n"),
-                F.col(f"c{i}").alias("corr"),
-            )
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return wide.agg(*measures).select(F.inline(rows))
+    rows = period(mart.filter(F.col("cur_unit").isin(chosen)), n, among=mart)
+    # A constant series has no correlation, not even with itself.
+    same = F.col("code_a") == F.col("code_b")
+    spread = F.when(same, F.col("var_a")).otherwise(F.sqrt(F.col("var_a") * F.col("var_b")))
+    value = F.try_divide(F.when(same, F.col("var_a")).otherwise(F.col("covar")), spread)
+    found = co_moments(rows).select("code_a", "code_b", "n", value.alias("corr"))
+    listed = mart.sparkSession.createDataFrame([(sorted(chosen),)], "codes array<string>")
+    wanted = _pairs(listed, "codes").select(F.col("a").alias("code_a"), F.col("b").alias("code_b"))
+    joined = wanted.join(found, ["code_a", "code_b"], "left")
+    return joined.select("code_a", "code_b", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "corr")
 
 
 def correlation_matrix(

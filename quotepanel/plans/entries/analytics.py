@@ -599,6 +599,21 @@ def change_correlation(spark, sf_dir):
     return _rounded(risk.correlation(nation_mart(spark, sf_dir), SEVEN, None, k=7))
 
 
+@query(
+    "correlation_all_pairs",
+    N_MART
+    + _correlation_sql("m")
+    + """, codes AS (SELECT DISTINCT cur_unit AS code FROM m)
+SELECT a.code AS code_a, b.code AS code_b, coalesce(n, 0) AS n, corr
+FROM codes a JOIN codes b ON a.code <= b.code LEFT JOIN pairs ON code_a = a.code AND code_b = b.code""",
+)
+def correlation_all_pairs(spark, sf_dir):
+    """Every code against every other; the list of codes is the only thing collected."""
+    mart = nation_mart(spark, sf_dir)
+    listed = [row["cur_unit"] for row in periods.codes(mart).orderBy("cur_unit").collect()]
+    return _rounded(risk.correlation(mart, listed, None))
+
+
 @query(
     "correlation_matrix",
     E_MART

@@ -263,6 +263,30 @@ class TestRisk:
         got = {(r["code_a"], r["code_b"]): r["n"] for r in risk.correlation(m, ["USD", "EUR"], None).collect()}
         assert got == {("USD", "USD"): 4, ("EUR", "EUR"): 2, ("EUR", "USD"): 2}
 
+    def test_two_hundred_codes_over_a_thousand_dates(self, spark):
+        day, code = F.expr("date_add(date'2020-01-01', cast(id div 200 as int))"), F.format_string("C%03d", F.col("id") % 200)
+        change = F.when(F.hash("id") % 10 == 0, None).otherwise(F.randn(3))
+        m = spark.range(200_000).select(day.alias("result_date"), code.alias("cur_unit"), change.alias("change_pct")).cache()
+        codes = [f"C{i:03d}" for i in range(200)]
+        got = risk.correlation(m, codes, None)
+        small = risk.correlation(m, codes[:3], None)
+        plans = [frame._jdf.queryExecution().optimizedPlan().toString() for frame in (got, small)]
+        assert len(plans[0].splitlines()) == len(plans[1].splitlines())
+        rows = got.toPandas()
+        assert len(rows) == 200 * 201 // 2
+        expected = m.toPandas().pivot(index="result_date", columns="cur_unit", values="change_pct")
+        value, common = expected.corr(), expected.notna().astype(int)
+        common = common.T @ common
+        for a, b, n, corr in rows.sample(500, random_state=1)[["code_a", "code_b", "n", "corr"]].itertuples(index=False):
+            assert a <= b and n == common.loc[a, b] and corr == pytest.approx(value.loc[a, b], abs=1e-12)
+        m.unpersist()
+
+    def test_codes_without_rows_keep_their_pairs(self, spark):
+        m = mart(spark, {"USD": [1, 2, 5]})
+        got = sorted(tuple(r) for r in risk.correlation(m, ["USD", "GONE"], None).collect())
+        assert [(a, b, n) for a, b, n, _ in got] == [("GONE", "GONE", 0), ("GONE", "USD", 0), ("USD", "USD", 2)]
+        assert [c is None for *_, c in got] == [True, True, False]
+
     def test_no_codes(self, spark):
         m = mart(spark, {"USD": [1]}).filter("false")
         assert risk.correlation(m).collect() == []
