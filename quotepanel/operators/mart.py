@@ -140,6 +140,33 @@ def recompute(staging: DataFrame, changed: DataFrame, run_ts=None, lookback_days
     return affected_rows(panel, changed, run_ts)
 
 
+def reach(near: DataFrame, changed: DataFrame, first: date | Column, last: date | Column) -> DataFrame:
+    """Changed codes with the sides on which ``near`` has fewer rows than a frame reaches; none if all have enough."""
+    around = near.groupBy("cur_unit").agg(
+        F.count_if(F.col("result_date") < F.lit(first)).alias("older"), F.count_if(F.col("result_date") > F.lit(last)).alias("newer")
+    )
+    counts = changed.select("cur_unit").distinct().join(around, "cur_unit", "left")
+    short = [(F.coalesce(side, F.lit(0)) < MA_ROWS - 1).alias(f"short_{side}") for side in ("older", "newer")]
+    return counts.select("cur_unit", *short).filter("short_older OR short_newer")
+
+
+def nearest_rows(rows: DataFrame, codes: DataFrame, newer: bool) -> DataFrame:
+    """The four newest rows (or, if ``newer``, the four oldest) per given code."""
+    return _nearest(rows, codes, F.asc("result_date") if newer else F.desc("result_date"))
+
+
+def affected_near(whole: DataFrame, edges: DataFrame, changed: DataFrame, hit: Column, run_ts=None) -> DataFrame:
+    """Affected mart rows from the changed buckets as wholes and the kept edges of the buckets around them.
+
+    ``hit`` tells the changed rows of ``whole``. Of a bucket that is not whole
+    the rows next to its neighbours are there, so every frame that reaches a
+    changed row is complete.
+    """
+    columns = [*KEYS, "rate", "_hit"]
+    panel = whole.withColumn("_hit", hit).select(columns).unionByName(edges.withColumn("_hit", F.lit(False)).select(columns))
+    return affected_rows(panel, changed, run_ts, F.col("_hit"))
+
+
 def mart_incremental(
     staging: DataFrame,
     changed: DataFrame,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quotepanel.schemas import KEYS
 
@@ -30,6 +30,12 @@ def not_null(df: DataFrame, columns: list[str], keys: list[str] = KEYS) -> DataF
     return df.select(F.explode(broken).alias("rule"), *keys)
 
 
+def null_count(columns: list[str]) -> Column:
+    """Aggregate with the number of rows that ``not_null`` would return."""
+    nulls = reduce(Column.__add__, [F.col(c).isNull().cast("long") for c in columns])
+    return F.coalesce(F.sum(nulls), F.lit(0))
+
+
 def unique_key(df: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """Keys held by more than one row, with their row count."""
     return df.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)
@@ -54,8 +60,12 @@ def report(checks: dict[str, DataFrame]) -> DataFrame:
 
 def gate(checks: dict[str, DataFrame]) -> None:
     """Raise ``QualityError`` if any check has violations."""
-    failed = report(checks).filter(F.col("failures") > 0)
-    failures = {row["rule"]: row["failures"] for row in failed.collect()}
+    gate_counts({row["rule"]: row["failures"] for row in report(checks).collect()})
+
+
+def gate_counts(failures: dict[str, int]) -> None:
+    """As ``gate``, for violations that were counted while the rows were written."""
+    failures = {rule: n for rule, n in failures.items() if n}
     if failures:
         raise QualityError(failures)
 

@@ -5,31 +5,24 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
 from quotepanel.functions.dates import BUCKET
 from quotepanel.functions.numeric import file_stamp
-from quotepanel.operators.mart import (
-    LOOKBACK_DAYS,
-    affected_rows,
-    mart_daily,
-    mart_incremental,
-    newer_rows,
-    older_rows,
-    rows_around,
-    short_after,
-    short_before,
-)
-from quotepanel.operators.quality import STALE_DAYS, gate, not_null, stale, unique_key
+from quotepanel.operators.mart import affected_near, mart_daily, mart_incremental, nearest_rows, reach
+from quotepanel.operators.quality import STALE_DAYS, gate_counts, not_null, stale, unique_key
 from quotepanel.operators.staging import staging as staging_model, utc_now
+from quotepanel.operators.state import edges
 from quotepanel.operators.upsert import upsert, upsert_newest
 from quotepanel.schemas import KEYS
 from quotepanel.sources.landing import folders_of, list_files, new_files, read_landing_variant
-from quotepanel.sources.layers import Layers, State
+from quotepanel.sources.layers import CHECKED, Layers, State
 
-CHECKED = [*KEYS, "rate"]
+# Buckets on either side of a change whose kept quotes are read at once: most
+# codes have four quotes there.
+NEIGHBOURS = {"yyyy": 1, "yyyyMM": 2, "yyyyMMdd": 8}
 
 
 @dataclass(frozen=True)
@@ -41,18 +34,23 @@ class LoadResult:
 def table_checks(rows: DataFrame, layer: str) -> dict[str, DataFrame]:
     """The not-null and unique-key checks of one layer."""
     return {
-        f"{layer}_not_null": not_null(rows, CHECKED),
+        f"{layer}_not_null": not_null(rows, CHECKED[layer]),
         f"{layer}_unique_key": unique_key(rows),
     }
 
 
-def _mart_checks(layers: Layers, mart: DataFrame, whole: DataFrame, run_ts, as_of: date | None) -> dict[str, DataFrame]:
-    """The checks of the mart; its age counts from ``as_of``, else from the run's own day."""
-    checks = table_checks(mart, "mart")
+def _failures(layer: str, seen: dict[str, int], repeated: int) -> dict[str, int]:
+    """The same checks from what was counted while the rows were written."""
+    return {f"{layer}_not_null": seen["nulls"], f"{layer}_unique_key": repeated}
+
+
+def _stale(layers: Layers, pending: dict[str, str], state: State, run_ts, as_of: date | None) -> dict[str, int]:
+    """The age of the mart from its newest bucket; it counts from ``as_of``, else from the run's own day."""
     if layers.stale_days is None and as_of is None:
-        return checks
+        return {}
     day = as_of or (F.to_date(utc_now()) if run_ts is None else F.lit(run_ts).cast("date"))
-    return checks | {"mart_stale": stale(whole, day, STALE_DAYS if layers.stale_days is None else layers.stale_days)}
+    days = STALE_DAYS if layers.stale_days is None else layers.stale_days
+    return {"mart_stale": stale(layers.newest("dates", pending, state), day, days).count()}
 
 
 def _attempt(run_id: str) -> str:
@@ -63,44 +61,49 @@ def _attempt(run_id: str) -> str:
 def _build(layers: Layers, state: State, raw: DataFrame, run_id: str, run_ts, as_of: date | None) -> LoadResult:
     """STAGING and MART as wholes from RAW rows, each written once."""
     attempt = _attempt(run_id)
-    layers.write_snapshot("staging", staging_model(raw, run_ts), attempt)
-    staging = layers.read_snapshot("staging", attempt)
-    buckets = layers.bucket_ranges(staging)
-    if not buckets:
+    seen = layers.write_snapshot("staging", staging_model(raw, run_ts), attempt)
+    if not seen["rows"]:
         return LoadResult("skipped", run_id)
-    gate(table_checks(staging, "staging"))
-    layers.write_snapshot("mart", mart_daily(staging, run_ts), attempt)
-    mart = layers.read_snapshot("mart", attempt)
-    gate(_mart_checks(layers, mart, mart, run_ts, as_of))
-    layers.commit(run_id, attempt, {"staging": buckets, "mart": buckets}, state)
+    gate_counts(_failures("staging", seen, layers.keep_codes(attempt)))
+    seen = layers.write_snapshot("mart", mart_daily(layers.read_snapshot("staging", attempt), run_ts), attempt)
+    repeated = layers.keep_dates(attempt)
+    buckets = layers.buckets_of("mart", attempt)
+    gate_counts(_failures("mart", seen, repeated) | _stale(layers, dict.fromkeys(buckets, attempt), state, run_ts, as_of))
+    layers.commit(run_id, attempt, dict.fromkeys(("staging", "codes", "mart", "dates"), buckets), state)
     return LoadResult("loaded", run_id)
 
 
+def _kept_edges(layers: Layers, buckets: list[str], state: State) -> DataFrame:
+    return edges(layers.read("codes", buckets, state=state))
+
+
 def _mart_delta(
     layers: Layers, state: State, pending: dict[str, str], delta: DataFrame, first: date, last: date, run_ts
 ) -> DataFrame:
-    """Affected mart rows, from the staging folders around the change only."""
-    low, high = first - timedelta(days=LOOKBACK_DAYS), last + timedelta(days=LOOKBACK_DAYS)
-    columns = [*KEYS, "rate", "updated_at"]
-    near = layers.read("staging", since=low, until=high, pending=pending, state=state)
-    around = rows_around(near, first, last, LOOKBACK_DAYS).select(columns)
-    panel = around
-    # Most loads find four rows for every code on either side, or have no
-    # folders further away, and read nothing more.
-    if layers.folders("staging", until=low, pending=pending, state=state):
-        short = short_before(around, delta, first)
-        if not short.isEmpty():
-            history = layers.read("staging", until=low, pending=pending, state=state)
-            panel = panel.unionByName(older_rows(history, short, first, LOOKBACK_DAYS).select(columns))
-    if layers.folders("staging", since=high, pending=pending, state=state):
-        short = short_after(around, delta, last)
-        if not short.isEmpty():
-            future = layers.read("staging", since=high, pending=pending, state=state)
-            panel = panel.unionByName(newer_rows(future, short, last, LOOKBACK_DAYS).select(columns))
+    """Affected mart rows, from the changed staging buckets and the kept quotes of others."""
+    whole = layers.read("staging", pending, pending=pending, state=state).select(*KEYS, "rate", "updated_at")
+    others = sorted(set(layers.folders("codes", state=state)) - set(pending))
+    low, high = min(pending), max(pending)
+    older, newer = [b for b in others if b < low], [b for b in others if b > high]
+    n = NEIGHBOURS[layers.grain]
+    near = [b for b in others if low < b < high] + older[-n:] + newer[:n]
+    kept = _kept_edges(layers, near, state)
+    if older[:-n] or newer[n:]:
+        # Most loads find four rows for every code on either side and read nothing more.
+        short = layers.stage("short", reach(whole.unionByName(kept), delta, first, last), run_attempt(pending))
+        for buckets, side, onward in ((older[:-n], "short_older", False), (newer[n:], "short_newer", True)):
+            codes = short.filter(side)
+            if buckets and not codes.isEmpty():
+                kept = kept.unionByName(nearest_rows(_kept_edges(layers, buckets, state), codes, onward).select(kept.columns))
     # The rows of this load carry its time. An older row with an equal time
     # comes out as it was, provided its frame is whole: not before `first`.
     ours = F.col("updated_at") == delta.agg(F.max("updated_at")).scalar()
-    return affected_rows(panel, delta, run_ts, ours & (F.col("result_date") >= F.lit(first)))
+    return affected_near(whole, kept, delta, ours & (F.col("result_date") >= F.lit(first)), run_ts)
+
+
+def run_attempt(pending: dict[str, str]) -> str:
+    """The attempt that all pending snapshots belong to."""
+    return next(iter(pending.values()))
 
 
 def apply_load(
@@ -116,31 +119,33 @@ def apply_load(
     if state.committed:
         return LoadResult("repeated", run_id)
     raw = layers.append_raw(landed, run_id)
-    if not state.current["staging"]:
-        return _build(layers, state, raw, run_id, run_ts, as_of)
+    # Layers without kept codes and dates are of an older form: made anew as wholes.
+    if not state.current["staging"] or state.current["staging"].keys() != state.current["codes"].keys():
+        return _build(layers, state, layers.raw() if state.current["staging"] else raw, run_id, run_ts, as_of)
 
     attempt = _attempt(run_id)
     delta = layers.stage("staging", staging_model(raw, run_ts), attempt)
-    touched = layers.bucket_ranges(delta)
-    if not touched:
+    facts = layers.bucket_facts(delta)
+    if not facts:
         return LoadResult("skipped", run_id)
-    gate(table_checks(delta, "staging"))
+    repeated = sum(n for _, _, n in facts.values())
+    gate_counts({"staging_not_null": not_null(delta, CHECKED["staging"]).count(), "staging_unique_key": repeated})
 
-    known = layers.read("staging", touched, state=state).drop(BUCKET)
+    known = layers.read("staging", facts, state=state).drop(BUCKET)
     layers.write_snapshot("staging", upsert_newest(known, delta, "loaded_at"), attempt)
+    gate_counts({"staging_unique_key": layers.keep_codes(attempt)})
 
-    pending = dict.fromkeys(touched, attempt)
-    first, last = min(a for a, _ in touched.values()), max(b for _, b in touched.values())
+    pending = dict.fromkeys(facts, attempt)
+    first, last = min(a for a, _, _ in facts.values()), max(b for _, b, _ in facts.values())
     rows = _mart_delta(layers, state, pending, delta, first, last, run_ts)
     mart_delta = layers.stage("mart", rows, attempt)
     altered = layers.bucket_ranges(mart_delta)
     known = layers.read("mart", altered, state=state).drop(BUCKET)
-    layers.write_snapshot("mart", upsert(known, mart_delta), attempt)
+    seen = layers.write_snapshot("mart", upsert(known, mart_delta), attempt)
+    repeated = layers.keep_dates(attempt)
 
-    pending = dict.fromkeys(altered, attempt)
-    mart = layers.read("mart", pending=pending, state=state)
-    gate(_mart_checks(layers, layers.read_snapshot("mart", attempt), mart, run_ts, as_of))
-    layers.commit(run_id, attempt, {"staging": touched, "mart": altered}, state)
+    gate_counts(_failures("mart", seen, repeated) | _stale(layers, dict.fromkeys(altered, attempt), state, run_ts, as_of))
+    layers.commit(run_id, attempt, {"staging": facts, "codes": facts, "mart": altered, "dates": altered}, state)
     return LoadResult("loaded", run_id)
 
 
@@ -184,10 +189,10 @@ def run_load(
     return result
 
 
-def rebuild(layers: Layers, run_ts=None, run_id: str | None = None) -> LoadResult:
+def rebuild(layers: Layers, run_ts=None, run_id: str | None = None, as_of: date | None = None) -> LoadResult:
     """Full recompute of STAGING and MART from all of RAW."""
     run_id = run_id or f"rebuild-{uuid.uuid4().hex[:12]}"
-    return _build(layers, layers.state(), layers.raw(), run_id, run_ts, None)
+    return _build(layers, layers.state(), layers.raw(), run_id, run_ts, as_of)
 
 
 def backfill(

@@ -44,6 +44,39 @@ MART = T.StructType(
     ]
 )
 
+# Kept beside each STAGING bucket: its codes with their name, rows, repeated
+# dates, and the first and last four quotes.
+CODES = T.StructType(
+    [
+        T.StructField("cur_unit", T.StringType()),
+        T.StructField("cur_nm", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("repeated", T.LongType()),
+        T.StructField(
+            "quotes",
+            T.ArrayType(
+                T.StructType(
+                    [
+                        T.StructField("result_date", T.DateType()),
+                        T.StructField("rate", T.DoubleType()),
+                        T.StructField("updated_at", T.TimestampNTZType()),
+                    ]
+                )
+            ),
+        ),
+    ]
+)
+
+# Kept beside each MART bucket: its dates with their rows, repeated codes and last update.
+DATES = T.StructType(
+    [
+        T.StructField("result_date", T.DateType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("repeated", T.LongType()),
+        T.StructField("updated_at", T.TimestampNTZType()),
+    ]
+)
+
 LEDGER = T.StructType(
     [
         T.StructField("path", T.StringType()),
@@ -54,6 +87,15 @@ LEDGER = T.StructType(
     ]
 )
 
+# Folders that were not current at ``seen``.
+TRASH = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("seen", T.TimestampType()),
+        T.StructField("gen", T.IntegerType()),
+    ]
+)
+
 # One row per (layer, bucket) a run replaced; the highest seq is current.
 COMMITS = T.StructType(
     [

@@ -5,24 +5,32 @@ and then appends one commit that makes them current, for all layers at once.
 Nothing is overwritten in place: a run that dies before its commit leaves the
 tables as they were, and a re-run writes under a new name. One run writes at
 a time.
+
+Beside STAGING and MART two small layers are committed with the same snapshots:
+``codes`` (per bucket and code: name, rows, first and last four quotes) and
+``dates`` (per date: rows, last update). Loads and look-ups read those.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quotepanel.functions.dates import BUCKET
-from quotepanel.operators.quality import STALE_DAYS
-from quotepanel.schemas import COMMITS, LEDGER, MART, RAW, STAGING
+from quotepanel.operators.quality import STALE_DAYS, null_count
+from quotepanel.operators.state import code_states, date_states
+from quotepanel.schemas import CODES, COMMITS, DATES, KEYS, LEDGER, MART, RAW, STAGING, TRASH
 
 GRAINS = ("yyyy", "yyyyMM", "yyyyMMdd")
-SCHEMAS = {"staging": STAGING, "mart": MART}
+SCHEMAS = {"staging": STAGING, "mart": MART, "codes": CODES, "dates": DATES}
+
+# Columns that must not be null, counted while a snapshot is written.
+CHECKED = {"staging": [*KEYS, "rate"], "mart": [*KEYS, "rate"]}
 
 # Catalog names of the layers.
 TABLES = {
@@ -220,19 +228,51 @@ class Layers:
     def _folder(self, layer: str, bucket: str, snapshot: str) -> str:
         return f"{self.path(layer)}/{BUCKET}={bucket}/snapshot={snapshot}"
 
-    def write_snapshot(self, layer: str, rows: DataFrame, snapshot: str) -> None:
-        """Write whole buckets under a new snapshot name, not yet visible."""
-        bucket = F.date_format("result_date", self.grain).alias(BUCKET)
+    def bucket(self) -> Column:
+        return F.date_format("result_date", self.grain)
+
+    def write_snapshot(self, layer: str, rows: DataFrame, snapshot: str) -> dict[str, int]:
+        """Write whole buckets under a new snapshot name, not yet visible.
+
+        Returns what passed by: ``rows``, ``nulls`` in the checked columns and,
+        for the kept layers, ``repeated`` keys. The counts belong to the stage
+        that writes, so a task that runs twice counts once.
+        """
+        bucket = F.col(BUCKET) if BUCKET in rows.columns else self.bucket().alias(BUCKET)
+        columns = SCHEMAS[layer].names
+        order = [c for c in ("cur_unit", "result_date") if c in columns]
+        seen = Observation()
+        counts = {"rows": F.count(F.lit(1))}
+        if layer in CHECKED:
+            counts["nulls"] = null_count(CHECKED[layer])
+        if "repeated" in columns:
+            counts["repeated"] = F.coalesce(F.sum("repeated"), F.lit(0))
         (
-            rows.select(*SCHEMAS[layer].names, bucket, F.lit(snapshot).alias("snapshot"))
+            rows.select(*columns, bucket, F.lit(snapshot).alias("snapshot"))
             # Few files per bucket, a large bucket over many tasks, and codes
             # together so that a selection skips row groups.
             .hint("rebalance", BUCKET)
-            .sortWithinPartitions(BUCKET, "snapshot", "cur_unit", "result_date")
+            .observe(seen, *[count.alias(name) for name, count in counts.items()])
+            .sortWithinPartitions(BUCKET, "snapshot", *order)
             .write.mode("append")
             .partitionBy(BUCKET, "snapshot")
             .parquet(self.path(layer))
         )
+        return seen.get
+
+    def keep_codes(self, snapshot: str) -> int:
+        """Write the ``codes`` of a STAGING snapshot; returns its repeated keys."""
+        states = code_states(self.read_snapshot("staging", snapshot), self.bucket())
+        return self.write_snapshot("codes", states, snapshot)["repeated"]
+
+    def keep_dates(self, snapshot: str) -> int:
+        """Write the ``dates`` of a MART snapshot; returns its repeated keys."""
+        return self.write_snapshot("dates", date_states(self.read_snapshot("mart", snapshot)), snapshot)["repeated"]
+
+    def newest(self, layer: str, pending: dict[str, str] | None = None, state: State | None = None) -> DataFrame:
+        """The newest bucket of a layer: it holds the latest date, since rows are never deleted."""
+        known = self.folders(layer, pending=pending, state=state)
+        return self.read(layer, [max(known)] if known else [], pending=pending, state=state)
 
     def read_snapshot(self, layer: str, snapshot: str) -> DataFrame:
         """All buckets of one snapshot, committed or not."""
@@ -250,9 +290,20 @@ class Layers:
 
     def bucket_ranges(self, rows: DataFrame) -> dict[str, tuple[date, date]]:
         """First and last date with rows per bucket; at most one entry per calendar day."""
-        bucket = F.date_format("result_date", self.grain).alias(BUCKET)
-        found = rows.groupBy(bucket).agg(F.min("result_date").alias("first"), F.max("result_date").alias("last")).collect()
-        return {row[BUCKET]: (row["first"], row["last"]) for row in found}
+        return {bucket: (first, last) for bucket, (first, last, _) in self.bucket_facts(rows).items()}
+
+    def bucket_facts(self, rows: DataFrame) -> dict[str, tuple[date, date, int]]:
+        """As ``bucket_ranges``, with the number of repeated keys."""
+        by_key = rows.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows"))
+        facts = by_key.groupBy(self.bucket().alias(BUCKET)).agg(
+            F.min("result_date").alias("first"), F.max("result_date").alias("last"), F.count_if(F.col("rows") > 1).alias("repeated")
+        )
+        return {row[BUCKET]: (row["first"], row["last"], row["repeated"]) for row in facts.collect()}
+
+    def buckets_of(self, layer: str, snapshot: str) -> list[str]:
+        """The buckets a snapshot has written."""
+        folders = self._glob(f"{layer}/{BUCKET}=*/snapshot={snapshot}")
+        return sorted(path.split(f"{BUCKET}=")[1].split("/")[0] for path in folders)
 
     def superseded(self) -> DataFrame:
         """Snapshot folders no longer current, to be deleted once no one reads them."""
@@ -261,6 +312,61 @@ class Layers:
         folder = F.concat_ws("/", F.lit(self.root), "layer", F.concat(F.lit(f"{BUCKET}="), BUCKET))
         return old.select("layer", BUCKET, F.concat(folder, F.lit("/snapshot="), "snapshot").alias("path"))
 
+    # Retention.
+
+    def _files(self):
+        context = self.spark.sparkContext
+        root = context._jvm.org.apache.hadoop.fs.Path(self.root)
+        return root.getFileSystem(context._jsc.hadoopConfiguration()), context._jvm.org.apache.hadoop.fs.Path
+
+    def _glob(self, pattern: str) -> list[str]:
+        """Folders under the root; one entry per bucket and snapshot at most."""
+        files, path = self._files()
+        found = files.globStatus(path(self.path(pattern))) or []
+        return [status.getPath().toString() for status in found]
+
+    def unreferenced(self) -> list[str]:
+        """Folders that no one who asks now would read: snapshots that are not current, work, old log generations."""
+        current = self.state().current
+        kept = {f"{layer}/{BUCKET}={b}/snapshot={s}" for layer, buckets in current.items() for b, s in buckets.items()}
+        found = []
+        for layer in SCHEMAS:
+            for path in self._glob(f"{layer}/{BUCKET}=*/snapshot=*"):
+                if "/".join(path.rsplit("/", 3)[1:]) not in kept:
+                    found.append(path)
+        found += self._glob("work/*")
+        for name, schema in (("commits", COMMITS), ("ledger", LEDGER), ("trash", TRASH)):
+            newest = self._generation(name, schema) if self._log(name, schema) is not None else 0
+            old = [path for path in self._glob(f"{name}/{GENERATION}=*") if int(path.rsplit("=", 1)[1]) < newest]
+            found += old
+        return sorted(found)
+
+    def expire(self, grace: timedelta, now: datetime | None = None) -> list[str]:
+        """Delete what has been unreferenced for ``grace``, and note what is unreferenced now.
+
+        A folder is deleted by the first call that finds it still unreferenced
+        ``grace`` after an earlier call noted it. So whoever opened it while it
+        was current has that long to finish, as has a run that has not
+        committed yet; ``grace`` must exceed the longest of either. Returns the
+        deleted folders. Run it between loads, like ``compact``.
+        """
+        now = now or datetime.now(timezone.utc)
+        found = self.unreferenced()
+        noted = {}
+        if self._log("trash", TRASH) is not None:
+            rows = self._newest("trash", TRASH).groupBy("path").agg(F.min("seen").cast("long").alias("seen")).collect()
+            noted = {row["path"]: row["seen"] for row in rows}
+        files, path = self._files()
+        gone = [f for f in found if f in noted and noted[f] <= (now - grace).timestamp()]
+        for folder in gone:
+            files.delete(path(folder), True)
+        # What was used again since is forgotten; the rest keeps its first time.
+        left = [(f, datetime.fromtimestamp(noted.get(f, now.timestamp()), timezone.utc)) for f in found if f not in gone]
+        generation = self._generation("trash", TRASH) + 1 if self._log("trash", TRASH) is not None else 1
+        schema = StructType([f for f in TRASH if f.name != GENERATION])
+        self._append("trash", self.spark.createDataFrame(left, schema).coalesce(1), generation)
+        return gone
+
     def commit(self, run_id: str, snapshot: str, buckets: dict[str, Iterable[str]], state: State) -> None:
         """Make a snapshot current: one file, all layers at once.
 
