@@ -12,31 +12,37 @@ LATEST_ROWS = 60
 SATURDAY = 5
 
 
-def _expected(panel: DataFrame) -> Column:
+# Each takes the rows per date and the codes from tables that are kept, if there
+# are any; without them it counts the panel.
+
+
+def _expected(codes: DataFrame) -> Column:
     """Number of codes ever seen, as a scalar."""
-    return panel.select("cur_unit").distinct().agg(F.count("cur_unit")).scalar()
+    return codes.select("cur_unit").distinct().agg(F.count("cur_unit")).scalar()
 
 
-def _per_date(panel: DataFrame) -> DataFrame:
+def per_date(panel: DataFrame) -> DataFrame:
     return panel.groupBy("result_date").agg(F.count("*").alias("rows"))
 
 
-def completeness(panel: DataFrame) -> DataFrame:
+def completeness(panel: DataFrame, dates: DataFrame | None = None, codes: DataFrame | None = None) -> DataFrame:
     """Rows of the latest date against the number of codes ever seen."""
     return (
-        _per_date(panel)
+        (per_date(panel) if dates is None else dates)
         .agg(F.max("result_date").alias("latest_date"), F.max_by("rows", "result_date").alias("rows"))
-        .withColumn("expected", _expected(panel))
+        .withColumn("expected", _expected(panel if codes is None else codes))
         .withColumn("shortfall", F.greatest(F.col("expected") - F.col("rows"), F.lit(0)))
     )
 
 
-def history(panel: DataFrame, days: int | None = HISTORY_DATES) -> DataFrame:
+def history(
+    panel: DataFrame, days: int | None = HISTORY_DATES, dates: DataFrame | None = None, codes: DataFrame | None = None
+) -> DataFrame:
     """Rows per date on the last ``days`` dates (all for None), with a load status."""
-    counts = _per_date(panel)
+    counts = per_date(panel) if dates is None else dates.select("result_date", "rows")
     if days is not None:
         counts = counts.orderBy(F.desc("result_date")).limit(days)
-    counts = counts.withColumn("expected", _expected(panel))
+    counts = counts.withColumn("expected", _expected(panel if codes is None else codes))
     status = (
         F.when(F.col("rows") == F.col("expected"), "complete").when(F.col("rows") == 0, "empty").otherwise("partial")
     )
@@ -44,7 +50,7 @@ def history(panel: DataFrame, days: int | None = HISTORY_DATES) -> DataFrame:
 
 
 def missing_weekdays(panel: DataFrame) -> DataFrame:
-    """Mondays to Fridays between first and latest date without any row."""
+    """Mondays to Fridays between first and latest date without any row; a frame of dates will do."""
     days = panel.agg(F.min("result_date").alias("start"), F.max("result_date").alias("end")).select(
         F.explode(F.sequence("start", "end")).alias("result_date")
     )
@@ -53,22 +59,23 @@ def missing_weekdays(panel: DataFrame) -> DataFrame:
     )
 
 
-def ops(mart: DataFrame) -> DataFrame:
+def ops(mart: DataFrame, dates: DataFrame | None = None, codes: DataFrame | None = None) -> DataFrame:
     """One row: completeness, missing weekdays and pipeline status.
 
     The panel is aggregated to one row per date first. All its dates lie
     between first and latest, so the weekdays found need only be counted.
     """
-    per_date = mart.groupBy("result_date").agg(F.count("*").alias("rows"), F.max("updated_at").alias("updated"))
-    totals = per_date.agg(
+    if dates is None:
+        dates = mart.groupBy("result_date").agg(F.count("*").alias("rows"), F.max("updated_at").alias("updated_at"))
+    totals = dates.agg(
         F.min("result_date").alias("first_date"),
         F.max("result_date").alias("latest_date"),
         F.max_by("rows", "result_date").alias("rows"),
         F.count_if(F.weekday("result_date") < SATURDAY).alias("found"),
-        F.max("updated").alias("last_updated"),
+        F.max("updated_at").alias("last_updated"),
     )
     weekdays = F.size(F.filter(F.sequence("first_date", "latest_date"), lambda d: F.weekday(d) < SATURDAY))
-    return totals.withColumn("expected", _expected(mart)).select(
+    return totals.withColumn("expected", _expected(mart if codes is None else codes)).select(
         "latest_date",
         "rows",
         "expected",

@@ -17,7 +17,7 @@ from quotepanel.operators.staging import staging as staging_model, utc_now
 from quotepanel.operators.state import edges
 from quotepanel.operators.upsert import upsert, upsert_newest
 from quotepanel.schemas import KEYS
-from quotepanel.sources.landing import folders_of, list_files, new_files, read_landing_variant
+from quotepanel.sources.landing import folders_of, list_files, new_files, read_landing_split, read_landing_variant
 from quotepanel.sources.layers import CHECKED, Layers, State
 
 # Buckets on either side of a change whose kept quotes are read at once: most
@@ -25,6 +25,10 @@ from quotepanel.sources.layers import CHECKED, Layers, State
 NEIGHBOURS = {"yyyy": 1, "yyyyMM": 2, "yyyyMMdd": 8}
 
 
+# Bytes from which a file of one multi-line array is cut; a file below is one task.
+SPLIT_BYTES = 256 << 20
+
+
 @dataclass(frozen=True)
 class LoadResult:
     status: str  # loaded, skipped or repeated
@@ -53,14 +57,14 @@ def _stale(layers: Layers, pending: dict[str, str], state: State, run_ts, as_of:
     return {"mart_stale": stale(layers.newest("dates", pending, state), day, days).count()}
 
 
-def _attempt(run_id: str) -> str:
+def new_attempt(run_id: str) -> str:
     """Folder name of one try of a run: none is ever written twice."""
     return f"{run_id}-{uuid.uuid4().hex[:8]}"
 
 
 def _build(layers: Layers, state: State, raw: DataFrame, run_id: str, run_ts, as_of: date | None) -> LoadResult:
     """STAGING and MART as wholes from RAW rows, each written once."""
-    attempt = _attempt(run_id)
+    attempt = new_attempt(run_id)
     seen = layers.write_snapshot("staging", staging_model(raw, run_ts), attempt)
     if not seen["rows"]:
         return LoadResult("skipped", run_id)
@@ -123,7 +127,7 @@ def apply_load(
     if not state.current["staging"] or state.current["staging"].keys() != state.current["codes"].keys():
         return _build(layers, state, layers.raw() if state.current["staging"] else raw, run_id, run_ts, as_of)
 
-    attempt = _attempt(run_id)
+    attempt = new_attempt(run_id)
     delta = layers.stage("staging", staging_model(raw, run_ts), attempt)
     facts = layers.bucket_facts(delta)
     if not facts:
@@ -160,6 +164,24 @@ def _in_range(files: DataFrame, start: date | None, end: date | None) -> DataFra
     return files
 
 
+def landed_rows(
+    layers: Layers, found: DataFrame, run_ts=None, multi_line: bool = True, split_bytes: int = SPLIT_BYTES
+) -> DataFrame | None:
+    """RAW rows of the listed files, large arrays cut; None without files."""
+    # The driver sees the folders, one per date; which of their files are new is a join.
+    folders = folders_of(found)
+    if not folders:
+        return None
+    if not multi_line:
+        return read_landing_variant(layers.spark, folders, run_ts, multi_line=False, files=found)
+    large = F.col("size") >= split_bytes
+    cut = folders_of(found.filter(large))
+    if not cut:
+        return read_landing_variant(layers.spark, folders, run_ts, files=found)
+    split = read_landing_split(layers.spark, cut, run_ts, found.filter(large))
+    return split.unionByName(read_landing_variant(layers.spark, folders, run_ts, files=found.filter(~large)))
+
+
 def run_load(
     layers: Layers,
     landing: str,
@@ -169,6 +191,7 @@ def run_load(
     as_of: date | None = None,
     run_id: str | None = None,
     multi_line: bool = True,
+    split_bytes: int = SPLIT_BYTES,
 ) -> LoadResult:
     """Load the landed files not in the ledger, optionally of a date range.
 
@@ -178,12 +201,10 @@ def run_load(
     """
     run_id = run_id or f"run-{uuid.uuid4().hex[:12]}"
     listing = new_files(list_files(layers.spark, landing), layers.ledger())
-    found = layers.stage("files", _in_range(listing, start, end), _attempt(run_id))
-    # The driver sees the folders, one per date; which of their files are new is a join.
-    folders = folders_of(found)
-    if not folders:
+    found = layers.stage("files", _in_range(listing, start, end), new_attempt(run_id))
+    landed = landed_rows(layers, found, run_ts, multi_line, split_bytes)
+    if landed is None:
         return LoadResult("skipped", run_id)
-    landed = read_landing_variant(layers.spark, folders, run_ts, multi_line=multi_line, files=found)
     result = apply_load(layers, landed, run_id, run_ts, as_of)
     layers.append_ledger(found, run_id)
     return result

@@ -17,6 +17,7 @@ from quotepanel.plans.daily import rebuild, run_load
 from quotepanel.plans.entries.analytics import named_nation_mart, N_NAMED
 from quotepanel.plans.entries.ingest import MART_COLUMNS, MART_SQL, RUN_TS
 from quotepanel.plans.registry import query
+from quotepanel.plans.stored import StoredPanel
 from quotepanel.session import shared_folder
 from quotepanel.sources.export import export_panel
 from quotepanel.sources.landing import (
@@ -211,6 +212,60 @@ def mart_scan(spark, sf_dir):
     return scan_mart(layers, ["result_date", "cur_unit", "change_pct"])
 
 
+@query(
+    "stored_panel",
+    LANDED_MART
+    + """ SELECT m.*, cur_nm FROM m
+LEFT JOIN (SELECT cur_unit, max(cur_nm) AS cur_nm FROM stg GROUP BY cur_unit) USING (cur_unit)""",
+)
+def stored_panel(spark, sf_dir):
+    """The enriched panel from the stored layers in one call."""
+    layers, _ = _loaded(spark, sf_dir, "stored-panel")
+    return StoredPanel(layers).enriched().select(*MART_COLUMNS, "cur_nm")
+
+
+@query("stored_period", LANDED_MART + "," + sql.period("m", 22) + " " + MART_SQL.replace("FROM m", "FROM p"))
+def stored_period(spark, sf_dir):
+    """The period's start comes from the kept dates."""
+    layers, _ = _loaded(spark, sf_dir, "stored-period")
+    return StoredPanel(layers).period(22).select(*MART_COLUMNS)
+
+
+@query(
+    "stored_history",
+    LANDED_MART
+    + """ SELECT result_date, count(*) AS rows,
+  CASE WHEN count(*) = (SELECT count(DISTINCT cur_unit) FROM m) THEN 'complete' ELSE 'partial' END AS status
+FROM m GROUP BY result_date""",
+)
+def stored_history(spark, sf_dir):
+    """All dates of the load history, after the newer half was loaded before the older."""
+    rows = panels.events_landing(spark, sf_dir)
+    landing = _landed(spark, rows.filter(F.col("search_date") >= MIDDLE), "stored-history-landing")
+    layers = create_layers(spark, shared_folder(spark, "stored-history"), stale_days=None)
+    run_load(layers, landing, RUN_TS, multi_line=False)
+    write_landing(rows.filter(F.col("search_date") < MIDDLE), landing, "event_id")
+    run_load(layers, landing, RUN_TS, multi_line=False)
+    return StoredPanel(layers).history(None)
+
+
+@query(
+    "stored_ops",
+    LANDED_MART
+    + """ SELECT max(result_date) AS latest_date,
+  count(*) FILTER (result_date = (SELECT max(result_date) FROM m)) AS rows,
+  count(DISTINCT cur_unit) AS expected,
+  greatest(count(DISTINCT cur_unit) - count(*) FILTER (result_date = (SELECT max(result_date) FROM m)), 0) AS shortfall,
+  (SELECT count(*) FROM (SELECT CAST(unnest(generate_series(min(result_date), max(result_date), INTERVAL 1 DAY)) AS DATE) AS d FROM m)
+   WHERE isodow(d) < 6 AND d NOT IN (SELECT result_date FROM m)) AS missing_days,
+  'ok' AS status
+FROM m""",
+)
+def stored_ops(spark, sf_dir):
+    layers, _ = _loaded(spark, sf_dir, "stored-ops")
+    return StoredPanel(layers).ops().drop("last_updated").withColumn("missing_days", F.col("missing_days").cast("long"))
+
+
 @query("backfill_job", LANDED_MART + " " + MART_SQL)
 def backfill_job(spark, sf_dir):
     """The middle third of the events' dates is loaded first; two backfills that overlap it add the rest."""

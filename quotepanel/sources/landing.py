@@ -1,9 +1,10 @@
 """Landed JSON files: one per search date, an array of one object per code.
 
-All files of a folder tree are read, compressed ones by their extension. A
-file that holds its array over several lines must be read whole
-(``multi_line``), one task per file; files with one array or object per line
-are split.
+All files of a folder tree are read, compressed ones by their extension. Files
+with one array or object per line are split over tasks. A file that holds its
+array over several lines is read whole (``multi_line``), one task per file,
+unless it is large: then it is cut at the ends of its objects
+(``read_landing_split``). Compressed files have no cuts and are always one task.
 """
 
 from __future__ import annotations
@@ -91,6 +92,65 @@ def read_landing_variant(
     return elements(documents, loaded_at)
 
 
+# Record boundaries of a large array.
+
+# What may stand between two closing braces of an array of flat objects.
+OPENING, NEXT, CLOSING, EMPTY = r"(?s)^\s*\[\s*\{.*", r"(?s)^\s*,\s*\{.*", r"^\s*\]\s*$", r"^\s*\[\s*\]\s*$"
+
+
+def _cuts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The text up to each closing brace, whichever task reads it, and what it can be in an array of flat objects."""
+    text = spark.read.option("recursiveFileLookup", True).option("lineSep", "}").text(paths)
+    rows = numbered(text.select("value", _landed_name().alias("file_name"), *_lineage()))
+    candidate = F.try_parse_json(F.concat(F.regexp_extract("value", r"(?s)^\s*[\[,]\s*(\{.*)$", 1), F.lit("}")))
+    rows = rows.withColumn("document", candidate)
+    known = F.col("document").isNotNull()
+    kind = (
+        F.when(F.col("value").rlike(OPENING) & known, "opening")
+        .when(F.col("value").rlike(NEXT) & known, "next")
+        .when(F.col("value").rlike(CLOSING), "closing")
+        .when(F.col("value").rlike(EMPTY), "empty")
+    )
+    return rows.withColumn("kind", kind)
+
+
+def flat_files(cuts: DataFrame) -> DataFrame:
+    """The files that are one array of objects without objects or braces inside, by every piece of their text."""
+    place = F.struct("block", "line")
+    by_file = cuts.groupBy("file_path").agg(
+        F.count(F.lit(1)).alias("pieces"),
+        F.count("kind").alias("good"),
+        F.count_if(F.col("kind") == "opening").alias("openings"),
+        F.count_if(F.col("kind") == "closing").alias("closings"),
+        F.min_by("kind", place).alias("first"),
+        F.max_by("kind", place).alias("last"),
+    )
+    whole = (F.col("first") == "opening") & (F.col("last") == "closing") & (F.col("openings") == 1) & (F.col("closings") == 1)
+    empty = (F.col("pieces") == 1) & (F.col("first") == "empty")
+    return by_file.filter((F.col("pieces") == F.col("good")) & (whole | empty)).select("file_path")
+
+
+def read_landing_split(
+    spark: SparkSession, paths: str | list[str], loaded_at=None, files: DataFrame | None = None
+) -> DataFrame:
+    """``read_landing_variant`` for large multi-line arrays: a file is read by as many tasks as it has splits.
+
+    An array of flat objects parts at its closing braces. If every piece of a
+    file is such an object, the cuts were right: a brace inside a text or an
+    inner object leaves a piece that does not parse. Any other file is read
+    whole, malformed ones with their error.
+    """
+    cuts = _cuts(spark, paths)
+    if files is not None:
+        cuts = cuts.join(files.select(F.col("path").alias("file_path")), "file_path", "left_semi")
+    flat = flat_files(cuts)
+    rows = cuts.filter(F.col("kind").isin("opening", "next")).join(flat, "file_path", "left_semi")
+    lineage = ["file_name", "file_path", "block", "line"]
+    split = rows.select(F.col("document").alias("raw_data"), F.lit(0).alias("pos"), *lineage, _load_time(loaded_at).alias("loaded_at"))
+    others = cuts.select("file_path").distinct().join(flat, "file_path", "left_anti").select(F.col("file_path").alias("path"))
+    return split.unionByName(read_landing_variant(spark, paths, loaded_at, files=others))
+
+
 def stream_landing(spark: SparkSession, path: str, max_files: int | None = None, multi_line: bool = True) -> DataFrame:
     """Streaming counterpart: one VARIANT document per new file or line."""
     reader = (
@@ -125,6 +185,11 @@ def folders_of(files: DataFrame) -> list[str]:
     return outer
 
 
+def rewritten_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Files that were loaded before and have changed since."""
+    return new_files(listing, ledger).join(ledger.select("path").distinct(), "path", "left_semi")
+
+
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files not loaded yet; a rewritten file counts as new."""
     return listing.join(ledger, ["path", "mtime", "size"], "left_anti")

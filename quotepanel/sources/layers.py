@@ -29,6 +29,8 @@ from quotepanel.schemas import CODES, COMMITS, DATES, KEYS, LEDGER, MART, RAW, S
 GRAINS = ("yyyy", "yyyyMM", "yyyyMMdd")
 SCHEMAS = {"staging": STAGING, "mart": MART, "codes": CODES, "dates": DATES}
 
+LOGS = {"commits": COMMITS, "ledger": LEDGER, "trash": TRASH}
+
 # Columns that must not be null, counted while a snapshot is written.
 CHECKED = {"staging": [*KEYS, "rate"], "mart": [*KEYS, "rate"]}
 
@@ -82,20 +84,12 @@ class Layers:
 
     def create(self) -> Layers:
         """Create the append-only tables if absent."""
-        for name, schema in (("commits", COMMITS), ("ledger", LEDGER)):
-            if self._log(name, schema) is None:
+        for name, schema in LOGS.items():
+            if not self._glob(f"{name}/{GENERATION}=*"):
                 empty = StructType([f for f in schema if f.name != GENERATION])
                 self.spark.createDataFrame([], empty).write.mode("append").parquet(f"{self.path(name)}/{GENERATION}=0")
         return self
 
-    def _log(self, name: str, schema) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(name))
-        except AnalysisException as missing:
-            if missing.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-
     # RAW: append-only, one folder per run, so that a repeated run replaces
     # its own rows and no others.
 
@@ -122,23 +116,22 @@ class Layers:
     # Logs: rows are appended to the newest generation; compaction writes the
     # next one, and older ones are no longer read.
 
-    def _generation(self, name: str, schema) -> int:
-        newest = self.spark.read.schema(schema).parquet(self.path(name)).agg(F.max(GENERATION)).first()[0]
-        return newest or 0
+    def _generation(self, name: str) -> int:
+        return max((int(path.rsplit("=", 1)[1]) for path in self._glob(f"{name}/{GENERATION}=*")), default=0)
 
     def _append(self, name: str, rows: DataFrame, generation: int) -> None:
         rows.write.mode("append").parquet(f"{self.path(name)}/{GENERATION}={generation}")
 
     def _newest(self, name: str, schema) -> DataFrame:
-        rows = self.spark.read.schema(schema).parquet(self.path(name))
-        return rows.filter(F.col(GENERATION) == self._generation(name, schema))
+        rows = self.spark.read.schema(schema).option("basePath", self.path(name))
+        return rows.parquet(f"{self.path(name)}/{GENERATION}={self._generation(name)}")
 
     def ledger(self) -> DataFrame:
         return self._newest("ledger", LEDGER).drop(GENERATION)
 
     def append_ledger(self, files: DataFrame, run_id: str) -> None:
         rows = files.withColumn("run_id", F.lit(run_id)).select(*[c for c in LEDGER.names if c != GENERATION])
-        self._append("ledger", rows, self._generation("ledger", LEDGER))
+        self._append("ledger", rows, self._generation("ledger"))
 
     def compact(self) -> None:
         """Commits and ledger as a new generation of few files; run it between loads."""
@@ -149,9 +142,9 @@ class Layers:
         runs = commits.groupBy("run_id").agg(F.max("seq").alias("seq"), F.max_by("snapshot", "seq").alias("snapshot"))
         known = runs.select(F.lit(RUN).alias("layer"), F.col("run_id").alias(BUCKET), "snapshot", "run_id", "seq")
         rows = current.filter(F.col("layer") != RUN).unionByName(known)
-        self._append("commits", rows.coalesce(1), self._generation("commits", COMMITS) + 1)
+        self._append("commits", rows.coalesce(1), self._generation("commits") + 1)
         files = self.ledger().dropDuplicates(["path", "mtime", "size"])
-        self._append("ledger", files, self._generation("ledger", LEDGER) + 1)
+        self._append("ledger", files, self._generation("ledger") + 1)
 
     # STAGING and MART.
 
@@ -335,10 +328,9 @@ class Layers:
                 if "/".join(path.rsplit("/", 3)[1:]) not in kept:
                     found.append(path)
         found += self._glob("work/*")
-        for name, schema in (("commits", COMMITS), ("ledger", LEDGER), ("trash", TRASH)):
-            newest = self._generation(name, schema) if self._log(name, schema) is not None else 0
-            old = [path for path in self._glob(f"{name}/{GENERATION}=*") if int(path.rsplit("=", 1)[1]) < newest]
-            found += old
+        for name in LOGS:
+            newest = self._generation(name)
+            found += [path for path in self._glob(f"{name}/{GENERATION}=*") if int(path.rsplit("=", 1)[1]) < newest]
         return sorted(found)
 
     def expire(self, grace: timedelta, now: datetime | None = None) -> list[str]:
@@ -352,19 +344,16 @@ class Layers:
         """
         now = now or datetime.now(timezone.utc)
         found = self.unreferenced()
-        noted = {}
-        if self._log("trash", TRASH) is not None:
-            rows = self._newest("trash", TRASH).groupBy("path").agg(F.min("seen").cast("long").alias("seen")).collect()
-            noted = {row["path"]: row["seen"] for row in rows}
+        rows = self._newest("trash", TRASH).select("path", F.col("seen").cast("long").alias("seen")).collect()
+        noted = {row["path"]: row["seen"] for row in rows}
         files, path = self._files()
         gone = [f for f in found if f in noted and noted[f] <= (now - grace).timestamp()]
         for folder in gone:
             files.delete(path(folder), True)
         # What was used again since is forgotten; the rest keeps its first time.
         left = [(f, datetime.fromtimestamp(noted.get(f, now.timestamp()), timezone.utc)) for f in found if f not in gone]
-        generation = self._generation("trash", TRASH) + 1 if self._log("trash", TRASH) is not None else 1
         schema = StructType([f for f in TRASH if f.name != GENERATION])
-        self._append("trash", self.spark.createDataFrame(left, schema).coalesce(1), generation)
+        self._append("trash", self.spark.createDataFrame(left, schema).coalesce(1), self._generation("trash") + 1)
         return gone
 
     def commit(self, run_id: str, snapshot: str, buckets: dict[str, Iterable[str]], state: State) -> None:
@@ -375,9 +364,10 @@ class Layers:
         seq = state.seq + 1
         rows = [(layer, bucket, snapshot, run_id, seq) for layer, bs in buckets.items() for bucket in bs]
         schema = StructType([f for f in COMMITS if f.name != GENERATION])
-        if self.state().seq != state.seq:
+        newest = self._newest("commits", COMMITS).agg(F.max("seq")).first()[0] or 0
+        if newest != state.seq:
             raise ConcurrentRun(f"another run committed before {run_id}")
-        self._append("commits", self.spark.createDataFrame(rows, schema).coalesce(1), self._generation("commits", COMMITS))
+        self._append("commits", self.spark.createDataFrame(rows, schema).coalesce(1), self._generation("commits"))
         if self.commits().filter((F.col("seq") == seq) & (F.col("snapshot") == snapshot)).isEmpty():
             raise ConcurrentRun(f"another run committed together with {run_id}")
 

@@ -3,7 +3,8 @@
 import gzip
 import json
 import os
-from datetime import date, datetime, timedelta
+import random
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,9 +12,11 @@ from pyspark.sql import functions as F
 from quotepanel.operators import period
 from quotepanel.operators.mart import mart_daily
 from quotepanel.operators.quality import QualityError
+from quotepanel.operators.state import code_states, date_states
 from quotepanel.plans.daily import apply_load, rebuild, run_load
+from quotepanel.plans.stored import StoredPanel
 from quotepanel.session import shared_folder
-from quotepanel.sources.landing import list_files, new_files, read_landing, read_landing_variant
+from quotepanel.sources.landing import list_files, new_files, read_landing, read_landing_split, read_landing_variant
 from quotepanel.sources.layers import ConcurrentRun, create_layers, scan_mart
 from quotepanel.streaming.ingest import stream_ingest
 
@@ -382,3 +385,222 @@ def test_compaction_keeps_state_runs_and_ledger(spark, landing, layers):
     assert run_load(layers, landing).status == "loaded"
     layers.compact()
     assert len(mart_rows(layers)) == 4
+
+
+def same_as_recomputed(layers):
+    staging, mart = layers.read("staging").drop("bucket"), layers.read("mart")
+    assert sorted(mart_daily(staging).drop("updated_at").collect()) == sorted(mart.drop("updated_at", "bucket").collect())
+    # What is kept beside the buckets is what they hold.
+    kept = sorted((r.bucket, r.cur_unit, r.cur_nm, r.rows, r.quotes) for r in layers.read("codes").collect())
+    assert kept == sorted((r.bucket, r.cur_unit, r.cur_nm, r.rows, r.quotes) for r in code_states(staging, layers.bucket()).collect())
+    kept = sorted(map(tuple, layers.read("dates").drop("bucket").collect()))
+    assert kept == sorted(map(tuple, date_states(mart.drop("bucket")).collect()))
+
+
+@pytest.mark.parametrize("grain", ["yyyyMM", "yyyyMMdd"])
+def test_changes_anywhere_read_the_kept_quotes(spark, landing, root, grain):
+    """Dense and sparse codes, a late file in an old gap, a correction and several buckets at once."""
+    layers = create_layers(spark, root, grain, stale_days=None)
+    rng = random.Random(7)
+    span = days(130, date(2025, 11, 3))
+
+    def quotes(i):
+        sparse = [quote("EUR", 50 + i)] if i % 23 == 0 else []
+        return [quote("USD", 100 + i), *([quote("JPY", i + 1)] if rng.random() < 0.4 else []), *sparse]
+
+    held_back = {17, 64, 65, 99}
+    for i, day in enumerate(span):
+        if i not in held_back:
+            land(landing, day, quotes(i))
+    run_load(layers, landing, "2026-06-01 00:00:00")
+    land(landing, span[17], [quote("USD", 5), quote("EUR", 6)])
+    land(landing, span[99], [quote("JPY", 7)])
+    land(landing, span[46], [quote("USD", 1), quote("EUR", 2), quote("NEW", 3)])
+    # The same load time as before: older rows with it must come out as they were.
+    run_load(layers, landing, "2026-06-01 00:00:00")
+    same_as_recomputed(layers)
+    land(landing, span[0] - timedelta(days=400), [quote("EUR", 9)])
+    land(landing, span[64], [quote("EUR", 10)])
+    run_load(layers, landing, "2026-06-02 00:00:00")
+    same_as_recomputed(layers)
+
+
+def test_age_of_the_mart_is_read_from_its_newest_bucket(landing, layers):
+    for day in (date(2026, 6, 1), date(2026, 7, 1), DAY_1):
+        land(landing, day, [quote("USD", 10)])
+    run_load(layers, landing)
+    assert {path.split("bucket=")[1][:6] for path in layers.newest("dates").inputFiles()} == {"202608"}
+
+
+def test_snapshots_are_not_read_again_for_counts(landing, layers, monkeypatch):
+    """One read of keys per snapshot, and one of STAGING to build the mart."""
+    land(landing, DAY_1, [quote("USD", 10)])
+    reads = []
+    read = type(layers).read_snapshot
+    monkeypatch.setattr(type(layers), "read_snapshot", lambda self, layer, name: reads.append(layer) or read(self, layer, name))
+    run_load(layers, landing)
+    assert sorted(reads) == ["mart", "staging", "staging"]
+
+
+def test_stored_lookups_open_no_panel_file(landing, layers):
+    for i, day in enumerate(days(40)):
+        if day.weekday() < 5 and i != 9:
+            land(landing, day, [quote("USD", 100 + i), *([quote("EUR", 1 + i)] if i % 2 else [])])
+    run_load(layers, landing, "2026-10-01 08:00:00")
+    panel = StoredPanel(layers)
+    for frame in (panel.history(), panel.completeness(), panel.missing_weekdays(), panel.recent_dates(5), panel.latest(), panel.ops(), panel.freshness("2026-10-01 10:00:00"), panel.names):
+        plan = frame._jdf.queryExecution().toString()
+        assert "/mart/" not in plan and "/staging/" not in plan
+    mart = layers.read("mart")
+    from quotepanel.operators import ops
+
+    assert sorted(panel.history().collect()) == sorted(ops.history(mart).collect())
+    assert panel.completeness().collect() == ops.completeness(mart).collect()
+    assert [r[0] for r in panel.missing_weekdays().collect()] == [days(40)[9]]
+    assert panel.ops().collect() == ops.ops(mart).collect()
+    assert sorted(panel.period(5).collect()) == sorted(period.period(mart, 5).collect())
+    assert panel.snapshot().collect() == period.snapshot(mart).collect()
+    assert panel.selected(["EUR"], 5).count() == period.period(mart, 5).filter("cur_unit = 'EUR'").count()
+    # Names come with the panel, and STAGING is not opened for them.
+    enriched = panel.enriched()
+    assert "/staging/" not in enriched._jdf.queryExecution().toString()
+    assert {(r["cur_unit"], r["cur_nm"]) for r in enriched.collect()} == {("USD", "usd"), ("EUR", "eur")}
+    # Only the bucket of the period is opened for its rows.
+    assert "PartitionFilters: [isnotnull(bucket" in panel.period(5)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_state_stays_what_it_was(landing, layers):
+    land(landing, DAY_1, [quote("USD", 10)])
+    run_load(layers, landing)
+    before = StoredPanel(layers)
+    land(landing, DAY_1, [quote("USD", 2000)])
+    run_load(layers, landing)
+    assert [r["rate"] for r in before.enriched().collect()] == [10.0]
+    assert [r["rate"] for r in StoredPanel(layers).enriched().collect()] == [2000.0]
+
+
+def test_expiry_leaves_a_reader_its_snapshot(landing, layers):
+    hour, now = timedelta(hours=1), datetime(2026, 9, 1, tzinfo=timezone.utc)
+    land(landing, DAY_1, [quote("USD", 10)])
+    run_load(layers, landing)
+    assert layers.expire(hour, now) == []
+    reader = layers.read("mart")
+    land(landing, DAY_1, [quote("USD", 2000)])
+    run_load(layers, landing)
+    current = mart_rows(layers)
+    # Superseded since: noted now, kept for the grace time, then gone.
+    assert not any("/mart/" in path for path in layers.expire(hour, now + 2 * hour))
+    assert [r["rate"] for r in reader.collect()] == [10.0]
+    layers.compact()
+    gone = layers.expire(hour, now + 4 * hour)
+    assert sum("/mart/" in path for path in gone) == sum("/staging/" in path for path in gone) == 1
+    assert mart_rows(layers) == current
+    with pytest.raises(Exception):
+        reader.collect()
+    # Old generations of the logs go as well, and loads go on.
+    assert any("/commits/gen=0" in path for path in layers.expire(hour, now + 6 * hour))
+    assert run_load(layers, landing).status == "skipped"
+    land(landing, days(2)[1], [quote("USD", 11)])
+    assert run_load(layers, landing).status == "loaded" and len(mart_rows(layers)) == 2
+
+
+def test_expiry_removes_attempts_that_never_committed(spark, landing, layers, monkeypatch):
+    hour, now = timedelta(hours=1), datetime(2026, 9, 1, tzinfo=timezone.utc)
+    land(landing, DAY_1, [quote("USD", 10)])
+
+    def die(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(type(layers), "commit", die)
+        with pytest.raises(RuntimeError):
+            run_load(layers, landing)
+    layers.expire(hour, now)
+    assert run_load(layers, landing).status == "loaded"
+    gone = layers.expire(hour, now + 2 * hour)
+    assert sum("/mart/" in path for path in gone) == 1 and any("/work/" in path for path in gone)
+    assert len(mart_rows(layers)) == 1 and layers.raw().count() == 2
+
+
+def test_stream_loads_a_file_rewritten_in_place(landing, layers):
+    checkpoint = layers.path("checkpoint")
+    for i, day in enumerate(days(3)):
+        land(landing, day, [quote("USD", 100 + i)])
+    stream_ingest(layers, landing, checkpoint).awaitTermination()
+    assert layers.ledger().count() == 3
+    land(landing, DAY_1, [quote("USD", 2000.5)])
+    stream_ingest(layers, landing, checkpoint).awaitTermination()
+    assert [r[2] for r in mart_rows(layers)] == [2000.5, 101.0, 102.0]
+    assert layers.raw().count() == 4
+    # A rewritten and a new file at once; what the stream loaded is known to the batch load.
+    land(landing, days(2)[1], [quote("USD", 3000.25)])
+    land(landing, days(4)[3], [quote("USD", 7)])
+    stream_ingest(layers, landing, checkpoint).awaitTermination()
+    assert [r[2] for r in mart_rows(layers)] == [2000.5, 3000.25, 102.0, 7.0]
+    assert run_load(layers, landing).status == "skipped"
+
+
+def test_stream_and_rebuild_take_the_day_their_mart_is_judged_by(spark, landing, root):
+    layers = create_layers(spark, root)
+    land(landing, DAY_1, [quote("USD", 10)])
+    with pytest.raises(Exception, match="mart_stale"):
+        stream_ingest(layers, landing, layers.path("one"), as_of=DAY_1 + timedelta(days=5)).awaitTermination()
+    stream_ingest(layers, landing, layers.path("two"), as_of=DAY_1 + timedelta(days=4)).awaitTermination()
+    with pytest.raises(QualityError):
+        rebuild(layers, as_of=DAY_1 + timedelta(days=5))
+    assert rebuild(layers, as_of=DAY_1).status == "loaded"
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "32k", "spark.sql.files.openCostInBytes": "1k"}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def in_order(raw):
+    rows = raw.select("file_name", "block", "line", "pos", F.to_json("raw_data").alias("j")).collect()
+    return [(r[0], r[4]) for r in sorted(rows, key=lambda r: (r[0], r[1], r[2], r[3]))]
+
+
+def test_large_array_is_read_by_many_tasks(spark, landing, small_splits):
+    os.makedirs(landing)
+    flat = [{"result": 1, "cur_unit": f"C{i}", "cur_nm": "a [b], \\ \"c\", é", "deal_bas_r": f"{i:,}.50"} for i in range(4000)]
+    shapes = {
+        "20260810": json.dumps(flat, indent=2, ensure_ascii=False),
+        "20260811": json.dumps(flat[:5]),
+        "20260812": "[]",
+        "20260813": json.dumps([quote("USD", 1), quote("EUR", 2)], indent=1),  # an object inside
+        "20260814": json.dumps([{"result": 1, "cur_unit": "U}, {V", "deal_bas_r": "1"}]),  # braces in a text
+        "20260815": json.dumps({"result": 1, "cur_unit": "ONE", "deal_bas_r": "1"}),  # no array
+    }
+    for name, text in shapes.items():
+        with open(f"{landing}/exchange_rate_{name}.json", "w") as out:
+            out.write(text)
+    split = read_landing_split(spark, landing, "2026-08-16 00:00:00")
+    blocks = split.filter("file_name LIKE '%20260810%'").select("block").distinct().count()
+    assert blocks > 5
+    assert in_order(split) == in_order(read_landing_variant(spark, landing, "2026-08-16 00:00:00"))
+
+
+@pytest.mark.parametrize("text", ['[{"cur_unit": "A"}, {"cur_unit": "B"', '[{"cur_unit": "A"}, {"cur_unit": "B"}', '[{"cur_unit": "A"} {"cur_unit": "B"}]'])
+def test_malformed_large_array_fails_the_load(spark, landing, layers, text):
+    os.makedirs(landing)
+    with open(f"{landing}/exchange_rate_20260810.json", "w") as out:
+        out.write(text)
+    with pytest.raises(Exception, match="MALFORMED|Malformed|FAILFAST"):
+        run_load(layers, landing, split_bytes=1)
+    assert layers.raw().count() == 0
+
+
+def test_load_cuts_files_above_the_size(landing, layers, small_splits):
+    quotes = [{"result": 1, "cur_unit": f"C{i:04d}", "cur_nm": "n", "deal_bas_r": str(i)} for i in range(1500)]
+    # The same code twice: the later place in the file wins, whichever task reads it.
+    land(landing, DAY_1, [*quotes, {"result": 1, "cur_unit": "C0000", "cur_nm": "n", "deal_bas_r": "9999"}], indent=2)
+    land(landing, days(2)[1], [quote("C0000", 5)])
+    assert run_load(layers, landing, split_bytes=50_000).status == "loaded"
+    rows = {(r[0], r[1]): r[2] for r in mart_rows(layers)}
+    assert len(rows) == 1501 and rows[DAY_1, "C0000"] == 9999.0 and rows[days(2)[1], "C0000"] == 5.0
