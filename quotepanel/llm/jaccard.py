@@ -2,7 +2,8 @@
 
 A document is the set of its distinct ``k``-word shingles, as 64-bit hashes.
 Sets are ordered by rarity: shingles that are in many documents come last, the
-most common at the very end, the others by hash. With ``n`` shingles and a
+most common at the very end; the others by the frequency classes of their words
+(powers of two), rarest first, then by hash. With ``n`` shingles and a
 similarity of num/den, two similar documents share one of the first
 ``n - ceil(n num / den) + 1``, the prefix.
 
@@ -24,8 +25,11 @@ any pair across components that can be similar is verified, so no component
 is lost. Verification compares the shingle sets of the two whole texts.
 
 The list of common shingles holds those in over ``COMMON`` of the documents;
-it has at most (mean set size) / ``COMMON`` entries, whatever the input. It
-only orders the shingles: any order gives the same links.
+it has at most (mean set size) / ``COMMON`` entries, whatever the input, and
+that of words, those over ``WORD_SHARE`` of all words, its inverse. They only
+order the shingles: any order gives the same links. As a corpus grows, a
+document's prefix keeps to shingles of its rarest words, so the lists of
+documents that share one do not grow with it.
 
 Defined cases: texts without a word (null, empty) have no shingles and link
 with nothing; rows that repeat an id and rows with equal sets are linked; rows
@@ -35,68 +39,119 @@ without an id link with nothing and have no component.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quotepanel.llm.common import Scratch
 from quotepanel.llm.graph import components
-from quotepanel.llm.textbytes import MULTIPLIER, mix, shingle_sets, slices
+from quotepanel.llm.textbytes import LOWER, MULTIPLIER, Texts, mix, shingle_sets, slices, word_hashes, word_windows, words
+from quotepanel.llm.workers import release
 from quotepanel.session import stored
 
 COMMON = 0.002
 LEAST_COMMON = 4
+WORD_SHARE = 2e-5
 #: Ids (8 bytes each) that may be broadcast to pick their texts; more are joined by shuffle.
 BROADCAST_IDS = 500_000
 
 
+class Counter:
+    """Lossy counts of hashes: what has too small a share of all is dropped now and then."""
+
+    def __init__(self, most: int):
+        self.most, self.waiting, self.n_waiting = most, [], 0
+        self.value, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, values: np.ndarray, least: float) -> None:
+        self.waiting.append(values)
+        self.n_waiting += len(values)
+        if self.n_waiting > self.most // 2:
+            self.fold(1)
+            if len(self.value) > self.most:
+                self.fold(least)
+
+    def fold(self, least: float) -> None:
+        if self.waiting:
+            new, n = np.unique(np.concatenate(self.waiting), return_counts=True)
+            both, at = np.unique(np.concatenate([self.value, new]), return_inverse=True)
+            self.count = np.bincount(at, np.concatenate([self.count, n]), len(both)).astype(np.int64)
+            self.value, self.waiting, self.n_waiting = both, [], 0
+        keep = self.count >= least
+        self.value, self.count = self.value[keep], self.count[keep]
+
+
 def _common(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Shingles in many documents of this task: what is common overall is so in some task."""
-        value, count, docs = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-        waiting: list[np.ndarray] = []
-
-        def fold(least: float) -> None:
-            nonlocal value, count, waiting
-            if waiting:
-                new, n = np.unique(np.concatenate(waiting), return_counts=True)
-                both, at = np.unique(np.concatenate([value, new]), return_inverse=True)
-                count = np.bincount(at, np.concatenate([count, n]), len(both)).astype(np.int64)
-                value, waiting = both, []
-            keep = count >= least
-            value, count = value[keep], count[keep]
-
+        """Shingles in many documents, and frequent words, of this task: what is common overall is so in some task."""
+        release()
+        shingles, vocabulary, docs, n_words = Counter(1_000_000), Counter(1_000_000), 0, 0
         for batch in batches:
             docs += len(batch)
             for part in slices(batch.column(0)):
-                waiting.append(shingle_sets(part, k)[0])
-                if sum(map(len, waiting)) > 1_000_000:
-                    fold(1)
-                    if len(value) > 2_000_000:  # lossy counting: too rare so far to become common
-                        fold(COMMON * docs / 2)
-        fold(max(LEAST_COMMON, COMMON * docs / 2))
-        yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(count)], names=["shingle", "n"])
+                shingles.add(shingle_sets(part, k)[0], COMMON * docs / 2)
+                h = _lower_words(part)[0]
+                n_words += len(h)
+                vocabulary.add(h, WORD_SHARE * n_words / 2)
+        shingles.fold(max(LEAST_COMMON, COMMON * docs / 2))
+        vocabulary.fold(max(LEAST_COMMON, WORD_SHARE * n_words / 2))
+        for kind, found in (("shingle", shingles), ("word", vocabulary)):
+            own = pa.array([kind] * len(found.value), pa.string())
+            yield pa.RecordBatch.from_arrays([own, pa.array(found.value.view(np.int64)), pa.array(found.count)], names=["kind", "value", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(["words", "documents"]), pa.array([0, 0]), pa.array([n_words, docs])], names=["kind", "value", "n"])
 
     return run
 
 
-def common_shingles(documents: DataFrame, k: int) -> np.ndarray:
-    """The common shingles, from the least common on."""
-    n_docs = documents.count()
-    counted = documents.select("text").mapInArrow(_common(k), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    top = counted.filter(F.col("n") >= max(LEAST_COMMON, COMMON * n_docs / 2)).toPandas()  # bounded, see above
-    return top.sort_values(["n", "shingle"])["shingle"].to_numpy(np.int64).view(np.uint64)
+def _lower_words(part: Texts):
+    texts = Texts(part.first, LOWER[part.data], part.offsets)
+    found = words(texts)
+    return word_hashes(texts.data, found), found
+
+
+def common_shingles(documents: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The common shingles, from the least common on, and the frequent words in order with their classes."""
+    counted = documents.select("text").mapInArrow(_common(k), "kind string, value long, n long").groupBy("kind", "value").agg(F.sum("n").alias("n"))
+    counted = stored(counted, "jaccard-counts")
+    totals = {r["kind"]: r["n"] for r in counted.filter(F.col("kind").isin("words", "documents")).collect()}
+    least = {"shingle": max(LEAST_COMMON, COMMON * totals.get("documents", 0) / 2), "word": max(LEAST_COMMON, WORD_SHARE * totals.get("words", 0) / 2)}
+    often = reduce(Column.__or__, [(F.col("kind") == kind) & (F.col("n") >= n) for kind, n in least.items()])
+    top = counted.filter(often).toPandas()  # bounded, see above
+    shingles = top[top["kind"] == "shingle"].sort_values(["n", "value"])["value"].to_numpy(np.int64).view(np.uint64)
+    found = top[top["kind"] == "word"]
+    value, n = found["value"].to_numpy(np.int64).view(np.uint64), found["n"].to_numpy(np.int64)
+    order = np.argsort(value)
+    return shingles, value[order], 1 + np.floor(np.log2(n[order] / least["word"])).astype(np.int64)
+
+
+def rarity(part: Texts, k: int, value: np.ndarray, known: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """For each shingle the classes of its words added up: the more, the commoner."""
+    if not len(known) or not len(value):
+        return np.zeros(len(value), np.int64)
+    h, found = _lower_words(part)
+    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+    own = np.where(known[at] == h, classes[at], 0)
+    window, first = word_windows(h, found, k)
+    if not len(window):
+        return np.zeros(len(value), np.int64)
+    total = sum(own[first + i] for i in range(k))
+    one, index = np.unique(window, return_index=True)
+    at = np.minimum(np.searchsorted(one, value), len(one) - 1)
+    return np.where(one[at] == value, total[index[at]], 0)
 
 
 def _prefixes(k: int, num: int, den: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = shared.value
+        release()
+        common, known, classes = shared.value
         by_value = np.argsort(common)
         table = common[by_value]
         for batch in batches:
             for part in slices(batch.column(1)):
                 value, first = shingle_sets(part, k)
+                score = rarity(part, k, value, known, classes)
                 if len(table) and len(value):
                     at = np.minimum(np.searchsorted(table, value), len(table) - 1)
                     rank = np.where(table[at] == value, by_value[at], -1)
@@ -109,7 +164,8 @@ def _prefixes(k: int, num: int, den: int, shared):
                     if not n:
                         rows.append((0, 0, 0, 0, 0, [], []))
                         continue
-                    rare = own[r < 0]
+                    rare, classed = own[r < 0], score[first[i] : first[i + 1]][r < 0]
+                    rare = rare[np.lexsort((rare, classed))]
                     length = n - -(-n * num // den) + 1
                     prefix = rare[:length]
                     if len(prefix) < length:
@@ -152,6 +208,7 @@ def _close(a: np.ndarray, b: np.ndarray, num: int, den: int) -> bool:
 
 def _similar(k: int, num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for part in slices(batch.column(2)):
                 rows = batch.slice(part.first, len(part))
@@ -228,10 +285,13 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
     moved = scratch.stored(moved, "moved-groups")
     moved = F.broadcast(moved) if moved.count() <= BROADCAST_IDS else moved
     in_parts = groups.select("gid", "n", "prefix").join(moved, F.col("gid") == F.col("of"), "left")
-    placed = in_parts.select("gid", "n", F.coalesce("moved_to", "gid").alias("part"), F.posexplode("prefix").alias("pos", "shingle"))
-    by_shingle = placed.groupBy("shingle").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-    mixed = by_shingle.filter("low < high").select(F.col("shingle").alias("in_lists"))
-    lists = scratch.stored(placed.join(mixed, F.col("shingle") == F.col("in_lists"), "left_semi"), "lists")
+    # One shuffle of the postings: the part only where it is another, size and position in one number.
+    placed = in_parts.select("gid", F.nullif("moved_to", "gid").alias("moved_to"), "n", F.posexplode("prefix").alias("pos", "shingle"))
+    packed = placed.select("shingle", "gid", "moved_to", (F.shiftleft("n", 32) + F.col("pos")).alias("n_pos"))
+    part, of_shingle = F.coalesce("moved_to", "gid"), Window.partitionBy("shingle")
+    spread = packed.withColumns({"low": F.min(part).over(of_shingle), "high": F.max(part).over(of_shingle)}).filter("low < high")
+    n, pos = F.shiftright("n_pos", 32), F.col("n_pos").bitwiseAND(F.lit((1 << 32) - 1))
+    lists = scratch.stored(spread.select("shingle", "gid", part.alias("part"), n.alias("n"), pos.alias("pos")), "lists")
     one = lists.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("gid", "part", "n", "pos")])
     two = lists.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("gid", "part", "n", "pos")])
     close = (F.col("n_a") * den >= F.col("n_b") * num) & (F.col("n_b") * den >= F.col("n_a") * num)
