@@ -130,12 +130,33 @@ def digest(rendered: DataFrame) -> DataFrame:
 
 
 def log_of(conversations: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) as events: one opens the message, one streams its text."""
+    """Rows (conv_id, turn, role, text) as a log that folds back to them.
+
+    A message is opened, a wrong draft is streamed, and then it is regenerated
+    or edited and the rest of its text streamed in pieces; after every third
+    message another one is begun and deleted again.
+    """
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = conversations.select("conv_id", F.row_number().over(order).alias("message"), "role", F.coalesce("text", F.lit("")).alias("text"))
-    none = F.lit(None).cast("string")
-    event = F.array(
-        F.struct(F.lit(0).alias("seq"), F.lit("open").alias("kind"), F.coalesce("role", F.lit("")).alias("role"), F.lit("").alias("text")),
-        F.struct(F.lit(1).alias("seq"), F.lit("delta").alias("kind"), none.alias("role"), F.col("text")),
+    rows = conversations.select("conv_id", F.row_number().over(order).alias("nth"), "role", F.coalesce("text", F.lit("")).alias("text"))
+    third = F.ceil(F.length("text") / 3).cast("int")
+    first, second = F.substring(F.col("text"), F.lit(1), third), F.substring(F.col("text"), third + 1, third)
+    rest = F.substring(F.col("text"), 2 * third + 1, F.length("text"))
+    again = F.col("nth") % 2 == 1
+
+    def event(seq: int, kind: str | Column, text: Column, role: Column | None = None, late: int = 0) -> Column:
+        role = F.lit(None).cast("string") if role is None else role
+        kind = F.lit(kind) if isinstance(kind, str) else kind
+        return F.struct((2 * F.col("nth") + late).alias("message"), F.lit(seq).alias("seq"), kind.alias("kind"), role.alias("role"), text.alias("text"))
+
+    nothing, role = F.lit(None).cast("string"), F.coalesce("role", F.lit(""))
+    streamed = F.array(
+        event(0, "open", F.lit(""), role),
+        event(1, "delta", F.reverse(first)),
+        event(2, F.when(again, "regenerate").otherwise("edit"), F.when(~again, first)),
+        event(3, "delta", F.when(again, first).otherwise(F.lit(""))),
+        event(4, "delta", second),
+        event(5, "delta", rest),
     )
-    return rows.select("conv_id", "message", F.inline(event))
+    dropped = F.array(event(0, "open", F.lit(""), role, 1), event(1, "delta", F.reverse(first), None, 1), event(2, "delete", nothing, None, 1))
+    events = F.concat(streamed, F.when(F.col("nth") % 3 == 0, dropped).otherwise(F.slice(dropped, 1, 0)))
+    return rows.select("conv_id", F.inline(events))
