@@ -30,7 +30,7 @@ def query(sql: str | None = None):
 OP2_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-         substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 9) AS place
+         substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 9) || substr(md5(coalesce(text, '')), 1, 9) AS place
   FROM documents),
 totals AS (
   SELECT source, sum(size)::BIGINT AS source_size,

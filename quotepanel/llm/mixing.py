@@ -1,9 +1,9 @@
 """Operator 2, mixing sources to target weights (DataFrame functions only).
 
-Every document has a place in [0, 16^9) from the md5 of its id. Tokens are
+Every document has a place in [0, 16^18) from the md5 of its id and that of its text. Tokens are
 summed by source and hash bucket (the first three hex digits of the place);
 the running sum finds the bucket in which a source's budget runs out. Only
-that bucket is refined, by the next three digits and again by the last three,
+that bucket is refined, by the next three digits and so on to the last three,
 so the thresholds are nested and no document is ever sorted. A document is in
 the mix if its place lies below its source's threshold.
 
@@ -13,11 +13,9 @@ once more below the threshold of what is left. Sources weigh by their order
 stop there and the excess goes to the others by weight.
 
 Defined cases: null text has size 0; documents of size 0 are taken 0 words; a
-null id is a place of its own; a null source is a source; an empty table gives
-an empty mix. The rows of the last bucket (16^-9 of a source) go in if that is
-nearer. In ``mixture`` equal ids share a place, as its SQL has it, so repeated
-rows go in or out together. ``mixed`` goes on within such a place by the md5 of
-the text, in three more steps, so only rows with one id and text share it.
+null id is an id like any other; a null source is a source; an empty table gives
+an empty mix. Rows that share an id part by their texts; rows that repeat both
+share a place and go in or out together, in if that is nearer.
 """
 
 from __future__ import annotations
@@ -31,6 +29,7 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 LIMIT = 2
 DIGITS, LEVELS = 3, 3
+PLACED_BY = ("doc_id", "text")
 
 
 def word_count(text: Column) -> Column:
@@ -68,14 +67,15 @@ def targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int
     return filled.select("key", "source_size", F.coalesce(F.least("cap", F.col("weight") * F.col("level")), F.col("cap")).alias("target"))
 
 
-def thresholds(sized: DataFrame, goal: DataFrame, levels: int = LEVELS) -> DataFrame:
+def thresholds(sized: DataFrame, goal: DataFrame, levels: int = LEVELS * len(PLACED_BY)) -> DataFrame:
     """Adds to ``goal``: whole (times a source goes in whole), edge and edge_in (places below ``edge`` go in once more)."""
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
+    n_sources = goal.count()
     cut = goal.withColumn("whole", whole).withColumn("budget", F.col("target") - F.col("whole") * F.col("source_size")).withColumn("edge", F.lit(""))
     for level in range(levels):
         cut = stored(cut, "mixing-edges") if level == LEVELS else cut  # a level names the one before it thrice
         digits = F.substring("place", level * DIGITS + 1, DIGITS)
-        inside = lookup_join(sized, cut.select(F.col("key").alias("_key"), F.col("edge").alias("_edge")), F.col("key") == F.col("_key"), 0)
+        inside = lookup_join(sized, cut.select(F.col("key").alias("_key"), F.col("edge").alias("_edge")), F.col("key") == F.col("_key"), n_sources)
         inside = inside.filter(F.substring("place", 1, level * DIGITS) == F.col("_edge")) if level else inside
         by_bucket = inside.groupBy("key", digits.alias("bucket")).agg(F.sum("size").alias("n"))
         running = Window.partitionBy("key").orderBy("bucket")
@@ -98,14 +98,14 @@ def thresholds(sized: DataFrame, goal: DataFrame, levels: int = LEVELS) -> DataF
     return cut.select("key", "source_size", "target", "whole", "edge", F.coalesce(F.col("budget") * 2 >= F.col("last"), F.lit(False)).alias("edge_in"))
 
 
-def keyed(documents: DataFrame, *keep: Column, by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    place = _place(*[F.col(c) for c in by])
+def keyed(documents: DataFrame, *keep: Column) -> DataFrame:
+    place = _place(*[F.col(c) for c in PLACED_BY])
     return documents.select(*keep, _key(F.col("source")).alias("key"), word_count(F.col("text")).alias("size"), place.alias("place"))
 
 
-def cuts(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT, levels: int = LEVELS) -> DataFrame:
+def cuts(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT) -> DataFrame:
     goal = stored(targets(sized, weights, share, limit), "mixing-targets")
-    return stored(thresholds(sized, goal, levels), "mixing-cuts")
+    return stored(thresholds(sized, goal), "mixing-cuts")
 
 
 def _times(rows: DataFrame, cut: DataFrame) -> DataFrame:
@@ -126,9 +126,8 @@ def mixture(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, limit:
 
 def mixed(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, limit: int = LIMIT) -> DataFrame:
     """The documents of the mix, those taken twice as two rows; all columns stay."""
-    by = ("doc_id", "text")
-    sized = stored(keyed(documents, by=by), "mixing-sizes")
+    sized = stored(keyed(documents), "mixing-sizes")
     whole_row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
-    rows = _times(keyed(documents, whole_row, by=by), cuts(sized, weights, share, limit, len(by) * LEVELS))
+    rows = _times(keyed(documents, whole_row), cuts(sized, weights, share, limit))
     copies = F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))
     return rows.filter(F.col("times") > 0).select("row", copies.alias("copy")).select("row.*")

@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from quotepanel.llm.common import lookup_join
 from quotepanel.session import stored
 
 SLOTS = 4099
@@ -83,6 +84,9 @@ def lookup_table(spark: SparkSession, names: Sequence[str], slots: int = SLOTS)
 def place(rows: DataFrame, key: Column, names: Sequence[str], slots: int = SLOTS) -> DataFrame:
     """``rows`` with slot and shard (long)."""
     table = stored(lookup_table(rows.sparkSession, names, slots), "shard-table")
-    table = F.broadcast(table.select(F.col("slot").cast("long").alias("_slot"), F.col("shard").cast("long").alias("shard")))
-    keyed = rows.drop("slot", "shard").withColumn("slot", hash_of(key.cast("string")) % slots)
-    return keyed.join(table, F.col("slot") == F.col("_slot")).drop("_slot")
+    table = table.select(F.col("slot").cast("long").alias("_slot"), F.col("shard").cast("long").alias("shard"))
+    own = F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")
+    keyed = rows.select(own, (hash_of(key.cast("string")) % slots).alias("slot"))
+    placed = lookup_join(keyed, table, F.col("slot") == F.col("_slot"), slots)
+    kept = [F.col(f"row.`{c}`") for c in rows.columns if c.lower() not in ("slot", "shard")]
+    return placed.select(*kept, "slot", "shard")
