@@ -13,7 +13,9 @@ the first block whose budget holds it, so no list of pairs is written: a task
 returns per vector its number of links and one edge to a root.
 
 Equal vectors are collapsed first and count as often as they occur. The
-covariance behind the rotation is a sum over all vectors, one matrix per task.
+covariance behind the rotation is a sum over all vectors: one matrix per task,
+added up cell by cell in Spark. Vectors are scaled by a power of two first,
+which is exact and keeps very long and very short ones from over- or underflow.
 
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite
 number link with nothing, and so do rows without an id; vectors of different
@@ -59,9 +61,8 @@ def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = _unit(_matrix(rows.column("vector")).reshape(-1, d))
         x1 = np.hstack([x, np.ones((len(x), 1))])
         total[d] = total.get(d, 0) + x1.T @ x1
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(list(total), pa.int32()), pa.array([m.tobytes() for m in total.values()], pa.binary())], names=["size", "moment"]
-    )
+    for d, m in total.items():
+        yield _batch(size=np.full(m.size, d, np.int32), cell=np.arange(m.size), moment=m.ravel())
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -189,9 +190,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     """vec_id, n_links, component_id, kept for each row of ``embeddings`` (vec_id, embedding)."""
     spark = embeddings.sparkSession
     vector = F.transform("embedding", lambda v: v.cast("double"))
-    # sqrt of a sum over finite numbers only; one null or non-finite number makes it null or not finite
-    norm = F.aggregate(vector, F.lit(0.0), lambda s, v: s + v * v)
-    good = F.col("vec_id").isNotNull() & F.coalesce((norm > 0) & (norm < float("inf")) & ~F.isnan(norm), F.lit(False))
+    # NaN is the greatest of all numbers here.
+    most = F.array_max(F.transform(vector, F.abs))
+    whole = ~F.exists("embedding", lambda v: v.isNull())
+    good = F.col("vec_id").isNotNull() & F.coalesce(whole & (most > 0) & (most < float("inf")) & ~F.isnan(most), F.lit(False))
     keyed = embeddings.select("vec_id", "embedding", F.when(good, F.xxhash64("embedding", F.lit("a"))).alias("class"), F.xxhash64(F.lit("b"), "embedding").alias("more"))
     rows = stored(keyed.select("vec_id", "class", "more"), "vectors")
     # 128 bits of hash stand for a vector; the vector itself goes through one aggregate.
@@ -203,10 +205,11 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     )
     plain = classes.select("class", "rep", "n", F.size("embedding").alias("size"), F.transform("embedding", lambda v: v.cast("double")).alias("vector"))
     packed = plain.mapInArrow(_pack, "class long, rep long, n long, size int, vector binary")
+    cells = packed.mapInArrow(_moments, "size int, cell long, moment double").groupBy("size", "cell").agg(F.sum("moment").alias("moment"))
     moments: dict[int, np.ndarray] = {}
-    for r in packed.mapInArrow(_moments, "size int, moment binary").toLocalIterator():  # one matrix per task
+    for r in cells.collect():  # (length + 1) squared numbers for each length of vectors
         d = r["size"]
-        moments[d] = moments.get(d, 0) + np.frombuffer(r["moment"], np.float64).reshape(d + 1, d + 1)
+        moments.setdefault(d, np.zeros((d + 1, d + 1))).flat[r["cell"]] = r["moment"]
     blocks = {d: Blocks(m, threshold) for d, m in moments.items()}
     # Unit vectors lie within 1 of the origin, so a block has a bounded number of strips.
     counted = packed.mapInArrow(_deal(blocks, None), "size int, block int, strip long").groupBy("size", "block", "strip").agg(F.count(F.lit(1)).alias("n"))
@@ -239,6 +242,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = batch.column("vector")
         flat = np.asarray(values.flatten().to_numpy(zero_copy_only=False), np.float64)
         ends = np.cumsum(np.array(batch.column("size"), np.int64))
+        most = np.maximum.reduceat(np.abs(flat), np.concatenate([[0], ends[:-1]])) if len(ends) else np.zeros(0)
+        flat = np.ldexp(flat, -np.repeat(np.frexp(most)[1], np.diff(ends, prepend=0)))
         raw = [flat[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("class"), batch.column("rep"), batch.column("n"), batch.column("size"), pa.array(raw, pa.binary())],
