@@ -21,6 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def passed(columns: list[str], *taken: str) -> list[str]:
+    """The columns that pass through: all but those that the operator reads or makes; names differ in more than case."""
+    names = {name.lower() for name in taken}
+    return [c for c in columns if c.lower() not in names]
+
+
+def as_row(columns: list[str]) -> Column:
+    """Columns as one struct ``row``, so that none of them can clash with what an operator names."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+
+
+def unpacked(columns: list[str]) -> list[Column]:
+    return [F.col(f"row.`{c}`").alias(c) for c in columns]
+
+
 def held_out() -> Column:
     """True for the rows that no model may learn from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))

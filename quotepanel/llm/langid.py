@@ -10,14 +10,18 @@ where no language knows the n-gram. The language with the lowest cross-entropy
 per letter wins (ties: first by name).
 
 A model is fitted on a bounded sample: of the labelled documents that are not
-held out, about ``DOCS_PER_LANGUAGE`` of each language by a hash of the id.
+held out, about ``DOCS_PER_LANGUAGE`` distinct texts of each language by a hash
+of the text, and about ``BYTES_PER_LANGUAGE`` of them at most.
 One in four of them only calibrates: the 99.5 % quantile of the cross-entropy
 under their own language is the bound above which a prediction is rejected. A
 language of which no text with a letter would remain is fitted on all its
 sampled documents and has no bound.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0;
-so is every text if no language was learned. Null languages are not learned.
+so is every text if no language was learned. Null languages are not learned;
+copies of a text count once in the sample, whatever their ids. An empty table
+gives an empty one, very long texts are scored whole, and columns called like
+the new ones, in any case, give way.
 """
 
 from __future__ import annotations
@@ -30,12 +34,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quotepanel.llm.common import held_out
+from quotepanel.llm.common import held_out, passed
 from quotepanel.llm.letters import SPACE, gram_keys, gram_keys_at, letters
 from quotepanel.llm.textbytes import Texts, slices
 
 ORDER = 4
 DOCS_PER_LANGUAGE = 4000
+BYTES_PER_LANGUAGE = 64 << 20
 CALIBRATION = 0.995
 
 
@@ -165,16 +170,23 @@ def fit(grams: pd.DataFrame) -> Model:
 
 def learn(documents: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model | None:
     """The model of ``documents`` (doc_id, text, lang); None without labelled texts."""
-    labelled = documents.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    place = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language sample")), F.lit(1 << 20)) / (1 << 20)
-    calibrates = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("calibration")), F.lit(4)) == 0
+    labelled = documents.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
+    place = F.pmod(F.xxhash64(F.col("text"), F.lit("language sample")), F.lit(1 << 20)) / (1 << 20)
+    calibrates = F.pmod(F.xxhash64(F.col("text"), F.lit("calibration")), F.lit(4)) == 0
     fits = F.when(~calibrates & F.col("text").rlike(r"\p{L}"), place)
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"), F.min(fits).alias("first_fits")).collect()  # one row per language
+    # One row per language.
+    sizes = labelled.groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("bytes"), F.min(place).alias("first"), F.min(fits).alias("first_fits")
+    ).collect()
     if not sizes:
         return None
-    shares = {r["lang"]: max(docs_per_language / r["n"], r["first"] + 1 / (1 << 20)) for r in sizes}
+    shares = {}
+    for r in sizes:
+        share = min(docs_per_language / r["n"], BYTES_PER_LANGUAGE / max(r["bytes"], 1))
+        shares[r["lang"]] = max(share, r["first"] + 1 / (1 << 20))
     share = F.create_map(*[x for lang, part in shares.items() for x in (F.lit(lang), F.lit(part))])
-    sample = labelled.filter(place < F.element_at(share, F.col("lang")))
+    # Copies share a place; they meet before they leave their tasks.
+    sample = labelled.filter(place < F.element_at(share, F.col("lang"))).distinct()
     unfitted = [r["lang"] for r in sizes if r["first_fits"] is None or r["first_fits"] >= shares[r["lang"]]]
     calibrates = calibrates & ~F.col("lang").isin(unfitted)
     counted = sample.filter(~calibrates).select("text", "lang").mapInArrow(_count, "lang string, gram string, n long")
@@ -197,7 +209,7 @@ def predicted(documents: DataFrame, model: Model | None, text: str = "text") ->
     flattened to the root of the number of places. Columns of these names give way.
     """
     new = ("lang_pred", "score", "cross_entropy", "rejected")
-    keep = [c for c in documents.columns if c != text and c not in new]
+    keep = passed(documents.columns, text, *new)
     rows = documents.select(*[f"`{c}`" for c in keep], f"`{text}`")
     shared = documents.sparkSession.sparkContext.broadcast(model)
 

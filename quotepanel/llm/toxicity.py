@@ -7,14 +7,16 @@ ratio is significant (chi-square over ``CHI2``) are features with the ratio
 as value. A logistic regression with an L2 penalty weighs them, and the share
 of toxic labels sets its prior.
 
-It is fitted on a bounded sample: about ``PER_CLASS`` labelled documents of
-either class by a hash of the id, none of them held out. Scores never use
-labels, lang, source or doc_id.
+It is fitted on a bounded sample: about ``PER_CLASS`` distinct texts of labelled
+documents of either class and at most about ``SAMPLE_BYTES`` of them, by hashes
+of the id and of the text, none of them held out. Scores never use labels,
+lang, source or doc_id.
 
 Defined cases: null and empty texts have no features and score the prior;
 without labels of both classes every score is the share of toxic labels (0 if
 there are none). Repeated labels of a document count once, as toxic if any
-says so; null labels are not learned.
+says so; null labels are not learned. An empty table gives an empty one, very
+long texts are scored whole, and a column called ``score`` in any case gives way.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quotepanel.llm.common import held_out
+from quotepanel.llm.common import held_out, passed
 from quotepanel.llm.letters import gram_keys, letters
 from quotepanel.llm.textbytes import Texts, slices
 
@@ -36,6 +38,7 @@ SLOT_BITS = 22
 SLOTS = 1 << SLOT_BITS
 CHUNK_BITS = 16
 PER_CLASS = 4000
+SAMPLE_BYTES = 256 << 20
 #: Under a one in a million chance for a slot that tells nothing, times as many slots.
 CHI2 = 30.0
 LEAST_DOCS = 5
@@ -155,7 +158,12 @@ def learn(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
     share = F.when(F.col("toxic"), per_class / sizes[True]).otherwise(per_class / sizes[False])
     place = F.pmod(F.xxhash64(F.col("labelled"), F.lit("toxicity sample")), F.lit(1 << 20)) / (1 << 20)
     ids = known.filter(place < share)  # about twice per_class rows, whatever the input
-    sample = documents.join(F.broadcast(ids), F.col("doc_id") == F.col("labelled")).select("text", "toxic")
+    found = documents.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("labelled"))
+    # An id may repeat, a third of all rows may have one: then only some of its texts are taken, copies once.
+    size = found.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    part = min(1.0, 4 * per_class / max(size["n"], 1), SAMPLE_BYTES / max(size["bytes"], 1))
+    by_text = F.pmod(F.xxhash64(F.col("text"), F.lit("toxicity texts")), F.lit(1 << 20)) / (1 << 20)
+    sample = found.filter(by_text < part).select("text", "toxic").distinct()
     counts = sample.mapInArrow(_counts, "chunk int, slots binary, toxic binary, other binary")
     taken = {r["toxic"]: r["n"] for r in ids.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(taken) < 2:
@@ -172,7 +180,7 @@ def learn(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
 
 def scored(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Every row of ``documents`` but its text, with ``score``."""
-    keep = [c for c in documents.columns if c not in (text, "score")]
+    keep = passed(documents.columns, text, "score")
     rows = documents.select(*[f"`{c}`" for c in keep], f"`{text}`")
     shared = documents.sparkSession.sparkContext.broadcast(model)
 

@@ -52,8 +52,9 @@ def empty(spark):
 
 @pytest.fixture
 def clash(spark, hard):
-    """The same rows with columns called like those that the operators make."""
-    names = "key size place target taken row times ids decoded score held_out lang_pred n_words script kept base_failed n shingle rep sign spans begin".split()
+    """The same rows with columns called like those that the operators make or use, some in another case."""
+    names = "key size place target taken times IDS decoded SCORE held_out lang_pred n_words script kept base_failed n shingle rep sign spans begin".split()
+    names += "row _doc _sign _spans _slot SLOT shard _id _group group of low_byte_share other own_id own_sign again first component_id id doc marks toxic labelled n_bytes edge _key".split()
     return hard.selectExpr("*", *[f"'x' AS {name}" for name in names])
 
 
