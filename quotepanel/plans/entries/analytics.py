@@ -279,6 +279,17 @@ def summary_selected(spark, sf_dir):
     return overview.summary(nation_panel(spark, sf_dir), CHOSEN)
 
 
+@query(
+    "period_summary_display",
+    sql.with_(sql.NATIONS, sql.period("n", 66), "shown AS (" + SUMMARY.format(source="p") + ")")
+    + f""" SELECT {sql.label('cur_unit', 'cur_nm')} AS cur_unit, shown.* EXCLUDE (cur_unit)
+FROM shown LEFT JOIN (SELECT cur_unit, max(cur_nm) AS cur_nm FROM n GROUP BY cur_unit) USING (cur_unit)""",
+)
+def period_summary_display(spark, sf_dir):
+    panel = nation_panel(spark, sf_dir)
+    return names.display(overview.summarise(periods.period(panel, 66)), panel)
+
+
 # Detail
 
 
@@ -614,6 +625,21 @@ def correlation_all_pairs(spark, sf_dir):
     return _rounded(risk.correlation(mart, listed, None))
 
 
+@query(
+    "correlation_display",
+    N_MART
+    + _correlation_sql("(SELECT * FROM m WHERE cur_unit IN (" + ", ".join(f"'{c}'" for c in SEVEN) + "))")
+    + f""", named AS (SELECT cur_unit, max(cur_nm) AS cur_nm FROM n GROUP BY cur_unit)
+SELECT {sql.label('code_a', 'a.cur_nm')} AS code_a, {sql.label('code_b', 'b.cur_nm')} AS code_b, n, corr
+FROM pairs JOIN named a ON code_a = a.cur_unit JOIN named b ON code_b = b.cur_unit""",
+)
+def correlation_display(spark, sf_dir):
+    """Pairs under the labels that the axes of the matrix show."""
+    panel = nation_panel(spark, sf_dir)
+    pairs = _rounded(risk.correlation(mart_daily(panel).select(*MART_COLUMNS), SEVEN, None)).filter("n > 0")
+    return names.display_pairs(pairs, panel)
+
+
 @query(
     "correlation_matrix",
     E_MART

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from quotepanel.operators import detail, overview, period, risk
 from quotepanel.operators.mart import mart_daily, mart_incremental, recompute
-from quotepanel.operators.upsert import upsert
+from quotepanel.operators.upsert import upsert, upsert_once
 
 SCHEMA = "result_date date, cur_unit string, rate double"
 
@@ -106,3 +106,19 @@ def test_hot_key_leaves_one_row_per_key(spark):
     out = staging(raw, "2026-08-14 00:00:00")
     assert out.count() == 1 + 1000
     assert out.filter("cur_unit = 'HOT'").first()["rate"] == 9999.0
+
+
+def test_one_pass_upsert_equals_the_join(spark):
+    def rows(seed, n):
+        value = F.when(F.hash("id", F.lit(seed)) % 5 == 0, None).otherwise(F.rand(seed))
+        key = F.pmod(F.hash("id", F.lit(seed + 1)), F.lit(200))
+        frame = spark.range(n).select(F.date_add(F.lit("2024-01-01").cast("date"), (key % 20).cast("int")).alias("result_date"), (key % 10).cast("string").alias("cur_unit"), value.alias("rate"), F.lit(seed).cast("long").alias("load"))
+        return frame.dropDuplicates(["result_date", "cur_unit"])
+
+    target, source = rows(1, 300).cache(), rows(2, 90).cache()
+    expected = sorted(upsert(target, source).collect(), key=repr)
+    assert sorted(upsert_once(target, source).collect(), key=repr) == expected
+    assert sorted(upsert_once(target, source.limit(0)).collect(), key=repr) == sorted(target.collect(), key=repr)
+    assert sorted(upsert_once(target.limit(0), source).collect(), key=repr) == sorted(source.collect(), key=repr)
+    plan = upsert_once(target, source)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "SortAggregate" not in plan
