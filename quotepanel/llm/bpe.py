@@ -10,12 +10,13 @@ logarithmically many nodes above them, until no pair has a rank.
 
 Pieces of one tree size are merged together, one merge in each per step, as
 rows of a matrix; a piece of over ``MANY`` bytes has a tree of its own. Pieces
-met before come from a table that is emptied when it is full, which changes
-only the time.
+met before come from a table that is emptied when it has ``REMEMBERED`` bytes,
+which changes only the time.
 
 Defined cases: null and empty texts have no ids; a piece that is a token is
-that token; decoding the ids gives back the text's bytes. Repeated rows, null
-ids and extra columns pass as they are.
+that token; decoding the ids gives back the text's bytes; very long texts are
+encoded whole, a text at a time; an empty table gives an empty one. Repeated
+rows, null ids and extra columns pass as they are.
 """
 
 from __future__ import annotations
@@ -30,13 +31,17 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from quotepanel.llm.common import passed
 from quotepanel.llm.textbytes import slices
+from quotepanel.llm.workers import held
 
 #: Bytes beyond which a piece is merged alone.
 MANY = 512
-#: Cells of a matrix of trees, and pieces that are remembered in a task.
+#: Cells of a matrix of trees.
 CELLS = 1 << 18
-REMEMBERED = 400_000
+#: Bytes of pieces and their ids that a worker remembers, and what a piece takes besides.
+REMEMBERED = 32 << 20
+ENTRY = 200
 NONE = np.int64(1) << 62
 
 
@@ -72,6 +77,7 @@ class Merges:
         self.begin = np.cumsum(self.length) - self.length
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.known: dict[str, bytes] = {}
+        self.held = 0
 
     @cached_property
     def rank_of_pair(self) -> dict[int, int]:
@@ -202,13 +208,21 @@ class Merges:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         cut = [self.split(text) for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
         new = set().union(*cut) - self.known.keys()
         if new:
             self.learn(new)
         ids = self.known.__getitem__
-        return [b"".join(map(ids, pieces)) for pieces in cut]
+        out = [b"".join(map(ids, pieces)) for pieces in cut]
+        # Long pieces hardly come again; of the others so many bytes stay.
+        for piece in new:
+            if len(piece) > MANY // 4:
+                del self.known[piece]
+            else:
+                self.held += ENTRY + len(piece) + len(self.known[piece])
+        if self.held > REMEMBERED:
+            self.known.clear()
+            self.held = 0
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         token = np.frombuffer(ids, "<u4").astype(np.int64)
@@ -217,29 +231,18 @@ class Merges:
         return self.bytes[place].tobytes()
 
 
-_own: dict[str, Merges] = {}
-
-
-def merges(name: str, vocabulary) -> Merges:
-    """A worker's copy of a broadcast (tokens, pattern), made once per ``name``."""
-    if name not in _own:
-        _own.clear()
-        _own[name] = Merges(*vocabulary.value)
-    return _own[name]
-
-
 def tokenized(documents: DataFrame, tokens: list[bytes], pattern: str, text: str = "text") -> DataFrame:
     """Every row of ``documents`` but its text, with ids (binary, 4 bytes each) and decoded (binary).
 
     The vocabulary is a file of fixed size, so it is broadcast. Columns called
-    ``ids`` or ``decoded`` give way to the new ones.
+    ``ids`` or ``decoded``, in any case, give way to the new ones.
     """
     vocabulary, name = documents.sparkSession.sparkContext.broadcast((tokens, pattern)), uuid.uuid4().hex
-    keep = [c for c in documents.columns if c not in (text, "ids", "decoded")]
+    keep = passed(documents.columns, text, "ids", "decoded")
     rows = documents.select(*[f"`{c}`" for c in keep], f"`{text}`")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = merges(name, vocabulary)
+        own = held(name, lambda: Merges(*vocabulary.value))
         for batch in batches:
             for part in slices(batch.column(len(keep))):
                 ids = own.encode([part.text(i).decode() for i in range(len(part))])

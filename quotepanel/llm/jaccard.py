@@ -330,26 +330,33 @@ def similar_components(documents: DataFrame, k: int, num: int, den: int) -> Data
 def one_per_group(documents: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """One row of each component of ``documents``, with all columns: that of least id, ties by a hash of the text.
 
-    A document is its id and text, told by a 64-bit hash of both: texts under
-    one id are judged each by itself, and of rows that repeat both one stays.
-    Rows without an id and texts without a word all stay.
+    A document is its id and text, told by two 64-bit hashes of both: texts
+    under one id are judged each by itself, and of rows that repeat both one
+    stays. Rows without an id and texts without a word all stay. Columns may
+    have any names, texts any length; an empty table gives an empty one.
     """
+    columns = documents.columns
     sign = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    other = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.lit("second"), "text", "doc_id"))
     found = similar_components(documents.select(sign.alias("doc_id"), "text"), k, num, den).filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    found = found.select(F.col("doc_id").alias("_sign"), "component_id").distinct()
-    counted = documents.select(F.col("doc_id").alias("_id"), sign.alias("_sign")).filter("_id IS NOT NULL").groupBy("_id", "_sign").agg(F.count(F.lit(1)).alias("_n"))
-    signed = stored(counted.join(found, "_sign"), "signed")
-    first = stored(signed.groupBy("component_id").agg(F.min(F.struct("_id", "_sign", "_n")).alias("first")).select("first.*"), "first")
-    gone = stored(signed.select("_id", "_sign").join(first, ["_id", "_sign"], "left_anti"), "gone")
-    again = stored(first.filter("_n > 1").select("_id", "_sign"), "again")
+    found = found.select(F.col("doc_id").alias("sign"), "component_id").distinct()
+    keys = ["id", "sign", "other"]
+    named = documents.select(F.col("doc_id").alias("id"), sign.alias("sign"), other.alias("other")).filter("id IS NOT NULL")
+    counted = named.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    signed = stored(counted.join(found, "sign"), "signed")
+    first = stored(signed.groupBy("component_id").agg(F.min(F.struct(*keys, "n")).alias("first")).select("first.*"), "first")
+    gone = stored(signed.select(*keys).join(first, keys, "left_anti"), "gone")
+    again = stored(first.filter("n > 1").select(*keys), "again")
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col("doc_id").alias("own_id"), sign.alias("own_sign"), other.alias("own_other"))
 
     def match(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
         keys = F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
-        return rows.join(keys, (F.col("doc_id") == F.col("_id")) & (sign == F.col("_sign")), how)
-
-    kept = match(documents, gone, "left_anti")
-    if again.isEmpty():
-        return kept
-    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
-    one = match(documents, again, "left_semi").groupBy("doc_id", sign).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("_row")).select("_row.*")
-    return match(kept, again, "left_anti").unionByName(one)
+        same = (F.col("own_id") == F.col("id")) & (F.col("own_sign") == F.col("sign")) & (F.col("own_other") == F.col("other"))
+        return rows.join(keys, same, how)
+
+    kept = match(rows, gone, "left_anti")
+    if not again.isEmpty():
+        pick = F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")
+        one = match(rows, again, "left_semi").groupBy("own_id", "own_sign", "own_other").agg(pick)
+        kept = match(kept, again, "left_anti").select("row").unionByName(one.select("row"))
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in columns])

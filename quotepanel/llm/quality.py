@@ -23,8 +23,8 @@ steps, that loses at most 1 % of the documents labelled good on every table
 measured. The other sides hold next to no poor documents and stay wide.
 
 Each distinct word of a slice is tokenised once and counted as often as it
-occurs; a table of words met before is emptied when full, which changes only
-the time.
+occurs; a table of words met before is emptied when it has ``REMEMBERED`` bytes,
+which changes only the time.
 
 Defined cases: null and empty texts have no words, fail the base rules and
 have null measures; texts without a token cannot be outside a band; a group
@@ -46,8 +46,9 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import Column, DataFrame, functions as F
 
-from quotepanel.llm.common import lookup_join
+from quotepanel.llm.common import as_row, lookup_join, passed, unpacked
 from quotepanel.llm.textbytes import IS_SEPARATOR, Texts, distinct, per_text, slices, word_hashes, word_windows, words
+from quotepanel.llm.workers import held
 from quotepanel.session import stored
 
 MIN_WORDS = 50
@@ -55,13 +56,15 @@ MAX_REPEATED = 50  # percent of words
 #: Widths of the band below and above the median.
 WIDTHS = {"chars_per_token": (5.5, 10.0), "byte_share": (10.0, 10.0), "token_entropy": (10.0, 10.0)}
 FLOORS = {"chars_per_token": 0.015, "byte_share": 0.01, "token_entropy": 0.02}
+#: Quartiles are exact to one in so many of a group's documents.
+ACCURACY = 20_000
 #: Bytes of text worked on at once.
 SLICE = 2 << 20
 WIDE_SPACE = re.compile(r"[^\S ]")
 #: Keys of rejected documents (three numbers each) that may be broadcast; more are joined by shuffle.
 BROADCAST_REJECTED = 500_000
-#: Words that are remembered in a task.
-REMEMBERED = 300_000
+#: Bytes of words and their tokens that a worker remembers.
+REMEMBERED = 16 << 20
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -134,6 +137,12 @@ class Reader:
         self.broken = [np.zeros(0, np.int64) for _ in self.encode]
         self.tokens = np.zeros(0, np.int64)  # by the last vocabulary
 
+    @property
+    def held(self) -> int:
+        """Bytes of what is remembered."""
+        arrays = [self.hash, self.row, self.tokens, *self.size, *self.broken]
+        return sum(a.nbytes for a in arrays)
+
     def _read(self, k: int, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of the words and how many each has; every word is read after a space."""
         text = "".join(f" {word}" for word in words)
@@ -147,7 +156,7 @@ class Reader:
 
     def rows(self, h: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The rows of distinct words in this reader's columns; new ones are read first."""
-        if len(self.hash) > REMEMBERED:
+        if self.held > REMEMBERED:
             self.forget()
         at = np.minimum(np.searchsorted(self.hash, h), max(len(self.hash) - 1, 0))
         new = np.flatnonzero(self.hash[at] != h) if len(self.hash) else np.arange(len(h))
@@ -212,26 +221,15 @@ def measures(texts: Texts, reader: Reader) -> dict[str, object]:
     return out
 
 
-_own: dict[str, Reader] = {}
-
-
-def _reader(name: str, shared) -> Reader:
-    """A worker's reader of a broadcast (vocabularies, pattern), made once per ``name``."""
-    if name not in _own:
-        _own.clear()
-        _own[name] = Reader(*shared.value)
-    return _own[name]
-
-
 def measured(documents: DataFrame, vocabularies: list[list[bytes]], pattern: str, text: str = "text") -> DataFrame:
     """Every row of ``documents`` but its text, with the base counts and the measures."""
     shared, name = documents.sparkSession.sparkContext.broadcast((vocabularies, pattern)), uuid.uuid4().hex
     names = [part.split()[0] for part in MEASURES.split(",")]
-    keep = [c for c in documents.columns if c != text and c not in names]
+    keep = passed(documents.columns, text, *names)
     rows = documents.select(*[f"`{c}`" for c in keep], f"`{text}`")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _reader(name, shared)
+        reader = held(name, lambda: Reader(*shared.value))
         for batch in batches:
             for part in slices(batch.column(len(keep)), SLICE):
                 found = measures(part, reader)
@@ -251,24 +249,24 @@ def judged(measured_rows: DataFrame, lang: str = "lang", widths: dict[str, tuple
     """
     group = F.coalesce(F.concat(F.lit("lang "), F.col(f"`{lang}`")), F.concat(F.lit("script "), F.col("script")))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
-    rows = measured_rows.withColumns({"base_failed": failed, "_group": group})
-    quartiles = [F.percentile_approx(F.when(~F.col("base_failed"), F.col(x)), [0.25, 0.5, 0.75], 1000).alias(x) for x in FLOORS]
-    by_group = rows.groupBy("_group").agg(*quartiles)
+    columns = passed(measured_rows.columns, "base_failed", "kept")
+    rows = measured_rows.select(as_row(columns), failed.alias("base_failed"), group.alias("group"), *FLOORS)
+    quartiles = [F.percentile_approx(F.when(~F.col("base_failed"), F.col(x)), [0.25, 0.5, 0.75], ACCURACY).alias(x) for x in FLOORS]
+    by_group = rows.groupBy("group").agg(*quartiles)
 
     def low(x: str) -> Column:
         q = F.col(x)
-        return (q[1] - widths[x][0] * F.greatest(q[1] - q[0], F.lit(FLOORS[x]))).alias(f"_low_{x}")
+        return (q[1] - widths[x][0] * F.greatest(q[1] - q[0], F.lit(FLOORS[x]))).alias(f"low_{x}")
 
     def high(x: str) -> Column:
         q = F.col(x)
-        return (q[1] + widths[x][1] * F.greatest(q[2] - q[1], F.lit(FLOORS[x]))).alias(f"_high_{x}")
+        return (q[1] + widths[x][1] * F.greatest(q[2] - q[1], F.lit(FLOORS[x]))).alias(f"high_{x}")
 
-    bands = stored(by_group.select(F.col("_group").alias("_of"), *[low(x) for x in FLOORS], *[high(x) for x in FLOORS]), "bands")
-    joined = lookup_join(rows, bands, F.col("_group") == F.col("_of"), bands.count())
-    outside = [(F.col(x) < F.col(f"_low_{x}")) | (F.col(x) > F.col(f"_high_{x}")) for x in FLOORS]
+    bands = stored(by_group.select(F.col("group").alias("of"), *[low(x) for x in FLOORS], *[high(x) for x in FLOORS]), "bands")
+    joined = lookup_join(rows, bands, F.col("group") == F.col("of"), bands.count())
+    outside = [(F.col(x) < F.col(f"low_{x}")) | (F.col(x) > F.col(f"high_{x}")) for x in FLOORS]
     rejected = reduce(Column.__or__, [F.coalesce(x, F.lit(False)) for x in outside])
-    kept = ~F.col("base_failed") & ~rejected
-    return joined.withColumn("kept", kept).drop("_group", "_of", *[f"_{side}_{x}" for side in ("low", "high") for x in FLOORS])
+    return joined.select(*unpacked(columns), "base_failed", (~F.col("base_failed") & ~rejected).alias("kept"))
 
 
 def kept_documents(documents: DataFrame, vocabularies: list[list[bytes]], pattern: str) -> DataFrame:
