@@ -59,7 +59,7 @@ FLOORS = {"chars_per_token": 0.015, "byte_share": 0.01, "token_entropy": 0.02}
 #: Quartiles are exact to one in so many of a group's documents.
 ACCURACY = 20_000
 #: Bytes of text worked on at once.
-SLICE = 2 << 20
+SLICE = 1 << 20
 WIDE_SPACE = re.compile(r"[^\S ]")
 #: Keys of rejected documents (three numbers each) that may be broadcast; more are joined by shuffle.
 BROADCAST_REJECTED = 500_000
