@@ -89,6 +89,21 @@ def correction(tables: dict[str, DataFrame], states: DataFrame, changed: DataFra
     return upsert_once(reached, affected)
 
 
+def corrections(times: dict[str, float], suffix: str, panel: DataFrame, runs: int) -> None:
+    """Times of correcting one date in the middle of the history and its last one."""
+    mart = mart_daily(panel)
+    tables = {name: by_bucket(frame, name) for name, frame in (("staging", panel), ("mart", mart))}
+    year = F.date_format("result_date", "yyyy")
+    named = panel.select("*", F.lit(None).cast("string").alias("cur_nm"), F.lit(None).cast("timestamp_ntz").alias("updated_at"))
+    states = by_bucket(code_states(named, year), "codes")
+    years = [int(row[0]) for row in panel.select(year).distinct().collect()]
+    latest = panel.agg(F.max("result_date")).first()[0]
+    for name, day in (("incremental_mid_history", date(1998, 3, 2)), ("incremental_latest_day", latest)):
+        # The correction has arrived and is a table, as in a load.
+        changed = stored(panel.filter(F.col("result_date") == day).select("result_date", "cur_unit"), "bench-changed")
+        times[name + suffix] = seconds(lambda day=day, changed=changed: consume(correction(tables, states, changed, day, years)), runs)
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
@@ -115,16 +130,13 @@ def main() -> None:
     }
     for name, frame in on_mart.items():
         times[f"stored_{name}"] = seconds(lambda frame=frame: consume(frame()), runs)
-    by_year = {name: by_bucket(frame, name) for name, frame in (("staging", panel), ("mart", mart))}
-    year = F.date_format("result_date", "yyyy")
-    named = panel.select("*", F.lit(None).cast("string").alias("cur_nm"), F.lit(None).cast("timestamp_ntz").alias("updated_at"))
-    states = by_bucket(code_states(named, year), "codes")
-    years = [int(row[0]) for row in mart.select(year).distinct().collect()]
-    latest = panel.agg(F.max("result_date")).first()[0]
-    for name, day in (("incremental_mid_history", date(1998, 3, 2)), ("incremental_latest_day", latest)):
-        # The correction has arrived and is a table, as in a load.
-        changed = stored(panel.filter(F.col("result_date") == day).select("result_date", "cur_unit"), "bench-changed")
-        times[name] = seconds(lambda day=day, changed=changed: consume(correction(by_year, states, changed, day, years)), runs)
+    corrections(times, "", panel, runs)
+    # The same with eight times the codes: where a load starts to pay.
+    copies = F.explode(F.sequence(F.lit(1), F.lit(8))).alias("copy")
+    wide = panel.select("result_date", "cur_unit", "rate", copies).withColumn("cur_unit", F.concat_ws("-", "cur_unit", "copy")).drop("copy")
+    wide = stored(wide, "bench-wide")
+    times["build_mart_x8"] = seconds(lambda: consume(mart_daily(wide)), runs)
+    corrections(times, "_x8", wide, runs)
 
     rows = panel.count()
     print(

@@ -114,7 +114,7 @@ def affected_rows(panel: DataFrame, changed: DataFrame, run_ts=None, hit: Column
     change to the last and four rows before and after. Where a column of the panel tells its
     changed rows, ``hit`` saves the join that finds them.
     """
-    flagged = panel.join(changed.select("cur_unit").distinct(), "cur_unit", "left_semi")
+    flagged = panel.join(changed.select("cur_unit"), "cur_unit", "left_semi")
     if hit is None:
         hits = changed.select(*KEYS).distinct().withColumn("_hit", F.lit(True))
         flagged = flagged.join(hits, KEYS, "left")
