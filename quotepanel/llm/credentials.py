@@ -11,7 +11,9 @@ a kind's automaton minus that under the background, per symbol. It is added,
 under the kind that explains it best, if the score reaches the kind's threshold:
 not below zero, nor below half of what all but ``MISSED`` of the kind's labelled
 values reach, nor so low that more than ``PASSED`` of the other tokens would pass;
-all values of the corpus count for that.
+all values of the corpus count for that. It must also look like the kind by
+itself: its likelihood per symbol may be ``ODD`` below what all but ``MISSED`` of the
+labelled values have, so an address of digits and dots is no number.
 
 Sample: about ``EXAMPLES`` distinct values a kind by a hash of the value, of at most
 ``LONGEST`` characters each. Everything else covers all rows and whole texts.
@@ -52,6 +54,7 @@ EXAMPLES = 2000
 LONGEST = 256
 ALPHA = 0.05
 MISSED, PASSED = 0.01, 0.01
+ODD = 0.5
 #: Width of a bin in which scores are counted, and the bins on either side of zero.
 BIN, BINS = 0.01, 2000
 
@@ -298,11 +301,21 @@ def scored(model: Automaton, values: list[bytes]) -> np.ndarray:
     return total
 
 
-def ratios(models: dict[str, Automaton], values: list[bytes]) -> dict[str, np.ndarray]:
-    """For each kind, log-likelihood over that of other tokens, per symbol."""
-    base = scored(models[OTHER], values)
+def ratios(models: dict[str, Automaton], values: list[bytes]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """For each kind, per symbol: log-likelihood over that of other tokens, and log-likelihood."""
     steps = np.array([len(v) + 1 for v in values], float)
-    return {kind: (scored(models[kind], values) - base) / steps for kind in KINDS if kind in models}
+    base = scored(models[OTHER], values) / steps
+    own = {kind: scored(models[kind], values) / steps for kind in KINDS if kind in models}
+    return {kind: (likely - base, likely) for kind, likely in own.items()}
+
+
+def _bins(x: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(x / BIN).astype(np.int64), -BINS, BINS - 1) + BINS
+
+
+def _reached(table: np.ndarray) -> int:
+    """The bin that all but ``MISSED`` of the counted values reach."""
+    return int(np.searchsorted(np.cumsum(table), MISSED * table.sum(), "right"))
 
 
 # Models from the corpus.
@@ -326,7 +339,7 @@ def _by_kind(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
         yield kind, _strings(values.take(pa.array(np.flatnonzero(kinds == kind))))
 
 
-def learn(found: DataFrame, examples: int = EXAMPLES) -> tuple[dict[str, Automaton], dict[str, float]]:
+def learn(found: DataFrame, examples: int = EXAMPLES) -> tuple[dict[str, Automaton], dict[str, tuple[float, float]]]:
     """Automata and thresholds by kind from the rows of ``marked``; both empty where nothing can be added."""
     spark = found.sparkSession
     values = stored(found.select(F.explode("marks").alias("mark")).select("mark.kind", "mark.value").distinct(), "secrets-values")
@@ -371,7 +384,7 @@ def _count(values: DataFrame, models: dict[str, Automaton]) -> None:
         models[kind].log = np.log(table / table.sum(axis=1, keepdims=True))
 
 
-def _thresholds(values: DataFrame, models: dict[str, Automaton], spark) -> dict[str, float]:
+def _thresholds(values: DataFrame, models: dict[str, Automaton], spark) -> dict[str, tuple[float, float]]:
     shared = spark.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,11 +392,11 @@ def _thresholds(values: DataFrame, models: dict[str, Automaton], spark) -> dict[
         counts: dict[tuple[str, str], np.ndarray] = {}
         for batch in batches:
             for kind, members in _by_kind(batch):
-                for model, ratio in ratios(own, members).items():
-                    if kind in (model, OTHER):
-                        at = np.clip(np.floor(ratio / BIN).astype(np.int64), -BINS, BINS - 1) + BINS
-                        known = counts.setdefault((model, kind), np.zeros(2 * BINS, np.int64))
-                        known += np.bincount(at, minlength=2 * BINS)
+                for model, (ratio, likely) in ratios(own, members).items():
+                    wanted = [(kind, ratio)] if kind in (model, OTHER) else []
+                    for name, x in [*wanted, *([("likely", likely)] if kind == model else [])]:
+                        known = counts.setdefault((model, name), np.zeros(2 * BINS, np.int64))
+                        known += np.bincount(_bins(x), minlength=2 * BINS)
         for (model, kind), table in counts.items():
             at = np.flatnonzero(table)
             yield pa.RecordBatch.from_arrays(
@@ -396,21 +409,22 @@ def _thresholds(values: DataFrame, models: dict[str, Automaton], spark) -> dict[
     limits = {}
     for kind in KINDS:
         if kind in models:
-            own, other = counts[kind, kind], counts[kind, OTHER]
-            reached = int(np.searchsorted(np.cumsum(own), MISSED * own.sum(), "right"))
+            other = counts[kind, OTHER]
+            reached, likely = _reached(counts[kind, kind]), _reached(counts[kind, "likely"])
             above = np.cumsum(other[::-1])[::-1]  # other tokens from each bin on
             strict = int(np.searchsorted(-above, -PASSED * other.sum(), "left"))
-            limits[kind] = max((reached - BINS) // 2, strict - BINS, 0) * BIN
+            limits[kind] = (max((reached - BINS) // 2, strict - BINS, 0) * BIN, (likely - BINS) * BIN - ODD)
     return limits
 
 
-def judged(models: dict[str, Automaton], limits: dict[str, float], values: list[bytes]) -> list[str | None]:
+def judged(models: dict[str, Automaton], limits: dict[str, tuple[float, float]], values: list[bytes]) -> list[str | None]:
     """For each value the kind it is added under, if any."""
     if not limits or not values:
         return [None] * len(values)
     best, kinds = np.full(len(values), -np.inf), [None] * len(values)
-    for kind, ratio in ratios(models, values).items():
-        passed = (np.floor(ratio / BIN) * BIN >= limits[kind] - BIN / 2) & (ratio > best)
+    for kind, (ratio, likely) in ratios(models, values).items():
+        least, usual = limits[kind]
+        passed = (np.floor(ratio / BIN) * BIN >= least - BIN / 2) & (likely >= usual) & (ratio > best)
         for i in np.flatnonzero(passed):
             best[i], kinds[i] = ratio[i], kind
     return kinds

@@ -155,3 +155,12 @@ def test_digest_of_the_query(spark, sf):
     assert len(rows) == len(texts)
     for r in rows:
         assert r.base_sha256 == hashlib.sha256(written(plain(texts[r.doc_id])).encode()).hexdigest()
+
+
+def test_addresses_do_not_pass_for_numbers(spark, monkeypatch):
+    rng = random.Random(9)
+    words = ["".join(rng.choice(["ther", "nder", "ing", "tion", "ever"]) for _ in range(5)) for _ in range(300)]
+    rows = [(i, f"{rng.choice(words)} {key(rng, '0123456789', 16)} {rng.choice(words)}") for i in range(200)]
+    rows += [(i, f"from {rng.randint(10, 99)}.{rng.randint(100, 255)}.{rng.randint(100, 255)}.{rng.randint(10, 99)} {rng.choice(words)}") for i in range(200, 260)]
+    monkeypatch.setattr(c, "PASSED", 0.5)
+    assert all(r[6] == 0 for r in result(spark.createDataFrame(rows, "doc_id long, text string")))
