@@ -1,6 +1,7 @@
 """Language and toxicity models against plain Python, and their samples against hot rows."""
 
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -117,6 +118,37 @@ def test_toxicity_features_against_plain_counts(spark):
     assert expected and {r["slot"]: pytest.approx(r["ratio"]) for r in found} == expected
 
 
+def label_batch(rows):
+    return pa.RecordBatch.from_arrays([pa.array([t for t, _ in rows]), pa.array([y for _, y in rows])], names=["text", "toxic"])
+
+
+def test_toxicity_counts_meet_within_a_task(monkeypatch):
+    rows = [*[(text, bool(y)) for _, text, y in labelled()], ("", True), (None, False), ("a" * 3000, True)]
+    monkeypatch.setattr(toxicity, "slices", lambda column, limit=700: slices(column, limit))
+    yes, no = Counter(), Counter()
+    for text, toxic in rows:
+        (yes if toxic else no).update({slot(g) for g in grams(text)})
+    batches = iter([label_batch(rows[:25]), label_batch([]), label_batch(rows[25:])])
+    out = [row for found in toxicity._counts(batches) for row in found.to_pylist()]
+    assert len({r["chunk"] for r in out}) == len(out)
+    found = [[x for r in out for x in np.frombuffer(r[c], np.int32).tolist()] for c in ("slots", "toxic", "other")]
+    assert sorted(zip(*found, strict=True)) == sorted((s, yes[s], no[s]) for s in yes.keys() | no.keys())
+    assert list(toxicity._counts(iter([]))) == []
+
+
+def test_toxicity_counts_hold_little_memory():
+    batch = label_batch([(prose(i % 50, 700), i % 2 == 0) for i in range(1000)])
+    assert batch.nbytes > 4_000_000
+    tracemalloc.start()
+    try:
+        for _ in toxicity._counts(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 250_000_000
+
+
 def test_toxicity_steps_against_a_plain_loop(monkeypatch):
     monkeypatch.setattr(toxicity, "STEPS", 4)
     rows = [np.array([0, 2]), np.array([1]), np.array([], int), np.array([0, 1, 2])]
