@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 
 from quotepanel.llm.common import passed
 from quotepanel.llm.textbytes import slices
-from quotepanel.llm.workers import held
+from quotepanel.llm.workers import held, lean
 
 #: Bytes beyond which a piece is merged alone.
 MANY = 512
@@ -253,4 +253,4 @@ def tokenized(documents: DataFrame, tokens: list[bytes], pattern: str, text: str
                 )
 
     schema = rows.drop(text).schema.add("ids", "binary").add("decoded", "binary")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)

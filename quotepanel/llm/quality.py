@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quotepanel.llm.common import as_row, lookup_join, passed, unpacked
 from quotepanel.llm.textbytes import IS_SEPARATOR, Texts, distinct, per_text, slices, word_hashes, word_windows, words
-from quotepanel.llm.workers import held
+from quotepanel.llm.workers import held, lean
 from quotepanel.session import stored
 
 MIN_WORDS = 50
@@ -59,7 +59,7 @@ FLOORS = {"chars_per_token": 0.015, "byte_share": 0.01, "token_entropy": 0.02}
 #: Quartiles are exact to one in so many of a group's documents.
 ACCURACY = 20_000
 #: Bytes of text worked on at once.
-SLICE = 1 << 20
+SLICE = 1 << 19
 WIDE_SPACE = re.compile(r"[^\S ]")
 #: Keys of rejected documents (three numbers each) that may be broadcast; more are joined by shuffle.
 BROADCAST_REJECTED = 500_000
@@ -239,7 +239,7 @@ def measured(documents: DataFrame, vocabularies: list[list[bytes]], pattern: str
     schema = rows.drop(text).schema
     for part in MEASURES.split(","):
         schema = schema.add(*part.split())
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(lean(run), schema)
 
 
 def judged(measured_rows: DataFrame, lang: str = "lang", widths: dict[str, tuple[float, float]] = WIDTHS) -> DataFrame:
