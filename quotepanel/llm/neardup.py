@@ -1,16 +1,21 @@
 """Operator 8, embedding near-duplicates by a subspace pigeonhole join.
 
 Unit vectors are rotated to their principal axes and cut into blocks of
-``BLOCK`` coordinates. Cosine ``t`` is a squared distance of ``2 - 2 t``; each
-block gets a part of it in proportion to its variance, and two vectors that
-are that near are within the budget of at least one block. Each block is
-range-joined: its first coordinate is cut into strips as wide as the block's
-radius, so partners are in the same or the next strip. A strip of over
-``CHUNK`` vectors is dealt by hash into chunks, and pairs of chunks are the
-tasks; nothing else decides the size of a task. Candidates are verified there
-by the cosine of the given vectors in double precision, and a pair counts in
-the first block whose budget holds it, so no list of pairs is written: a task
-returns per vector its number of links and one edge to a root.
+coordinates, ``BLOCK`` each and ``BLOCKS`` at most. Cosine ``t`` is a squared
+distance of ``2 - 2 t``; each block gets a part of it in proportion to its
+variance, and two vectors that are that near are within the budget of at least
+one block.
+
+Vectors are dealt once, by hash, into chunks of about ``CHUNK``; a chunk is one
+row of a written table. Tasks read pairs of chunks from that table, so what is
+shuffled and written grows with the vectors and not with the pairs; nothing else
+decides the size of a task. In each block a chunk's vectors lie in tiles around
+centres. Two vectors within the block's radius are no farther apart along the
+line between the centres of their tiles, which leaves few vectors to compare
+with a tile. Candidates are verified there by the cosine of the given vectors in
+double precision, and a pair counts in the first block whose budget holds it, so
+no list of pairs is written: a task returns per vector its number of links and
+one edge to a root.
 
 Equal vectors are collapsed first and count as often as they occur. The
 covariance behind the rotation is a sum over all vectors: one matrix per task,
@@ -24,45 +29,61 @@ lengths never link; repeated ids share a component.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import FloatType
 
 from quotepanel.llm.graph import components, local_roots
-from quotepanel.session import stored
+from quotepanel.llm.workers import lean
+from quotepanel.session import shared_folder, stored
 
 THRESHOLD = 0.9
-BLOCK = 8
-CHUNK = 16_384
-TILE = 512
-SLACK = 1e-9
-FAST_SLACK = 1e-5
-
-
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64)
-
-
-def _by_length(batches: Iterator[pa.RecordBatch]):
-    """(length, rows of the batch, matrix) for each length of vectors."""
+BLOCK = 16
+BLOCKS = 8
+#: Vectors of a chunk, and bytes of their numbers in memory where these are many.
+CHUNK = 65_536
+CHUNK_BYTES = 32 << 20
+#: Chunks that a task reads of either side; fewer as long as there are not ``SIDES`` parts.
+SIDE = 4
+SIDES = 12
+TILE = 128
+WIDE = 2048
+#: Covers the rounding of coordinates to single precision.
+SLACK = 1e-6
+#: Candidates that are verified at a time, and edges that a task holds.
+MANY, PENDING = 1 << 15, 1 << 20
+
+
+def _by_length(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[tuple[int, pa.RecordBatch, np.ndarray]]:
+    """(length, rows of the batch, matrix of numbers) for each length of vectors."""
     for batch in batches:
         size = np.array(batch.column("size"))
         for d in np.unique(size):
-            rows = np.flatnonzero(size == d)
-            yield int(d), batch.take(pa.array(rows)), None
+            rows = batch if (size == d).all() else batch.take(pa.array(np.flatnonzero(size == d)))
+            flat = rows.column("vector").flatten().to_numpy(zero_copy_only=False)
+            yield int(d), rows, np.ascontiguousarray(flat, kind).reshape(-1, d)
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """In double precision, the largest number of each vector between a half and one."""
+    x = x.astype(np.float64)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
 
 
-def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[int, np.ndarray] = {}
-    for d, rows, _ in _by_length(batches):
-        x = _unit(_matrix(rows.column("vector")).reshape(-1, d))
-        x1 = np.hstack([x, np.ones((len(x), 1))])
-        total[d] = total.get(d, 0) + x1.T @ x1
-    for d, m in total.items():
-        yield _batch(size=np.full(m.size, d, np.int32), cell=np.arange(m.size), moment=m.ravel())
+def _moments(kind: type):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for d, _, x in _by_length(batches, kind):
+            x = _unit(_scaled(x))
+            x1 = np.hstack([x, np.ones((len(x), 1))])
+            total[d] = total.get(d, 0) + x1.T @ x1
+        for d, m in total.items():
+            yield _batch(size=np.full(m.size, d, np.int32), cell=np.arange(m.size), moment=m.ravel())
+
+    return run
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -74,118 +95,263 @@ class Blocks:
 
     def __init__(self, moment: np.ndarray, threshold: float):
         d, n = len(moment) - 1, moment[-1, -1]
+        self.chunks = -(-int(n) // max(1, min(CHUNK, CHUNK_BYTES // (8 * d))))
         mean = moment[-1, :-1] / n
         variance, axes = np.linalg.eigh(moment[:-1, :-1] / n - np.outer(mean, mean))
         order = np.argsort(-variance)
         self.axes, variance = axes[:, order], np.maximum(variance[order], 0)
-        self.cuts = [(i, min(i + BLOCK, d)) for i in range(0, d, BLOCK)]
+        wide = max(BLOCK, -(-d // BLOCKS))
+        self.cuts = [(i, min(i + wide, d)) for i in range(0, d, wide)]
         share = np.array([variance[a:b].sum() for a, b in self.cuts])
         share = np.maximum(share / max(share.sum(), 1e-300), 1e-3)
         self.budget = (2 - 2 * threshold) * share + SLACK
-        self.width = np.sqrt(self.budget) + SLACK
 
-    def strips(self, rotated: np.ndarray) -> np.ndarray:
-        first = rotated[:, [a for a, _ in self.cuts]]
-        return np.floor(first / self.width).astype(np.int64)
+
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order by the keys, and where in it each run of equal ones starts."""
+    order = np.lexsort(keys)
+    new = np.ones(len(order), bool)
+    if len(order):
+        new[1:] = np.any([k[order[1:]] != k[order[:-1]] for k in keys], axis=0)
+    return order, np.flatnonzero(new)
+
+
+def _collapsed(rows: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """A row of each class, and the classes: both hashes, least id and number of rows."""
+    column = {c: np.array(rows.column(c)) for c in ("class", "more", "rep", "n")}
+    order, start = _runs(column["class"], column["more"])
+    some = order[start]
+    rep, n = np.minimum.reduceat(column["rep"][order], start), np.add.reduceat(column["n"][order], start)
+    return some, {"class": column["class"][some], "more": column["more"][some], "rep": rep, "n": n}
 
 
-def _deal(blocks: dict[int, Blocks], chunks: dict[tuple, int] | None):
+def _deal(blocks: dict[int, Blocks], kind: type):
+    """Each vector once, to its chunk; equal ones of a batch as one."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for d, rows, _ in _by_length(batches):
-            raw = rows.column("vector")
-            own = blocks[d]
-            strip = own.strips(_unit(_matrix(raw).reshape(-1, d)) @ own.axes)
-            if chunks is None:
-                block, at = np.meshgrid(np.arange(strip.shape[1]), np.arange(len(strip)))
-                yield _batch(size=np.full(strip.size, d, np.int32), block=block.ravel().astype(np.int32), strip=strip[at.ravel(), block.ravel()])
-                continue
-            place = np.array(rows.column("class")).astype(np.uint64)
-            out: list[tuple] = []
-            for block in range(strip.shape[1]):
-                for s in np.unique(strip[:, block]):
-                    k = chunks[d, block, s]
-                    member = np.flatnonzero(strip[:, block] == s)
-                    chunk = (place[member] % np.uint64(k)).astype(np.int64)
-                    # within the strip, then with the next strip, then as the next strip of the one before
-                    for b in range(k):
-                        out.append((block, s, 0, np.minimum(chunk, b), np.maximum(chunk, b), chunk > b, member))
-                    for b in range(chunks.get((d, block, s + 1), 0)):
-                        out.append((block, s, 1, chunk, np.full(len(member), b), np.zeros(len(member), bool), member))
-                    for a in range(chunks.get((d, block, s - 1), 0)):
-                        out.append((block, s - 1, 1, np.full(len(member), a), chunk, np.ones(len(member), bool), member))
-            for block, s, kind, a, b, right, member in out:
-                n = len(member)
-                some = rows.take(pa.array(member))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n, d, np.int32)), pa.array(np.full(n, block, np.int32)), pa.array(np.full(n, s)), pa.array(np.full(n, kind, np.int32)),
-                        pa.array(a), pa.array(b), pa.array(right), some.column("class"), some.column("rep"), some.column("n"), some.column("vector"),
-                    ],
-                    names=["size", "block", "strip", "kind", "left_chunk", "right_chunk", "is_right", "class", "rep", "n", "vector"],
-                )
+        for d, rows, x in _by_length(batches, kind):
+            some, classes = _collapsed(rows)
+            chunk = (classes["class"].astype(np.uint64) % np.uint64(blocks[d].chunks)).astype(np.int64)
+            ends = pa.array(np.arange(len(some) + 1, dtype=np.int32) * (x.itemsize * d))
+            raw = pa.Array.from_buffers(pa.binary(), len(some), [None, ends.buffers()[1], pa.py_buffer(x[some].tobytes())])
+            yield _batch(size=np.full(len(some), d, np.int32), chunk=chunk, **classes, vector=raw)
 
     return run
 
 
 def _batch(**columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], names=list(columns))
-
-
-def _join(blocks: dict[int, Blocks], threshold: float):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        d, block = int(rows["size"].iloc[0]), int(rows["block"].iloc[0])
-        own = blocks[d]
-        within = bool((rows["kind"] == 0).all() and (rows["left_chunk"] == rows["right_chunk"]).all())
-        right_side = rows["is_right"].to_numpy(bool)
-        x = np.frombuffer(b"".join(rows["vector"]), np.float64).reshape(-1, d)
-        norm = np.linalg.norm(x, axis=1)
-        u = (x / norm[:, None]) @ own.axes
-        cut = own.cuts[block]
-        left = np.arange(len(x)) if within else np.flatnonzero(~right_side)
-        right = left if within else np.flatnonzero(right_side)
-        # In the order of the second coordinate (the first is the strip's), far tiles need no look.
-        part = u[:, cut[0] : cut[1]]
-        line = part[:, min(1, part.shape[1] - 1)]
-        left, right = left[np.argsort(line[left])], right[np.argsort(line[right])]
-        # One product gives the squared distance, up to the rounding that FAST_SLACK covers.
-        square, one = (part * part).sum(axis=1, keepdims=True), np.ones((len(x), 1))
-        as_left = np.hstack([-2 * part, square, one]).astype(np.float32)
-        as_right = np.hstack([part, one, square]).astype(np.float32).T.copy()
-        most = np.float32(own.budget[block] + FAST_SLACK)
-        weight = rows["n"].to_numpy(np.int64)
-        links, edges_a, edges_b = np.zeros(len(x), np.int64), [], []
-        for i in range(0, len(left), TILE):
-            a = left[i : i + TILE]
-            for j in range(i if within else 0, len(right), TILE):
-                b = right[j : j + TILE]
-                if line[b[0]] - line[a[-1]] > own.width[block] or line[a[0]] - line[b[-1]] > own.width[block]:
-                    continue
-                p, q = divmod(np.flatnonzero(as_left[a] @ as_right[:, b] <= most), len(b))
-                if within and i == j:
-                    p, q = p[p < q], q[p < q]
-                p, q = a[p], b[q]
-                for c in range(0, len(p), 1 << 16):
-                    pp, qq = p[c : c + (1 << 16)], q[c : c + (1 << 16)]
-                    true = np.einsum("ij,ij->i", x[pp], x[qq]) / (norm[pp] * norm[qq]) >= threshold
-                    pp, qq = pp[true], qq[true]
-                    for earlier in range(block + 1):
-                        lo, hi = own.cuts[earlier]
-                        inside = ((u[pp, lo:hi] - u[qq, lo:hi]) ** 2).sum(axis=1) <= own.budget[earlier]
-                        pp, qq = (pp[inside], qq[inside]) if earlier == block else (pp[~inside], qq[~inside])
-                    np.add.at(links, pp, weight[qq])
-                    np.add.at(links, qq, weight[pp])
-                    edges_a.append(pp)
-                    edges_b.append(qq)
-        a = np.concatenate(edges_a) if edges_a else np.zeros(0, np.int64)
-        b = np.concatenate(edges_b) if edges_b else np.zeros(0, np.int64)
-        root = local_roots(len(x), a, b)
-        rep = rows["rep"].to_numpy()
-        some = np.flatnonzero(links)
-        return pd.DataFrame({"class": rows["class"].to_numpy()[some], "links": links[some], "a": rep[some], "b": rep[root[some]]})
+    return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns.values()], names=list(columns))
+
+
+def _tiles(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the vectors by their nearest centre, and where each tile starts. Rows come by hash, so the first are centres at random."""
+    n = len(part)
+    centre, nearest = part[: max(1, n // TILE)], np.zeros(n, np.int64)
+    for last in (False, True):
+        half = (centre * centre).sum(axis=1) / 2
+        for i in range(0, n, 8192):
+            nearest[i : i + 8192] = np.argmax(part[i : i + 8192] @ centre.T - half, axis=1)
+        order, start = _runs(nearest)
+        if not last:
+            centre = _means(part[order], start)
+    # A tile is 2 * TILE vectors at most.
+    size = np.diff(start, append=n)
+    pieces = -(-size // (2 * TILE))
+    within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    return order, np.repeat(start, pieces) + within * 2 * TILE
+
+
+def _means(part: np.ndarray, start: np.ndarray) -> np.ndarray:
+    return (np.add.reduceat(part, start, axis=0) / np.diff(start, append=len(part))[:, None]).astype(np.float32)
+
+
+def _chunk(blocks: dict[int, Blocks], kind: type):
+    """The rows of a chunk as one row of bytes."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        some, classes = _collapsed(rows)
+        d = rows.column("size")[0].as_py()
+        raw = b"".join(rows.column("vector").take(pa.array(some)).to_pylist())
+        u = (_unit(_scaled(np.frombuffer(raw, kind).reshape(-1, d))) @ blocks[d].axes).astype(np.float32)
+        tiles = []
+        for a, b in blocks[d].cuts:
+            order, start = _tiles(u[:, a:b])
+            tiles += [[len(start)], start, order]
+        packed = [pa.array([x.tobytes()], pa.binary()) for x in (*classes.values(), np.concatenate(tiles).astype(np.int32))]
+        return pa.Table.from_arrays(
+            [pa.array([d], pa.int32()), pa.array([rows.column("chunk")[0].as_py()], pa.int64()), *packed[:4], pa.array([raw], pa.binary()), packed[4]],
+            names=["size", "chunk", "class", "more", "rep", "n", "vectors", "tiles"],
+        )
 
     return run
 
 
+class Tiled:
+    """The coordinates of a block by tiles."""
+
+    def __init__(self, u: np.ndarray, order: np.ndarray, start: np.ndarray):
+        self.order, self.start, self.size = order, start, np.diff(start, append=len(order))
+        self.part = u[order]
+        self.centre = _means(self.part, start)
+        self.own = (self.part * np.repeat(self.centre, self.size, axis=0)).sum(axis=1)
+
+
+class Vectors:
+    """A chunk, unpacked."""
+
+    def __init__(self, row: dict, own: Blocks, kind: type):
+        # Copies, so that the batch can go.
+        self.classes, self.rep, self.n = (np.frombuffer(row[c], np.int64).copy() for c in ("class", "rep", "n"))
+        self.tiles, self.cuts = np.frombuffer(row["tiles"], np.int32).copy(), own.cuts
+        raw = np.frombuffer(row["vectors"], kind).reshape(len(self.n), -1)
+        # The square of a single number is a double one.
+        self.x = raw.copy() if kind is np.float32 else _scaled(raw)
+        self.norm, self.u = np.empty(len(raw)), np.empty(raw.shape, np.float32)
+        for i in range(0, len(raw), 4096):
+            some = slice(i, i + 4096)
+            self.norm[some] = np.linalg.norm(self.x[some].astype(np.float64), axis=1)
+            self.u[some] = _unit(_scaled(raw[some])) @ own.axes
+
+    def tiled(self, block: int) -> Tiled:
+        at, n = 0, len(self.n)
+        for _ in range(block):
+            at += 1 + self.tiles[at] + n
+        mid = at + 1 + self.tiles[at]
+        return Tiled(self.u[:, slice(*self.cuts[block])], self.tiles[mid : mid + n].astype(np.int64), self.tiles[at + 1 : mid].astype(np.int64))
+
+    def doubles(self, some: np.ndarray) -> np.ndarray:
+        return self.x[some].astype(np.float64, copy=False)
+
+
+def _candidates(a: Tiled, b: Tiled, budget: float, within: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows whose squared distance in the block is at most the budget, or hardly more; within a chunk each pair once."""
+    k = a.part.shape[1]
+    # Single products of vectors no longer than one are that far off at most.
+    off = 4 * (k + 2) * float(np.finfo(np.float32).eps)
+    gap = (a.centre * a.centre).sum(axis=1)[:, None] + (b.centre * b.centre).sum(axis=1) - 2 * (a.centre @ b.centre.T)
+    most = np.sqrt(budget) * np.sqrt(np.maximum(gap, 0) + off) + 4 * off
+    ends = np.append(a.start, len(a.order))
+    for i in range(0, len(a.start), 16):
+        # How far each tile reaches at least towards each of the others.
+        j = min(i + 16, len(a.start))
+        rows = slice(ends[i], ends[j])
+        reach = a.own[rows, None] - a.part[rows] @ b.centre.T
+        most[i:j] -= np.minimum.reduceat(reach, a.start[i:j] - ends[i], axis=0)
+    most, turned = most.astype(np.float32), np.ascontiguousarray(b.part.T)
+    # A product of a and b less half the square of b tells the distance for each a.
+    square, half = (a.part * a.part).sum(axis=1), (b.part * b.part).sum(axis=1, keepdims=True) / -2
+    as_left, as_right = np.hstack([a.part, np.ones_like(a.part[:, :1])]), np.hstack([b.part, half])
+    least = ((square - budget - off) / 2).astype(np.float32)
+    product, found, pending = np.empty(2 * TILE * WIDE, np.float32), [], 0
+    for i in range(0, len(a.start), 8):
+        along = a.centre[i : i + 8] @ turned
+        for s in range(i, min(i + 8, len(a.start))):
+            first, last = ends[s], ends[s + 1]
+            base = first if within else 0
+            near = base + np.flatnonzero((b.own - along[s - i] <= np.repeat(most[s], b.size))[base:])
+            for w in range(0, len(near), WIDE):
+                q = near[w : w + WIDE]
+                nearness = np.matmul(as_left[first:last], as_right.take(q, axis=0).T, out=product[: (last - first) * len(q)].reshape(-1, len(q)))
+                some = np.flatnonzero(nearness.max(axis=1) >= least[first:last])
+                p, at = np.nonzero(nearness.take(some, axis=0) >= least[first + some, None])
+                p, q = first + some[p], q[at]
+                if within:
+                    p, q = p[p < q], q[p < q]
+                if len(p):
+                    found.append((p, q))
+                    pending += len(p)
+                if pending > MANY:
+                    yield _rows(a, b, found)
+                    found, pending = [], 0
+    if found:
+        yield _rows(a, b, found)
+
+
+def _rows(a: Tiled, b: Tiled, found: list) -> tuple[np.ndarray, np.ndarray]:
+    return a.order[np.concatenate([p for p, _ in found])], b.order[np.concatenate([q for _, q in found])]
+
+
+def _links(a: Vectors, b: Vectors, own: Blocks, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of vectors whose cosine is at least the threshold, each once."""
+    for block, budget in enumerate(own.budget):
+        left = a.tiled(block)
+        for ps, qs in _candidates(left, left if a is b else b.tiled(block), budget, a is b):
+            for c in range(0, len(ps), MANY):
+                p, q = ps[c : c + MANY], qs[c : c + MANY]
+                true = np.einsum("ij,ij->i", a.doubles(p), b.doubles(q)) / (a.norm[p] * b.norm[q]) >= threshold
+                p, q = p[true], q[true]
+                for earlier in range(block + 1):
+                    lo, hi = own.cuts[earlier]
+                    inside = ((a.u[p, lo:hi].astype(np.float64) - b.u[q, lo:hi]) ** 2).sum(axis=1) <= own.budget[earlier]
+                    p, q = (p[inside], q[inside]) if earlier == block else (p[~inside], q[~inside])
+                yield p, q
+
+
+class Tally:
+    """Links and roots of the vectors that a task has met."""
+
+    def __init__(self):
+        self.begins: dict[tuple, int] = {}
+        self.classes, self.rep, self.links = (np.zeros(0, np.int64) for _ in range(3))
+        self.edges: list[tuple[np.ndarray, np.ndarray]] = []
+        self.pending = 0
+
+    def place(self, key: tuple, chunk: Vectors) -> int:
+        if key not in self.begins:
+            self.begins[key] = len(self.links)
+            self.classes, self.rep = np.append(self.classes, chunk.classes), np.append(self.rep, chunk.rep)
+            self.links = np.append(self.links, np.zeros(len(chunk.n), np.int64))
+        return self.begins[key]
+
+    def add(self, p: np.ndarray, q: np.ndarray, p_weight: np.ndarray, q_weight: np.ndarray) -> None:
+        np.add.at(self.links, p, q_weight)
+        np.add.at(self.links, q, p_weight)
+        self.edges.append((p, q))
+        self.pending += len(p)
+        if self.pending > PENDING:
+            root = self.roots()
+            some = np.flatnonzero(root != np.arange(len(root)))
+            self.edges, self.pending = [(some, root[some])], 0
+
+    def roots(self) -> np.ndarray:
+        a, b = (np.concatenate([e[side] for e in self.edges] or [np.zeros(0, np.int64)]) for side in (0, 1))
+        return local_roots(len(self.links), a, b)
+
+    def batch(self) -> pa.RecordBatch:
+        some = np.flatnonzero(self.links)
+        return _batch(**{"class": self.classes[some], "links": self.links[some], "a": self.rep[some], "b": self.rep[self.roots()[some]]})
+
+
+def _join(blocks: dict[int, Blocks], kind: type, threshold: float) -> Callable[[Iterator], Iterator]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally, held = Tally(), {}
+        for batch in batches:
+            for i in range(batch.num_rows):
+                a = b = None
+                pair = {}
+                for side in ("left", "right"):
+                    row = {c: batch.column(f"{side}_{c}")[i].as_buffer() for c in ("class", "rep", "n", "vectors", "tiles")}
+                    pair[side] = (batch.column("left_size")[i].as_py(), batch.column(f"{side}_chunk")[i].as_py())
+                    if pair[side] not in held:
+                        held = {k: v for k, v in held.items() if k in pair.values()}
+                        held[pair[side]] = Vectors(row, blocks[pair[side][0]], kind)
+                a, b = held[pair["left"]], held[pair["right"]]
+                at, to = tally.place(pair["left"], a), tally.place(pair["right"], b)
+                for p, q in _links(a, b, blocks[pair["left"][0]], threshold):
+                    tally.add(at + p, to + q, a.n[p], b.n[q])
+        yield tally.batch()
+
+    return lean(run)
+
+
+def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            columns = {c: np.frombuffer(x, np.int64) for c, x in row.items()}
+            for i in range(0, len(columns["own"]), 8192):
+                yield _batch(**{c: x[i : i + 8192] for c, x in columns.items()})
+
+
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of ``embeddings`` (vec_id, embedding)."""
     spark = embeddings.sparkSession
@@ -196,34 +362,34 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     good = F.col("vec_id").isNotNull() & F.coalesce(whole & (most > 0) & (most < float("inf")) & ~F.isnan(most), F.lit(False))
     keyed = embeddings.select("vec_id", "embedding", F.when(good, F.xxhash64("embedding", F.lit("a"))).alias("class"), F.xxhash64(F.lit("b"), "embedding").alias("more"))
     rows = stored(keyed.select("vec_id", "class", "more"), "vectors")
-    # 128 bits of hash stand for a vector; the vector itself goes through one aggregate.
-    classes = stored(
-        keyed.filter(F.col("class").isNotNull())
-        .groupBy("class", "more")
-        .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.any_value("embedding").alias("embedding")),
-        "vector-classes",
+    single = isinstance(embeddings.schema["embedding"].dataType.elementType, FloatType)
+    kind = np.float32 if single else np.float64
+    plain = keyed.filter(F.col("class").isNotNull()).select(
+        "class", "more", F.col("vec_id").cast("long").alias("rep"), F.lit(1).cast("long").alias("n"), F.size("embedding").alias("size"), (F.col("embedding") if single else vector).alias("vector")
     )
-    plain = classes.select("class", "rep", "n", F.size("embedding").alias("size"), F.transform("embedding", lambda v: v.cast("double")).alias("vector"))
-    packed = plain.mapInArrow(_pack, "class long, rep long, n long, size int, vector binary")
-    cells = packed.mapInArrow(_moments, "size int, cell long, moment double").groupBy("size", "cell").agg(F.sum("moment").alias("moment"))
+    cells = plain.select("size", "vector").mapInArrow(_moments(kind), "size int, cell long, moment double").groupBy("size", "cell").agg(F.sum("moment").alias("moment"))
     moments: dict[int, np.ndarray] = {}
     for r in cells.collect():  # (length + 1) squared numbers for each length of vectors
         d = r["size"]
         moments.setdefault(d, np.zeros((d + 1, d + 1))).flat[r["cell"]] = r["moment"]
     blocks = {d: Blocks(m, threshold) for d, m in moments.items()}
-    # Unit vectors lie within 1 of the origin, so a block has a bounded number of strips.
-    counted = packed.mapInArrow(_deal(blocks, None), "size int, block int, strip long").groupBy("size", "block", "strip").agg(F.count(F.lit(1)).alias("n"))
-    chunks = {(r["size"], r["block"], r["strip"]): -(-r["n"] // CHUNK) for r in counted.collect()}
-    dealt = packed.mapInArrow(
-        _deal(blocks, chunks),
-        "size int, block int, strip long, kind int, left_chunk long, right_chunk long, is_right boolean, class long, rep long, n long, vector binary",
-    )
-    joined = dealt.groupBy("size", "block", "strip", "kind", "left_chunk", "right_chunk").applyInPandas(
-        _join(blocks, threshold), "class long, links long, a long, b long"
+    # 128 bits of hash stand for a vector; the vector itself is shuffled and written once.
+    dealt = plain.mapInArrow(lean(_deal(blocks, kind)), "size int, chunk long, class long, more long, rep long, n long, vector binary")
+    names = ["size", "chunk", "class", "more", "rep", "n", "vectors", "tiles"]
+    packed = dealt.groupBy("size", "chunk").applyInArrow(
+        _chunk(blocks, kind), "size int, chunk long, class binary, more binary, rep binary, n binary, vectors binary, tiles binary"
     )
-    found = stored(joined, "vector-links")
+    path = shared_folder(spark, "vector-chunks")
+    packed.write.option("maxRecordsPerFile", 1).option("parquet.enable.dictionary", "false").parquet(path)
+    chunks = spark.read.schema(packed.schema).parquet(path)
+    total = sum(b.chunks for b in blocks.values())
+    parts = max(1, min(total, SIDES), -(-total // SIDE))
+    left, right = (chunks.select(*[F.col(c).alias(f"{side}_{c}") for c in names if c != "more"]).coalesce(parts) for side in ("left", "right"))
+    # Pairs of chunks are read from the table; no exchange holds them.
+    pairs = left.join(right.hint("shuffle_replicate_nl"), (F.col("left_size") == F.col("right_size")) & (F.col("left_chunk") <= F.col("right_chunk")))
+    found = stored(pairs.drop("right_size").mapInArrow(_join(blocks, kind, threshold), "class long, links long, a long, b long"), "vector-links")
     links = found.groupBy(F.col("class").alias("of")).agg(F.sum("links").alias("links"))
-    copies = classes.select(F.col("class").alias("own"), F.col("more").alias("own_more"), "rep", "n")
+    copies = chunks.select(F.col("class").alias("own"), F.col("more").alias("own_more"), "rep", "n").mapInArrow(_classes, "own long, own_more long, rep long, n long")
     direct = rows.join(copies, (F.col("class") == F.col("own")) & (F.col("more") == F.col("own_more")), "left")
     roots = components(found.select("a", "b"))
     result = direct.join(links, F.col("class") == F.col("of"), "left").join(roots, F.col("rep") == F.col("node"), "left")
@@ -235,17 +401,3 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
         F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
     )
 
-
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors as bytes of doubles."""
-    for batch in batches:
-        values = batch.column("vector")
-        flat = np.asarray(values.flatten().to_numpy(zero_copy_only=False), np.float64)
-        ends = np.cumsum(np.array(batch.column("size"), np.int64))
-        most = np.maximum.reduceat(np.abs(flat), np.concatenate([[0], ends[:-1]])) if len(ends) else np.zeros(0)
-        flat = np.ldexp(flat, -np.repeat(np.frexp(most)[1], np.diff(ends, prepend=0)))
-        raw = [flat[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("class"), batch.column("rep"), batch.column("n"), batch.column("size"), pa.array(raw, pa.binary())],
-            names=["class", "rep", "n", "size", "vector"],
-        )

@@ -389,6 +389,58 @@ def test_vectors_brute_force(spark, monkeypatch, chunk):
     assert got == {i: (int(near[i].sum()), int(root[i])) for i in range(150)}
 
 
+def test_vectors_leave_tasks_once(spark, monkeypatch, tmp_path):
+    """What the tasks give out grows with the vectors, not with the pairs of chunks."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(600, 24))
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], EMBEDDINGS).coalesce(1)
+    plain, given = type(df).mapInArrow, {}
+
+    def counted(self, run, schema, *args, **more):
+        noted = str(tmp_path / f"{chunk}-{len(list(tmp_path.iterdir()))}")
+
+        def task(batches):
+            for batch in run(batches):
+                with open(noted, "a") as file:
+                    print(batch.nbytes, file=file)
+                yield batch
+
+        open(noted, "w").close()
+        return plain(self, task, schema, *args, **more)
+
+    monkeypatch.setattr(type(df), "mapInArrow", counted)
+    for chunk in (600, 30):
+        monkeypatch.setattr(neardup, "CHUNK", chunk)
+        assert neardup.near_duplicates(df).filter("n_links > 0").count() == 0
+        given[chunk] = sum(int(line) for path in tmp_path.glob(f"{chunk}-*") for line in path.read_text().split())
+    assert given[600] > x.nbytes and given[30] < 1.5 * given[600]
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.9, 0.99])
+@pytest.mark.parametrize("length", [1, 3, 70, 300])
+def test_vectors_of_any_length(spark, monkeypatch, length, threshold):
+    """Families that share a tile, equal vectors, vectors of unlike weight: all pairs against all, whichever block finds them."""
+    import numpy as np
+
+    monkeypatch.setattr(neardup, "CHUNK", 100)
+    monkeypatch.setattr(neardup, "TILE", 4)
+    monkeypatch.setattr(neardup, "PENDING", 50)
+    monkeypatch.setattr(neardup, "MANY", 64)
+    monkeypatch.setattr(neardup, "WIDE", 16)
+    rng = np.random.default_rng(length)
+    base = rng.normal(size=(9, length)) * np.geomspace(1, 0.05, length)
+    x = base[rng.integers(0, 9, 260)] * rng.uniform(0.01, 100, (260, 1))
+    x += rng.normal(size=x.shape) * np.abs(x).mean(axis=1, keepdims=True) * rng.uniform(0, 0.8, (260, 1))
+    x = np.vstack([x, x[:40]])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = (u @ u.T >= threshold) & ~np.eye(300, dtype=bool)
+    got = {r["vec_id"]: r["n_links"] for r in neardup.near_duplicates(df, threshold).collect()}
+    assert got == {i: int(near[i].sum()) for i in range(300)}
+
+
 # --- byte-level BPE
 
 
