@@ -30,10 +30,11 @@ lengths never link; repeated ids share a component.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import FloatType
 
 from quotepanel.llm.graph import components, local_roots
@@ -44,12 +45,12 @@ THRESHOLD = 0.9
 BLOCK = 16
 BLOCKS = 8
 #: Vectors of a chunk, and bytes of their numbers in memory where these are many.
-CHUNK = 65_536
-CHUNK_BYTES = 32 << 20
+CHUNK = 32_768
+CHUNK_BYTES = 16 << 20
 #: Chunks that a task reads of either side; fewer as long as there are not ``SIDES`` parts.
 SIDE = 4
 SIDES = 12
-TILE = 128
+TILE = 64
 WIDE = 2048
 #: Covers the rounding of coordinates to single precision.
 SLACK = 1e-6
@@ -352,6 +353,18 @@ def _classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _batch(**{c: x[i : i + 8192] for c, x in columns.items()})
 
 
+@contextmanager
+def _one_row_a_batch(spark: SparkSession) -> Iterator[None]:
+    """A row is two chunks, so that more of them at once would only fill the memory of both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """vec_id, n_links, component_id, kept for each row of ``embeddings`` (vec_id, embedding)."""
     spark = embeddings.sparkSession
@@ -387,7 +400,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     left, right = (chunks.select(*[F.col(c).alias(f"{side}_{c}") for c in names if c != "more"]).coalesce(parts) for side in ("left", "right"))
     # Pairs of chunks are read from the table; no exchange holds them.
     pairs = left.join(right.hint("shuffle_replicate_nl"), (F.col("left_size") == F.col("right_size")) & (F.col("left_chunk") <= F.col("right_chunk")))
-    found = stored(pairs.drop("right_size").mapInArrow(_join(blocks, kind, threshold), "class long, links long, a long, b long"), "vector-links")
+    with _one_row_a_batch(spark):
+        found = stored(pairs.drop("right_size").mapInArrow(_join(blocks, kind, threshold), "class long, links long, a long, b long"), "vector-links")
     links = found.groupBy(F.col("class").alias("of")).agg(F.sum("links").alias("links"))
     copies = chunks.select(F.col("class").alias("own"), F.col("more").alias("own_more"), "rep", "n").mapInArrow(_classes, "own long, own_more long, rep long, n long")
     direct = rows.join(copies, (F.col("class") == F.col("own")) & (F.col("more") == F.col("own_more")), "left")
