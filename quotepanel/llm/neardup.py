@@ -6,8 +6,8 @@ distance of ``2 - 2 t``; each block gets a part of it in proportion to its
 variance, and two vectors that are that near are within the budget of at least
 one block.
 
-Vectors are dealt once, by hash, into chunks of about ``CHUNK``; a chunk is one
-row of a written table. Tasks read pairs of chunks from that table, so what is
+Vectors are dealt once, by hash, into chunks of about ``CHUNK`` distinct ones; a
+chunk is one row of a written table. Tasks read pairs of chunks from that table, so what is
 shuffled and written grows with the vectors and not with the pairs; nothing else
 decides the size of a task. In each block a chunk's vectors lie in tiles around
 centres. Two vectors within the block's radius are no farther apart along the
@@ -94,9 +94,9 @@ def _unit(x: np.ndarray) -> np.ndarray:
 class Blocks:
     """Rotation, blocks and budgets for vectors of one length."""
 
-    def __init__(self, moment: np.ndarray, threshold: float):
+    def __init__(self, moment: np.ndarray, threshold: float, distinct: int):
         d, n = len(moment) - 1, moment[-1, -1]
-        self.chunks = -(-int(n) // max(1, min(CHUNK, CHUNK_BYTES // (8 * d))))
+        self.chunks = -(-distinct // max(1, min(CHUNK, CHUNK_BYTES // (8 * d))))
         mean = moment[-1, :-1] / n
         variance, axes = np.linalg.eigh(moment[:-1, :-1] / n - np.outer(mean, mean))
         order = np.argsort(-variance)
@@ -374,7 +374,9 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     whole = ~F.exists("embedding", lambda v: v.isNull())
     good = F.col("vec_id").isNotNull() & F.coalesce(whole & (most > 0) & (most < float("inf")) & ~F.isnan(most), F.lit(False))
     keyed = embeddings.select("vec_id", "embedding", F.when(good, F.xxhash64("embedding", F.lit("a"))).alias("class"), F.xxhash64(F.lit("b"), "embedding").alias("more"))
-    rows = stored(keyed.select("vec_id", "class", "more"), "vectors")
+    rows = stored(keyed.select("vec_id", "class", "more", F.size("embedding").alias("length")), "vectors")
+    lengths = rows.filter("class IS NOT NULL").groupBy("length").agg(F.approx_count_distinct("class").alias("n"))
+    distinct = {r["length"]: max(1, r["n"]) for r in lengths.collect()}
     single = isinstance(embeddings.schema["embedding"].dataType.elementType, FloatType)
     kind = np.float32 if single else np.float64
     plain = keyed.filter(F.col("class").isNotNull()).select(
@@ -385,7 +387,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     for r in cells.collect():  # (length + 1) squared numbers for each length of vectors
         d = r["size"]
         moments.setdefault(d, np.zeros((d + 1, d + 1))).flat[r["cell"]] = r["moment"]
-    blocks = {d: Blocks(m, threshold) for d, m in moments.items()}
+    blocks = {d: Blocks(m, threshold, distinct[d]) for d, m in moments.items()}
     # 128 bits of hash stand for a vector; the vector itself is shuffled and written once.
     dealt = plain.mapInArrow(lean(_deal(blocks, kind)), "size int, chunk long, class long, more long, rep long, n long, vector binary")
     names = ["size", "chunk", "class", "more", "rep", "n", "vectors", "tiles"]

@@ -418,8 +418,22 @@ def test_vectors_leave_tasks_once(spark, monkeypatch, tmp_path):
     assert given[600] > x.nbytes and given[30] < 1.5 * given[600]
 
 
-@pytest.mark.parametrize("threshold", [0.5, 0.9, 0.99])
-@pytest.mark.parametrize("length", [1, 3, 70, 300])
+def test_equal_vectors_need_no_chunks(spark, monkeypatch):
+    made = []
+
+    class Seen(neardup.Blocks):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self.chunks)
+
+    monkeypatch.setattr(neardup, "CHUNK", 30)
+    monkeypatch.setattr(neardup, "Blocks", Seen)
+    df = spark.createDataFrame([(i, [1.0, float(i % 3), 5.0 * (i % 3 == 2)], 0) for i in range(300)], EMBEDDINGS)
+    assert {(r["n_links"], r["component_id"]) for r in neardup.near_duplicates(df).collect()} == {(99, 0), (99, 1), (99, 2)}
+    assert made == [1]
+
+
+@pytest.mark.parametrize(("length", "threshold"), [(1, 0.9), (3, 0.5), (70, 0.9), (300, 0.99)])
 def test_vectors_of_any_length(spark, monkeypatch, length, threshold):
     """Families that share a tile, equal vectors, vectors of unlike weight: all pairs against all, whichever block finds them."""
     import numpy as np
